@@ -177,19 +177,18 @@ def normal_cdf(x) -> Column:
     return F.when(x >= 0, F.lit(1.0) - tail).otherwise(tail)
 
 
-def normal_quantile(p) -> Column:
-    p = F.greatest(F.lit(QUANTILE_EDGE), F.least(F.lit(1.0 - QUANTILE_EDGE), _col(p)))
-    q = p - F.lit(0.5)
-    middle = _horner(QUANTILE_A, q * q) * q / (_horner(QUANTILE_B, q * q) * q * q + F.lit(1.0))
-    s = F.sqrt(F.lit(-2.0) * F.ln(F.least(p, F.lit(1.0) - p)))
+def normal_quantile(df, p: str, name: str):
+    """Add the normal quantile of column ``p``; in steps, so that no part of the formula is repeated in the plan."""
+    clamped = F.greatest(F.lit(QUANTILE_EDGE), F.least(F.lit(1.0 - QUANTILE_EDGE), F.col(p)))
+    q, r, s = F.col("_q"), F.col("_r"), F.col("_s")
+    middle = _horner(QUANTILE_A, r) * q / (_horner(QUANTILE_B, r) * q * q + F.lit(1.0))
     low = _horner(QUANTILE_C, s) / (_horner(QUANTILE_D, s) * s + F.lit(1.0))
     return (
-        F.when(p < QUANTILE_TAIL, low).when(p > 1.0 - QUANTILE_TAIL, -low).otherwise(middle)
+        df.withColumn("_p", clamped)
+        .withColumns({"_q": F.col("_p") - F.lit(0.5), "_s": F.sqrt(F.lit(-2.0) * F.ln(F.least(F.col("_p"), F.lit(1.0) - F.col("_p"))))})
+        .withColumn("_r", q * q)
+        .withColumn(
+            name, F.when(F.col("_p") < QUANTILE_TAIL, low).when(F.col("_p") > 1.0 - QUANTILE_TAIL, -low).otherwise(middle)
+        )
+        .drop("_p", "_q", "_r", "_s")
     )
-
-
-def truncated_normal(u, mean, std, lo, hi) -> Column:
-    """The value at quantile ``u`` of a normal distribution cut to [lo, hi]."""
-    u, mean, std, lo, hi = (_col(c) for c in (u, mean, std, lo, hi))
-    a, b = normal_cdf((lo - mean) / std), normal_cdf((hi - mean) / std)
-    return F.greatest(lo, F.least(hi, mean + std * normal_quantile(a + u * (b - a))))

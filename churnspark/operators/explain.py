@@ -8,20 +8,24 @@ those sums too. Each row adds itself as one more sample before its small regress
 
 from __future__ import annotations
 
-
+import sys
 from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnspark.functions.columns import hash_uniform, truncated_normal
+from churnspark.functions.columns import hash_uniform, normal_cdf, normal_quantile
 from churnspark.operators.features import FeatureSpec, category_frequencies
 from churnspark.operators.ordering import exact_quantiles, value_rows
 from churnspark.session import broadcast_if_small, shuffle_partitions, staged
 
+# The one Python function that runs in tasks travels by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 Predict = Callable[[DataFrame], DataFrame]  # adds a double column ``probability``
 
 SELECT_ALPHA, FIT_ALPHA = 0.01, 1.0  # ridge strength while choosing features and for the final weights
@@ -66,7 +70,7 @@ class Perturbation:
     """What the explainer keeps of the training rows: cells per feature with their share and spread."""
 
     spec: FeatureSpec
-    cells: DataFrame  # feature, cell, lo, hi (share of draws), mean, std, min, max
+    cells: DataFrame  # feature, cell, lo, hi (share of draws), mean, std, min, max, p_lo, p_hi (normal share below the ends)
 
     @staticmethod
     def fit(df: DataFrame, spec: FeatureSpec) -> Perturbation:
@@ -83,6 +87,8 @@ class Perturbation:
             "feature", "cell",
             ((F.sum("n").over(upto) - F.col("n")) / total).alias("lo"), (F.sum("n").over(upto) / total).alias("hi"),
             "mean", "std", "min", "max",
+            normal_cdf((F.col("min") - F.col("mean")) / F.col("std")).alias("p_lo"),
+            normal_cdf((F.col("max") - F.col("mean")) / F.col("std")).alias("p_hi"),
         )
         return Perturbation(spec, staged(cells, "cells"))
 
@@ -111,8 +117,11 @@ class Perturbation:
         )
         draws = draws.withColumn("u", hash_uniform(seed, "k", "feature"))
         picked = draws.join(broadcast_if_small(self.cells), "feature").filter((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi")))
+        # Within a quarter: a normal distribution cut to the ends of the quarter, by its quantiles.
         inside = (F.col("u") - F.col("lo")) / (F.col("hi") - F.col("lo"))
-        picked = picked.withColumn("x", truncated_normal(inside, "mean", "std", "min", "max"))
+        picked = picked.withColumn("p", F.col("p_lo") + inside * (F.col("p_hi") - F.col("p_lo")))
+        x = F.greatest("min", F.least(F.col("max"), F.col("mean") + F.col("std") * F.col("quantile")))
+        picked = normal_quantile(picked, "p", "quantile").withColumn("x", x)
         only = lambda f, c: F.max(F.when(F.col("feature") == f, F.col(c)))
         return picked.groupBy("k").agg(
             *[only(f, "cell" if f in spec.categorical else "x").alias(f) for f in spec.features],
@@ -151,14 +160,14 @@ def gram(df: DataFrame, perturbation: Perturbation, predict: Predict, n_samples:
         .withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n_samples - 1).cast("long"))))
         .join(broadcast_if_small(draws), "k")
     )
-    z = {f: (F.col(f"cell_{f}") == F.col(f"d_cell_{f}")).cast("double") for f in feats}
-    agree = pairs.select(*cells, "y", *[z[f].alias(f"z_{f}") for f in feats])
-    agree = agree.withColumn("wt", perturbation.kernel(F.lit(float(len(feats))) - sum(F.col(f"z_{f}") for f in feats)))
-    terms = [F.col("wt"), F.col("wt") * F.col("y")]
-    terms += [F.col("wt") * F.col(f"z_{a}") for a in feats]
-    terms += [F.col("wt") * F.col(f"z_{a}") * F.col("y") for a in feats]
-    terms += [F.col("wt") * F.col(f"z_{a}") * F.col(f"z_{b}") for i, a in enumerate(feats) for b in feats[i + 1 :]]
-    return agree.groupBy(*cells).agg(*[F.sum(t).alias(n) for n, t in zip(gram_columns(feats), terms)])
+    agree = pairs.selectExpr(*cells, "y", *[f"double(cell_{f} = d_cell_{f}) as z_{f}" for f in feats])
+    mismatches = F.expr(f"double({len(feats)}) - ({' + '.join(f'z_{f}' for f in feats)})")
+    agree = agree.withColumn("wt", perturbation.kernel(mismatches))
+    terms = ["wt", "wt * y"]
+    terms += [f"wt * z_{a}" for a in feats]
+    terms += [f"wt * z_{a} * y" for a in feats]
+    terms += [f"wt * z_{a} * z_{b}" for i, a in enumerate(feats) for b in feats[i + 1 :]]
+    return agree.groupBy(*cells).agg(*[F.expr(f"sum({t}) as {n}") for n, t in zip(gram_columns(feats), terms)])
 
 
 def with_gram(df: DataFrame, perturbation: Perturbation, predict: Predict, n_samples: int = 5000, seed: int = 1) -> DataFrame:
@@ -169,8 +178,8 @@ def with_gram(df: DataFrame, perturbation: Perturbation, predict: Predict, n_sam
     sums = staged(gram(df, perturbation, predict, n_samples, seed), "gram")
     rows = perturbation.cell_columns(predict(df)).join(broadcast_if_small(sums), cells)
     # The row itself agrees with itself in every feature and has weight 1.
-    own = {n: F.col(n) + (F.col("probability") if n.startswith("wy") else F.lit(1.0)) for n in names}
-    return rows.withColumns(own).drop(*cells)
+    own = [f"{n} + {'probability' if n.startswith('wy') else 'double(1)'} as {n}" for n in names]
+    return rows.selectExpr(*df.columns, "probability", *own)
 
 
 def _ridge(zz: np.ndarray, zy: np.ndarray, keep: np.ndarray, alpha: float) -> np.ndarray:

@@ -3,4 +3,4 @@
 
 def all_queries() -> None:
     """Import every module that registers queries."""
-    from churnspark.plans import aggregates, cleaning, ingest, joins, ordered  # noqa: F401
+    from churnspark.plans import aggregates, cleaning, explaining, ingest, joins, modelling, ordered, streams  # noqa: F401
