@@ -97,9 +97,9 @@ def roc_curve(df: DataFrame, y: str, score: str, drop_intermediate: bool = True)
     return origin.unionByName(points)
 
 
-def accuracy_per_n(df: DataFrame, order, y: str, yhat: str, time_ms: str, n: int = 100) -> DataFrame:
+def accuracy_per_n(df: DataFrame, order: list[str], y: str, yhat: str, time_ms: str, n: int = 100) -> DataFrame:
     """(block, accuracy, start_ms, end_ms) of consecutive blocks of ``n`` rows; an incomplete last block is left out."""
-    rows = df.select(y, yhat, time_ms, *order)
+    rows = df.select(*dict.fromkeys([y, yhat, time_ms, *order]))
     numbered = with_row_number(rows, order, name="_rn", start=0)
     return (
         numbered.groupBy(F.floor(F.col("_rn") / n).cast("long").alias("block"))

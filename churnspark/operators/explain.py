@@ -190,7 +190,7 @@ def _ridge(zz: np.ndarray, zy: np.ndarray, keep: np.ndarray, alpha: float) -> np
 
 
 def solve_sums(sums: np.ndarray, n_features: int, k: int) -> np.ndarray:
-    """Surrogate weights (rows x features) from rows of :func:`gram_columns` sums; NaN where not chosen."""
+    """Surrogate weights (rows x features) from rows of :func:`gram_columns` sums; NaN where not chosen (null in Spark)."""
     f = n_features
     w, wy, wz, wzy = sums[:, 0], sums[:, 1], sums[:, 2 : 2 + f], sums[:, 2 + f : 2 + 2 * f]
     zz = np.zeros((len(sums), f, f))
@@ -226,7 +226,7 @@ def explain(
     weights = _solver(len(feats), k)(F.array(*names))
     solved = rows.withColumn("_weights", weights)
     pairs = F.map_from_arrays(F.array(*[F.lit(f) for f in feats]), F.col("_weights"))
-    explanation = F.map_filter(pairs, lambda _, v: ~F.isnan(v))
+    explanation = F.map_filter(pairs, lambda _, v: v.isNotNull() & ~F.isnan(v))
     return solved.select(*df.columns, "probability", explanation.alias("explanation"))
 
 
