@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark.functions.columns import hash_uniform, normal_cdf, normal_quantile
-from churnspark.operators.features import FeatureSpec, category_frequencies
+from churnspark.operators.features import QUARTILES, FeatureSpec, category_frequencies
 from churnspark.operators.ordering import exact_quantiles, value_rows
 from churnspark.session import broadcast_if_small, shuffle_partitions, staged
 
@@ -32,24 +32,19 @@ SELECT_ALPHA, FIT_ALPHA = 0.01, 1.0  # ridge strength while choosing features an
 STD_FLOOR = 1e-11  # keeps the spread of a constant bin above zero
 
 
-def _cuts(df: DataFrame, cols) -> Column:
-    """Map feature -> sorted quartile cut points, as a scalar subquery."""
-    q = exact_quantiles(df, list(cols), [0.25, 0.5, 0.75])
-    per = q.groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("cuts"))  # three values each
-    return staged(per, "quartiles").agg(F.map_from_entries(F.collect_list(F.struct("feature", "cuts")))).scalar()
-
-
 def _bin(value: Column, cuts: Column) -> Column:
     """Number of cut points below the value: 0 for the lowest quarter, 3 for the highest."""
     return sum((value > cuts[i]).cast("int") for i in range(3))
 
 
-def quartile_cells(df: DataFrame, cols, cuts: Column | None = None) -> DataFrame:
+def quartile_cells(df: DataFrame, cols, quantiles: DataFrame | None = None) -> DataFrame:
     """(feature, bin, mean, std, n, share, min, max) of the four quarters of each numeric column.
 
     min and max are the ends of the quarter: cut points, and the extremes of the data at the outside.
     """
-    cuts = _cuts(df, cols) if cuts is None else cuts
+    quantiles = exact_quantiles(df, list(cols), QUARTILES) if quantiles is None else quantiles
+    per = quantiles.groupBy("feature").agg(F.array_sort(F.collect_list("value")).alias("cuts"))  # three values each
+    cuts = per.agg(F.map_from_entries(F.collect_list(F.struct("feature", "cuts")))).scalar()
     rows = value_rows(df, list(cols)).filter(F.col("value").isNotNull()).withColumn("cuts", F.element_at(cuts, F.col("feature")))
     per = rows.groupBy("feature", "cuts", _bin(F.col("value"), F.col("cuts")).alias("bin")).agg(
         F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"), F.count("*").alias("n"),
@@ -73,11 +68,11 @@ class Perturbation:
     cells: DataFrame  # feature, cell, lo, hi (share of draws), mean, std, min, max, p_lo, p_hi (normal share below the ends)
 
     @staticmethod
-    def fit(df: DataFrame, spec: FeatureSpec) -> Perturbation:
+    def fit(df: DataFrame, spec: FeatureSpec, quantiles: DataFrame | None = None) -> Perturbation:
         cats = category_frequencies(df, spec.categorical).select(
             "feature", F.col("value").alias("cell"), "n", *[F.lit(None).cast("double").alias(c) for c in ("mean", "std", "min", "max")]
         )
-        nums = quartile_cells(df, spec.numeric).select(
+        nums = quartile_cells(df, spec.numeric, quantiles).select(
             "feature", F.col("bin").cast("string").alias("cell"), "n", "mean", (F.col("std") + STD_FLOOR).alias("std"), "min", "max"
         )
         # As many rows per feature as the fitted model has levels for it.
@@ -101,11 +96,13 @@ class Perturbation:
             .agg(F.map_from_entries(F.collect_list(F.struct("feature", "ends"))))
             .scalar()
         )
-        out = {f"cell_{c}": F.col(c).cast("string") for c in self.spec.categorical}
+        missing = lambda c: F.raise_error(F.lit(f"{c} is null: fill defaults before explaining"))
+        out = {f"cell_{c}": F.coalesce(F.col(c).cast("string"), missing(c).cast("string")) for c in self.spec.categorical}
         for c in self.spec.numeric:
             ends = F.element_at(cuts, F.lit(c))
             above = lambda i: F.coalesce((F.col(c) > F.element_at(ends, F.lit(str(i)))).cast("int"), F.lit(0))  # noqa: B023, E731
-            out[f"cell_{c}"] = (above(0) + above(1) + above(2)).cast("string")
+            bin_ = (above(0) + above(1) + above(2)).cast("string")
+            out[f"cell_{c}"] = F.when(F.col(c).isNotNull(), bin_).otherwise(missing(c).cast("string"))
         return df.withColumns(out)
 
     def draw(self, n_samples: int, seed: int) -> DataFrame:
@@ -128,14 +125,21 @@ class Perturbation:
             *[only(f, "cell").alias(f"cell_{f}") for f in spec.features],
         )
 
-    def kernel(self, mismatches: Column) -> Column:
-        """Weight of a draw that differs from the row in ``mismatches`` features."""
-        width2 = 0.75**2 * len(self.spec.features)
-        return F.sqrt(F.exp(-mismatches / F.lit(width2)))
+    def kernel(self) -> np.ndarray:
+        """Weight of a draw by the number of features in which it differs from the row."""
+        f = len(self.spec.features)
+        return np.sqrt(np.exp(-np.arange(f + 1) / (0.75**2 * f)))
+
+    def codes(self) -> dict[str, dict[str, int]]:
+        """feature -> cell -> number; as many entries as the fitted model has levels."""
+        out: dict[str, dict[str, int]] = {f: {} for f in self.spec.features}
+        for r in self.cells.select("feature", "cell").orderBy("feature", "cell").collect():
+            out[r["feature"]][r["cell"]] = len(out[r["feature"]])
+        return out
 
 
 def gram_columns(features) -> list[str]:
-    """Names of the weighted sums, in the order the solver expects them."""
+    """Names of the weighted sums, in the order of the ``sums`` array."""
     f = list(features)
     return [
         "w", "wy", *[f"w_{a}" for a in f], *[f"wy_{a}" for a in f],
@@ -143,91 +147,120 @@ def gram_columns(features) -> list[str]:
     ]
 
 
+def weighted_sums(cells: np.ndarray, draws: np.ndarray, y: np.ndarray, kernel: np.ndarray) -> np.ndarray:
+    """Sums over the draws for each row of ``cells`` (numbers of its own cells), in :func:`gram_columns` order."""
+    f = draws.shape[1]
+    i, j = np.triu_indices(f, 1)
+    out = np.empty((len(cells), 2 + 2 * f + len(i)))
+    for r, own in enumerate(cells):
+        z = (draws == own).astype(float)
+        w = kernel[f - z.sum(axis=1).astype(int)]
+        wz = z * w[:, None]
+        out[r] = np.concatenate([[w.sum(), w @ y], wz.sum(axis=0), y @ wz, (wz.T @ z)[i, j]])
+    return out
+
+
 def gram(df: DataFrame, perturbation: Perturbation, predict: Predict, n_samples: int = 5000, seed: int = 1) -> DataFrame:
-    """Weighted sums over the draws, one row per distinct combination of cells in ``df`` (``cell_<f>`` columns).
+    """(cell_<f>..., sums): one row per distinct combination of cells in ``df``.
 
-    The combinations are spread evenly before they meet the draws, and the sums need no further shuffle.
+    The draws travel to the tasks as one small matrix, ``n_samples`` by features whatever the size of the data;
+    the combinations are spread evenly over the tasks, and each is summed where it lies.
     """
     feats = perturbation.spec.features
     cells = [f"cell_{f}" for f in feats]
-    # One row per draw: as many as the parameter asks for. Its columns get a prefix to keep both sides apart.
-    scored = predict(perturbation.draw(n_samples, seed))
-    draws = staged(scored.select("k", F.col("probability").alias("y"), *[F.col(c).alias(f"d_{c}") for c in cells]), "draws")
-    spark = df.sparkSession
-    patterns = staged(perturbation.cell_columns(df).select(*cells).distinct(), "patterns")
-    pairs = (
-        patterns.repartition(shuffle_partitions(spark), *cells)
-        .withColumn("k", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(n_samples - 1).cast("long"))))
-        .join(broadcast_if_small(draws), "k")
-    )
-    agree = pairs.selectExpr(*cells, "y", *[f"double(cell_{f} = d_cell_{f}) as z_{f}" for f in feats])
-    mismatches = F.expr(f"double({len(feats)}) - ({' + '.join(f'z_{f}' for f in feats)})")
-    agree = agree.withColumn("wt", perturbation.kernel(mismatches))
-    terms = ["wt", "wt * y"]
-    terms += [f"wt * z_{a}" for a in feats]
-    terms += [f"wt * z_{a} * y" for a in feats]
-    terms += [f"wt * z_{a} * z_{b}" for i, a in enumerate(feats) for b in feats[i + 1 :]]
-    return agree.groupBy(*cells).agg(*[F.expr(f"sum({t}) as {n}") for n, t in zip(gram_columns(feats), terms)])
+    codes, kernel = perturbation.codes(), perturbation.kernel()
+    drawn = predict(perturbation.draw(n_samples, seed)).select("k", "probability", *cells).orderBy("k").toPandas()
+    matrix = np.column_stack([drawn[c].map(codes[f]).to_numpy(np.int32) for f, c in zip(feats, cells)])
+    shared = df.sparkSession.sparkContext.broadcast((matrix, drawn["probability"].to_numpy(float)))
+
+    @F.pandas_udf("array<double>")
+    def sums(own: pd.DataFrame) -> pd.Series:
+        draws, y = shared.value
+        numbers = [own[c].map(codes[f]).fillna(-1).to_numpy(np.int32) for f, c in zip(feats, cells)]
+        return pd.Series(list(weighted_sums(np.column_stack(numbers), draws, y, kernel)), dtype=object)
+
+    patterns = perturbation.cell_columns(df).select(*cells).distinct()
+    spread = patterns.repartition(shuffle_partitions(df.sparkSession), *cells)
+    return spread.select(*cells, sums(F.struct(*cells)).alias("sums"))
 
 
 def with_gram(df: DataFrame, perturbation: Perturbation, predict: Predict, n_samples: int = 5000, seed: int = 1) -> DataFrame:
-    """``df`` with its probability and the weighted sums of its samples, the row itself included."""
+    """``df`` with its probability and the weighted sums of its samples by name, the row itself included."""
     feats = perturbation.spec.features
     cells = [f"cell_{f}" for f in feats]
-    names = gram_columns(feats)
-    sums = staged(gram(df, perturbation, predict, n_samples, seed), "gram")
-    rows = perturbation.cell_columns(predict(df)).join(broadcast_if_small(sums), cells)
+    table = staged(gram(df, perturbation, predict, n_samples, seed), "gram")
+    rows = perturbation.cell_columns(predict(df)).join(broadcast_if_small(table), cells)
     # The row itself agrees with itself in every feature and has weight 1.
-    own = [f"{n} + {'probability' if n.startswith('wy') else 'double(1)'} as {n}" for n in names]
+    own = [
+        f"sums[{i}] + {'probability' if n.startswith('wy') else 'double(1)'} as {n}" for i, n in enumerate(gram_columns(feats))
+    ]
     return rows.selectExpr(*df.columns, "probability", *own)
 
 
-def _ridge(zz: np.ndarray, zy: np.ndarray, keep: np.ndarray, alpha: float) -> np.ndarray:
-    """Ridge weights of many rows at once from centred sums; features not kept get weight 0."""
-    mask = keep[:, :, None] & keep[:, None, :]
-    a = np.where(mask, zz, 0.0) + np.eye(zz.shape[1]) * np.where(keep, alpha, 1.0)[:, None, :]
-    return np.linalg.solve(a, np.where(keep, zy, 0.0)[:, :, None])[:, :, 0]
-
+def solve_sums(sums: np.ndarray, f: int, alpha: float, keep: np.ndarray | None = None) -> np.ndarray:
+    """Ridge weights (rows x features x 2) with a free intercept, from :func:`gram_columns` sums of the draws.
 
-def solve_sums(sums: np.ndarray, n_features: int, k: int) -> np.ndarray:
-    """Surrogate weights (rows x features) from rows of :func:`gram_columns` sums; NaN where not chosen (null in Spark)."""
-    f = n_features
-    w, wy, wz, wzy = sums[:, 0], sums[:, 1], sums[:, 2 : 2 + f], sums[:, 2 + f : 2 + 2 * f]
-    zz = np.zeros((len(sums), f, f))
+    The explained row joins as a sample that agrees in every feature; its probability p is left open: the
+    weights are ``[..., 0] + p * [..., 1]``. Features not in ``keep`` get weight 0.
+    """
+    w, wy, wz, wzy = sums[:, :1] + 1.0, sums[:, 1:2], sums[:, 2 : 2 + f] + 1.0, sums[:, 2 + f : 2 + 2 * f]
+    zz = np.empty((len(sums), f, f))
     i, j = np.triu_indices(f, 1)
-    zz[:, i, j] = zz[:, j, i] = sums[:, 2 + 2 * f :]
+    zz[:, i, j] = zz[:, j, i] = sums[:, 2 + 2 * f :] + 1.0
     zz[:, np.arange(f), np.arange(f)] = wz
-    zz -= wz[:, :, None] * wz[:, None, :] / w[:, None, None]
-    zy = wzy - wz * (wy / w)[:, None]
-    rough = _ridge(zz, zy, np.ones((len(sums), f), bool), SELECT_ALPHA)
-    order = np.argsort(-np.abs(rough), axis=1, kind="stable")[:, :k]
-    keep = np.zeros((len(sums), f), bool)
-    np.put_along_axis(keep, order, True, axis=1)
-    return np.where(keep, _ridge(zz, zy, keep, FIT_ALPHA), np.nan)
+    zz -= wz[:, :, None] * wz[:, None, :] / w[:, :, None]
+    zy = np.stack([wzy - wz * wy / w, 1.0 - wz / w], axis=2)
+    keep = np.ones((len(sums), f), bool) if keep is None else keep
+    a = np.where(keep[:, :, None] & keep[:, None, :], zz, 0.0) + np.eye(f) * np.where(keep, alpha, 1.0)[:, None, :]
+    return np.linalg.solve(a, np.where(keep[:, :, None], zy, 0.0))
 
 
-def _solver(n_features: int, k: int):
-    @F.pandas_udf("array<double>")
-    def solve(sums: pd.Series) -> pd.Series:
+def _solver(f: int, alpha: float):
+    @F.pandas_udf("base array<double>, slope array<double>")
+    def solve(sums: pd.Series, chosen: pd.Series) -> pd.DataFrame:
         if sums.empty:
-            return pd.Series([], dtype=object)
-        return pd.Series(list(solve_sums(np.stack(sums.to_numpy()), n_features, k)))
+            return pd.DataFrame({"base": [], "slope": []}, dtype=object)
+        keep = np.zeros((len(sums), f), bool)
+        for row, features in zip(keep, chosen):
+            row[np.asarray(features, dtype=int)] = True
+        out = solve_sums(np.stack(sums.to_numpy()), f, alpha, keep)
+        return pd.DataFrame({"base": list(out[:, :, 0]), "slope": list(out[:, :, 1])})
 
     return solve
 
 
+def _at(solution: str) -> str:
+    """Weights of a solution at the row's own probability, as SQL text."""
+    return f"zip_with({solution}.base, {solution}.slope, (a, b) -> a + probability * b)"
+
+
 def explain(
     df: DataFrame, perturbation: Perturbation, predict: Predict, n_samples: int = 5000, k: int = 10, seed: int = 1
 ) -> DataFrame:
-    """``df`` with ``probability`` and ``explanation``: feature -> weight of the ``k`` strongest features per row."""
+    """``df`` with ``probability`` and ``explanation``: feature -> weight of the ``k`` strongest features per row.
+
+    Solving is done once per combination of cells (and set of chosen features), never per row: a row's own
+    probability enters its weights linearly.
+    """
     feats = perturbation.spec.features
-    names = gram_columns(feats)
-    rows = with_gram(df, perturbation, predict, n_samples, seed)
-    weights = _solver(len(feats), k)(F.array(*names))
-    solved = rows.withColumn("_weights", weights)
-    pairs = F.map_from_arrays(F.array(*[F.lit(f) for f in feats]), F.col("_weights"))
-    explanation = F.map_filter(pairs, lambda _, v: v.isNotNull() & ~F.isnan(v))
-    return solved.select(*df.columns, "probability", explanation.alias("explanation"))
+    f, cells = len(feats), [f"cell_{x}" for x in feats]
+    everything = F.array(*[F.lit(i) for i in range(f)])
+    rows = perturbation.cell_columns(predict(df)).select(*df.columns, "probability", *cells)
+    table = staged(gram(df, perturbation, predict, n_samples, seed), "gram")
+    if k >= f:
+        solved = table.select(*cells, _solver(f, FIT_ALPHA)("sums", everything).alias("fit"))
+        rows = rows.join(broadcast_if_small(staged(solved, "weights")), cells).withColumn("chosen", everything)
+    else:
+        rough = table.select(*cells, _solver(f, SELECT_ALPHA)("sums", everything).alias("rough"))
+        rows = rows.join(broadcast_if_small(staged(rough, "rough")), cells)
+        ranked = f"array_sort(transform({_at('rough')}, (v, i) -> struct(-abs(v) as rank, i as i)))"
+        rows = rows.withColumn("chosen", F.expr(f"array_sort(transform(slice({ranked}, 1, {k}), e -> e.i))"))
+        pairs = rows.select(*cells, "chosen").distinct().join(broadcast_if_small(table), cells)
+        solved = pairs.select(*cells, "chosen", _solver(f, FIT_ALPHA)("sums", "chosen").alias("fit"))
+        rows = rows.join(broadcast_if_small(staged(solved, "weights")), [*cells, "chosen"])
+    names = ", ".join(f"'{x}'" for x in feats)
+    entries = f"transform(chosen, i -> struct(array({names})[i] as key, ({_at('fit')})[i] as value))"
+    return rows.select(*df.columns, "probability", F.expr(f"map_from_entries({entries})").alias("explanation"))
 
 
 def top_features(explanation, k: int = 10) -> Column:

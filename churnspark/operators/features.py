@@ -99,9 +99,9 @@ def broadcast_check(dictionary: DataFrame):
 
 
 def decode(codes: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """(..., feature, code) rows with the category ``value`` the code stands for."""
+    """(..., feature, code) rows with the category ``value`` the code stands for; ``dictionary`` is a written table."""
     names = dictionary.select(F.col("feature").alias("_f"), F.col("code").alias("_c"), "value")
-    return codes.join(names, (F.col("feature") == F.col("_f")) & (F.col("code") == F.col("_c"))).drop("_f", "_c")
+    return codes.join(broadcast_if_small(names), (F.col("feature") == F.col("_f")) & (F.col("code") == F.col("_c"))).drop("_f", "_c")
 
 
 def onehot_rows(df: DataFrame, dictionary: DataFrame, spec: FeatureSpec, key: str) -> DataFrame:
@@ -109,8 +109,8 @@ def onehot_rows(df: DataFrame, dictionary: DataFrame, spec: FeatureSpec, key: st
 
     Zero entries of the indicator columns are left out, as in a sparse vector.
     """
-    offsets = _level_offsets(dictionary, spec)
-    cats = category_rows(df, spec.categorical, [key]).join(offsets, ["feature", "value"]).select(
+    offsets = staged(_level_offsets(dictionary, spec), "levels")
+    cats = category_rows(df, spec.categorical, [key]).join(broadcast_if_small(offsets), ["feature", "value"]).select(
         key, "position", F.concat("feature", F.lit("="), "value").alias("name"), F.lit(1.0).alias("x")
     )
     n_levels = offsets.agg(F.count("*")).scalar()
@@ -164,18 +164,26 @@ def standardize(df: DataFrame, cols, scaler: DataFrame) -> DataFrame:
     return df.withColumns(out)
 
 
-def numeric_stats(df: DataFrame, cols) -> DataFrame:
-    """(feature, median, mean, min, max, std): exact median, sample standard deviation."""
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def numeric_stats(df: DataFrame, cols, quantiles: DataFrame | None = None) -> DataFrame:
+    """(feature, median, mean, min, max, std): exact median, sample standard deviation.
+
+    ``quantiles`` may hold ready results of :func:`exact_quantiles` that include the median.
+    """
     base = _describe(df, cols, {"mean": F.avg, "min": F.min, "max": F.max, "std": F.stddev_samp})
-    median = exact_quantiles(df, list(cols), [0.5]).select("feature", F.col("value").alias("median"))
+    quantiles = exact_quantiles(df, list(cols), [0.5]) if quantiles is None else quantiles
+    median = quantiles.filter("prob = 0.5").select("feature", F.col("value").alias("median"))
     return base.join(median, "feature", "left").select("feature", "median", "mean", "min", "max", "std")
 
 
-def default_values(df: DataFrame, spec: FeatureSpec) -> DataFrame:
+def default_values(df: DataFrame, spec: FeatureSpec, quantiles: DataFrame | None = None) -> DataFrame:
     """One row: first sorted category of each categorical feature, median of each numeric feature."""
+    quantiles = exact_quantiles(df, list(spec.numeric), [0.5]) if quantiles is None else quantiles
     first = df.agg(*[F.min(c).alias(c) for c in spec.categorical])
     medians = (
-        exact_quantiles(df, list(spec.numeric), [0.5])
+        quantiles.filter("prob = 0.5")
         .agg(F.map_from_entries(F.collect_list(F.struct("feature", "value"))).alias("m"))
         .scalar()
     )
@@ -189,10 +197,11 @@ def categories(dictionary: DataFrame) -> DataFrame:
     return dictionary.select("feature", F.col("code").alias("index"), "value")
 
 
-def fit_tables(df: DataFrame, spec: FeatureSpec):
+def fit_tables(df: DataFrame, spec: FeatureSpec, quantiles: DataFrame | None = None):
     """(dictionary, defaults, stats) of the training rows, each written once because serving reads them often."""
+    quantiles = exact_quantiles(df, list(spec.numeric), QUARTILES) if quantiles is None else quantiles
     return (
         staged(fit_dictionary(df, spec.categorical), "dictionary"),
-        staged(default_values(df, spec), "defaults"),
-        staged(numeric_stats(df, list(spec.numeric)), "stats"),
+        staged(default_values(df, spec, quantiles), "defaults"),
+        staged(numeric_stats(df, list(spec.numeric), quantiles), "stats"),
     )

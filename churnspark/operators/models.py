@@ -20,7 +20,8 @@ from pyspark.sql import types as T
 from churnspark.operators import explain as L
 from churnspark.operators.cleaning import cast_request, fill_defaults
 from churnspark.operators.evaluation import accuracy
-from churnspark.operators.features import FeatureSpec, categories, fit_tables
+from churnspark.operators.features import QUARTILES, FeatureSpec, categories, fit_tables
+from churnspark.operators.ordering import exact_quantiles
 from churnspark.operators.sampling import folds
 from churnspark.session import staged
 
@@ -48,6 +49,7 @@ def with_target(df: DataFrame, label: str, positive: str) -> DataFrame:
 
 
 ROWS_PER_TASK = 20_000  # fewer rows than this per task and an iteration is mostly scheduling
+SPREAD_BELOW = 1_000_000  # a forest's table below this size is spread over all cores first
 
 
 def _encoded(prep: PipelineModel, df: DataFrame, keep=()) -> tuple[DataFrame, int]:
@@ -139,10 +141,14 @@ def fit_forest(
     train = with_target(train, label, positive)
     prep = Pipeline(stages=preparation(spec, onehot=False)).fit(train)
     # The written vector carries no nominal metadata, so every split is a threshold.
-    data, _ = _encoded(prep, train)
+    data, n = _encoded(prep, train)
+    if n < SPREAD_BELOW:  # work per row is high: use every core even for a small table
+        data = data.repartition(train.sparkSession.sparkContext.defaultParallelism)
+    # Deep trees: keeping each row's node beside the rows is cheaper than sending the trees to every task.
     forest = RandomForestClassifier(
-        featuresCol="features", labelCol="target", numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed, maxBins=256
-    )
+        featuresCol="features", labelCol="target", numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed,
+        maxBins=128, cacheNodeIds=True,
+    )
     return PipelineModel(stages=[*prep.stages, forest.fit(data)])
 
 
@@ -196,8 +202,10 @@ class ExplainedModel:
     def build(data: DataFrame, spec: FeatureSpec, label: str, model: PipelineModel) -> ExplainedModel:
         """Bundle ``model`` with the tables fitted on all cleaned rows of ``data``."""
         features = data.select(*spec.features)
-        dictionary, defaults, stats = fit_tables(features, spec)
-        return ExplainedModel(spec, label, model, dictionary, defaults, stats, L.Perturbation.fit(features, spec), features.schema)
+        quantiles = exact_quantiles(features, list(spec.numeric), QUARTILES)
+        dictionary, defaults, stats = fit_tables(features, spec, quantiles)
+        perturbation = L.Perturbation.fit(features, spec, quantiles)
+        return ExplainedModel(spec, label, model, dictionary, defaults, stats, perturbation, features.schema)
 
     @property
     def label_name(self) -> str:

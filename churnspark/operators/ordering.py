@@ -9,18 +9,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnspark.session import as_columns, shuffle_partitions, staged
+from churnspark.session import as_columns, broadcast_if_small, shuffle_partitions, staged
 
 _ROW_BITS = 33  # monotonically_increasing_id: partition above, row within the partition below
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & left[k].eqNullSafe(right[k])
-    return cond
-
-
 def _running_before(runs: DataFrame, value: str, by: list[str]) -> Column:
     """Sum of ``value`` over the earlier partitions of the same group (one row per partition and group)."""
     w = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -97,40 +90,94 @@ def with_running_total(df: DataFrame, order: list[str], weights: list[str], by=(
     )
 
 
+# Brackets around each wanted rank come from a sketch whose rank error is at most rows / SKETCH. The bracket
+# reaches twice that far, so above SMALL rows the rank and its neighbour lie inside; up to SMALL rows the
+# bracket is the whole column.
+SKETCH = 10_000
+SMALL = 2 * SKETCH
+
+
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by=()) -> DataFrame:
     """Exact quantiles (linear between the two closest ranks) as rows (by..., feature, prob, value).
 
-    Equal values are counted first, so only distinct values are ordered, and they are ordered across
-    partitions: no task holds a whole column. Nulls and NaN are left out.
+    One pass sketches a narrow bracket around each rank; a second pass counts the rows below the bracket and
+    ranks only the distinct values inside it, across partitions. Neither pass moves the column through a
+    shuffle or holds it in one task. The small result is written; should a bracket ever miss its rank, the
+    whole column is ranked instead. Nulls and NaN are left out.
     """
-    by = list(by)
-    keys = [*by, "feature"]
+    by, cols, probs = list(by), list(cols), [float(p) for p in probs]
+    x = {c: F.col(c).cast("double") for c in cols}
+    src = df.select(*by, *[F.when(~F.isnan(x[c]), x[c]).alias(f"x{i}") for i, c in enumerate(cols)])
+    names = [f"x{i}" for i in range(len(cols))]
+    marks = src.groupBy(*by).agg(
+        *[f(n).alias(f"{k}_{n}") for n in names for k, f in (("n", F.count), ("min", F.min), ("max", F.max))],
+        *[F.percentile_approx(n, _bracket_probs(probs), SKETCH).alias(f"q_{n}") for n in names],
+    )
+    marks = staged(marks, "marks")
+    wanted = marks.agg(*[F.count_if(F.col(f"n_{n}") > 0).alias(n) for n in names]).first()
+    expected = sum(wanted) * len(probs)
+    for whole in (False, True):
+        ends = staged(_ranked_values(src, marks, names, cols, probs, by, whole), "quantiles")
+        found = ends.agg(F.count("*").alias("rows"), F.count("value").alias("values")).first()
+        if found["rows"] == found["values"] == expected:
+            return ends
+    raise AssertionError("ranks outside the whole column")
+
+
+def _bracket_probs(probs: list[float]) -> list[float]:
+    reach = 2.0 / SKETCH
+    return [q for p in probs for q in (max(0.0, p - reach), min(1.0, p + reach))]
+
+
+def _ranked_values(src, marks, names, cols, probs, by, whole: bool) -> DataFrame:
+    """The quantiles from the values inside the brackets and the number of rows below them."""
+    reach = 2.0 / SKETCH
+    bounds = []
+    for n in names:
+        small = F.lit(whole) | (F.col(f"n_{n}") <= SMALL)
+        for j, p in enumerate(probs):
+            lo, hi = F.col(f"q_{n}")[2 * j], F.col(f"q_{n}")[2 * j + 1]
+            bounds.append(F.when(small | F.lit(p - reach <= 0), F.col(f"min_{n}")).otherwise(lo).alias(f"lo_{n}_{j}"))
+            bounds.append(F.when(small | F.lit(p + reach >= 1), F.col(f"max_{n}")).otherwise(hi).alias(f"hi_{n}_{j}"))
+    wide = marks.select(*[F.col(b).alias(f"_m_{b}") for b in by], *[f"n_{n}" for n in names], *bounds)
+    m = [c for c in wide.columns if not c.startswith("_m_")]
+    if by:
+        same = F.lit(True)
+        for b in by:
+            same = same & F.col(b).eqNullSafe(F.col(f"_m_{b}"))
+        placed = src.join(broadcast_if_small(wide), same).select(*by, *names, F.struct(*m).alias("m"))
+    else:
+        placed = src.withColumn("m", wide.select(F.struct(*m)).scalar())
+    cells = [
+        F.struct(
+            F.lit(c).alias("feature"),
+            F.lit(p).alias("prob"),
+            F.col(f"m.n_{n}").alias("total"),
+            F.when(F.col(n) >= F.col(f"m.lo_{n}_{j}"), F.col(n)).alias("value"),
+            (F.col(n) <= F.col(f"m.hi_{n}_{j}")).alias("kept"),
+        )
+        for n, c in zip(names, cols)
+        for j, p in enumerate(probs)
+    ]
+    # Rows below a bracket share the null value, so they are counted into one row before the shuffle.
+    keys = [*by, "feature", "prob", "total"]
     counts = (
-        value_rows(df, cols, by)
-        .filter(F.col("value").isNotNull() & ~F.isnan("value"))
+        placed.select(*by, F.explode(F.array(*cells)).alias("c"))
+        .select(*by, "c.*")
+        .filter("kept")
         .groupBy(*keys, "value")
         .agg(F.count("*").alias("n"))
     )
     ranked = with_running_total(counts, ["value"], ["n"], by=keys)
-    hits = (
-        ranked.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("rank", F.col("prob") * (F.col("n_total") - 1))
-        .withColumn("lo", F.floor("rank"))
-        .withColumn("hi", F.ceil("rank"))
-    )
+    rank = F.col("prob") * (F.col("total") - 1)
     first = F.col("n_upto") - F.col("n")
-    has_lo = (F.col("lo") >= first) & (F.col("lo") < F.col("n_upto"))
-    has_hi = (F.col("hi") >= first) & (F.col("hi") < F.col("n_upto"))
-    ends = (
-        hits.filter(has_lo | has_hi)
-        .groupBy(*keys, "prob")
-        .agg(
-            F.max(F.when(has_lo, F.col("value"))).alias("a"),
-            F.max(F.when(has_hi, F.col("value"))).alias("b"),
-            F.max(F.col("rank") - F.col("lo")).alias("t"),
-        )
+    holds = lambda r: (r >= first) & (r < F.col("n_upto"))
+    ends = ranked.filter(holds(F.floor(rank)) | holds(F.ceil(rank))).groupBy(*keys).agg(
+        F.max(F.when(holds(F.floor(rank)), F.col("value"))).alias("a"),
+        F.max(F.when(holds(F.ceil(rank)), F.col("value"))).alias("b"),
     )
-    return ends.select(*keys, "prob", (F.col("a") + (F.col("b") - F.col("a")) * F.col("t")).alias("value"))
+    value = F.col("a") + (F.col("b") - F.col("a")) * (rank - F.floor(rank))
+    return ends.select(*by, "feature", "prob", value.alias("value"))
 
 
 def value_rows(df: DataFrame, cols: list[str], keep=()) -> DataFrame:

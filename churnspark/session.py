@@ -10,6 +10,7 @@ from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @lru_cache(maxsize=1)
@@ -49,15 +50,24 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-# A table of at most this many rows is broadcast; a larger one goes through an ordinary join.
-BROADCAST_ROWS = 1_000_000
+# A table estimated at no more than this is broadcast; a larger one goes through an ordinary join.
+BROADCAST_BYTES = 64 * 1024 * 1024
+_WIDE_VALUE = 64  # assumed bytes of a text, array or map value; other types take at most 16
 
 
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only when ``df`` has no more than ``limit`` rows; otherwise leave the join to Spark.
+def broadcast_rows(df: DataFrame) -> int:
+    """How many rows of this schema fit the broadcast limit."""
+    plain = (T.NumericType, T.BooleanType, T.DatetimeType)
+    width = sum(16 if isinstance(f.dataType, plain) else _WIDE_VALUE for f in df.schema.fields)
+    return BROADCAST_BYTES // max(width, 16)
 
-    The check reads at most ``limit + 1`` rows. Call it on a written or cached table.
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast only when the rows of ``df`` fit the limit; otherwise leave the join to Spark.
+
+    The check reads no more rows than fit, plus one. Call it on a written table.
     """
+    limit = broadcast_rows(df)
     return F.broadcast(df) if df.limit(limit + 1).count() <= limit else df
 
 

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -57,6 +58,29 @@ def test_quantiles_equal_numpy(spark, n):
         assert got[("y", p)] == pytest.approx(np.quantile(-xs, p), abs=1e-12)
 
 
+@pytest.mark.parametrize("shape", ["heavy", "hot", "two"])
+def test_quantiles_of_many_rows_through_brackets(spark, shape):
+    """Above the small limit only values near the rank are ordered; the result stays exact."""
+    rng = np.random.default_rng(3)
+    n = 60_000
+    xs = {"heavy": rng.pareto(0.5, n), "hot": np.where(rng.random(n) < 0.34, 7.0, rng.normal(7, 3, n)), "two": rng.integers(0, 2, n) * 1.0}[shape]
+    df = spark.createDataFrame(pd.DataFrame({"g": np.where(np.arange(n) % 3 == 0, "a", "b"), "x": xs})).repartition(7)
+    probs = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
+    got = {r.prob: r.value for r in exact_quantiles(df, ["x"], probs).collect()}
+    assert got == {p: pytest.approx(np.quantile(xs, p), rel=1e-12) for p in probs}
+    per = {(r.g, r.prob): r.value for r in exact_quantiles(df, ["x"], [0.5], by=["g"]).collect()}
+    assert per["a", 0.5] == pytest.approx(np.median(xs[::3]), rel=1e-12)
+
+
+def test_a_missed_bracket_falls_back(spark, monkeypatch):
+    """With a bracket that cannot hold the rank the whole column is ranked."""
+    from churnspark.operators import ordering as O
+
+    monkeypatch.setattr(O, "_bracket_probs", lambda probs: [0.0] * 2 * len(probs))
+    df = spark.range(30_000).select(F.col("id").cast("double").alias("x"))
+    assert exact_quantiles(df, ["x"], [0.5]).first().value == 14999.5
+
+
 def test_quantiles_skip_null_and_nan(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", float("nan")), ("a", 3.0), (None, 5.0)], "g string, x double")
     got = {r.g: r.value for r in exact_quantiles(df, ["x"], [0.5], by=["g"]).collect()}
