@@ -83,10 +83,11 @@ def label_to_bool(spark, sf):
 @query(f"with {REQUEST_CTE} select customer_id, segment, region, senior, tenure, monthly_charges from requests")
 def cast_request(spark, sf):
     """Requests arrive as text; each field takes the type that its feature was trained with."""
-    texts = request_frame(spark, sf).select(
+    clean = clean_churn(spark, sf)
+    texts = request_frame(clean).select(
         *[F.col(c).cast("string").alias(c) for c in ("customer_id", "segment", "region", "senior", "tenure", "monthly_charges")]
     )
-    return K.cast_request(texts, clean_churn(spark, sf).select(*FEATURES).schema, keep=["customer_id"])
+    return K.cast_request(texts, clean.select(*FEATURES).schema, keep=["customer_id"])
 
 
 DEFAULTS_CTE = f"""{REQUEST_CTE},
@@ -101,8 +102,8 @@ defaults as (
     {", ".join(f"coalesce(r.{c}, d.{c}) as {c}" for c in FEATURES)} from requests r, defaults d"""
 )
 def fill_defaults(spark, sf):
-    defaults = staged(X.default_values(clean_churn(spark, sf), SPEC), "defaults")
-    return K.fill_defaults(request_frame(spark, sf), defaults)
+    clean = staged(clean_churn(spark, sf), "clean")
+    return K.fill_defaults(request_frame(clean), X.default_values(clean, SPEC))
 
 
 @query(
@@ -110,8 +111,9 @@ def fill_defaults(spark, sf):
 )
 def map_defaults(spark, sf):
     """Map-typed requests: every request supplies the key segment, with a null value by rule, and no region."""
-    d = X.default_values(clean_churn(spark, sf), SPEC).select(F.create_map(F.lit("segment"), "segment", F.lit("region"), "region")).scalar()
-    r = request_frame(spark, sf).select("customer_id", F.create_map(F.lit("segment"), F.col("segment")).alias("args"), d.alias("defaults"))
+    clean = staged(clean_churn(spark, sf), "clean")
+    d = X.default_values(clean, SPEC).select(F.create_map(F.lit("segment"), "segment", F.lit("region"), "region")).scalar()
+    r = request_frame(clean).select("customer_id", F.create_map(F.lit("segment"), F.col("segment")).alias("args"), d.alias("defaults"))
     full = r.select("customer_id", C.overlay("defaults", "args").alias("m"))
     return full.select("customer_id", F.col("m")["segment"].alias("segment"), F.col("m")["region"].alias("region"))
 

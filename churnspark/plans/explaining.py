@@ -107,8 +107,8 @@ def explain_batch(spark, sf):
 @query()
 def serve_batch(spark, sf):
     """Requests with missing fields answered in one job, and the answers logged."""
-    em, _ = explained_model(spark, sf)
-    answers = em.serve(request_frame(spark, sf), "customer_id", N_SAMPLES)
+    em, rows = explained_model(spark, sf)
+    answers = em.serve(request_frame(rows), "customer_id", N_SAMPLES)
     log = work_table(spark, "served")
     M.append_inference_log(
         answers.select(

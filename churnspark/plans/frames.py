@@ -131,10 +131,10 @@ clean as (
 """
 
 
-def request_frame(spark: SparkSession, sf: str) -> DataFrame:
+def request_frame(clean: DataFrame) -> DataFrame:
     """Scoring requests: complete customers with some fields left out by rule."""
     key = F.col("customer_id").cast("long")
-    return clean_churn(spark, sf).select(
+    return clean.select(
         "customer_id",
         F.when(key % 3 != 0, F.col("segment")).alias("segment"),
         "region",

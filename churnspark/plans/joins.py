@@ -50,9 +50,9 @@ def join_code_names(spark, sf):
 )
 def join_defaults(spark, sf):
     """The one row of defaults beside every request."""
-    defaults = X.default_values(clean_churn(spark, sf), SPEC)
-    row = staged(defaults, "defaults").select(F.struct(*FEATURES)).scalar()
-    return request_frame(spark, sf).select("customer_id", *[row[c].alias(f"default_{c}") for c in FEATURES])
+    clean = staged(clean_churn(spark, sf), "clean")
+    row = X.default_values(clean, SPEC).select(F.struct(*FEATURES)).scalar()
+    return request_frame(clean).select("customer_id", *[row[c].alias(f"default_{c}") for c in FEATURES])
 
 
 STATS_CTE = "stats as (" + " union all ".join(
