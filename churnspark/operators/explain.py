@@ -249,15 +249,16 @@ def explain(
     table = staged(gram(df, perturbation, predict, n_samples, seed), "gram")
     if k >= f:
         solved = table.select(*cells, _solver(f, FIT_ALPHA)("sums", everything).alias("fit"))
-        rows = rows.join(broadcast_if_small(staged(solved, "weights")), cells).withColumn("chosen", everything)
-    else:
-        rough = table.select(*cells, _solver(f, SELECT_ALPHA)("sums", everything).alias("rough"))
-        rows = rows.join(broadcast_if_small(staged(rough, "rough")), cells)
-        ranked = f"array_sort(transform({_at('rough')}, (v, i) -> struct(-abs(v) as rank, i as i)))"
-        rows = rows.withColumn("chosen", F.expr(f"array_sort(transform(slice({ranked}, 1, {k}), e -> e.i))"))
-        pairs = rows.select(*cells, "chosen").distinct().join(broadcast_if_small(table), cells)
-        solved = pairs.select(*cells, "chosen", _solver(f, FIT_ALPHA)("sums", "chosen").alias("fit"))
-        rows = rows.join(broadcast_if_small(staged(solved, "weights")), [*cells, "chosen"])
+        rows = rows.join(broadcast_if_small(staged(solved, "weights")), cells)
+        entries = ", ".join(f"'{x}', fit.base[{i}] + probability * fit.slope[{i}]" for i, x in enumerate(feats))
+        return rows.select(*df.columns, "probability", F.expr(f"map({entries})").alias("explanation"))
+    rough = table.select(*cells, _solver(f, SELECT_ALPHA)("sums", everything).alias("rough"))
+    rows = rows.join(broadcast_if_small(staged(rough, "rough")), cells)
+    ranked = f"array_sort(transform({_at('rough')}, (v, i) -> struct(-abs(v) as rank, i as i)))"
+    rows = rows.withColumn("chosen", F.expr(f"array_sort(transform(slice({ranked}, 1, {k}), e -> e.i))"))
+    pairs = rows.select(*cells, "chosen").distinct().join(broadcast_if_small(table), cells)
+    solved = pairs.select(*cells, "chosen", _solver(f, FIT_ALPHA)("sums", "chosen").alias("fit"))
+    rows = rows.join(broadcast_if_small(staged(solved, "weights")), [*cells, "chosen"])
     names = ", ".join(f"'{x}'" for x in feats)
     entries = f"transform(chosen, i -> struct(array({names})[i] as key, ({_at('fit')})[i] as value))"
     return rows.select(*df.columns, "probability", F.expr(f"map_from_entries({entries})").alias("explanation"))
