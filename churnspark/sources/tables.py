@@ -60,8 +60,12 @@ def replace_table(df: DataFrame, name: str) -> None:
 
 
 def append_table(df: DataFrame, name: str, partition_by=()) -> None:
-    writer = df.write.format("parquet").mode("append")
-    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    """Append rows; a partitioned target is written in files of even size, a partition with most rows in many."""
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
+        df.write.format("parquet").mode("append").partitionBy(*partition_by).saveAsTable(name)
+    else:
+        df.write.format("parquet").mode("append").saveAsTable(name)
 
 
 def register(df: DataFrame, name: str) -> DataFrame:

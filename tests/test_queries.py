@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP"}
 # Fitting these takes long; test_models.py and test_explain.py cover them on small frames.
-FITTED = {"logreg_cv", "param_search", "random_forest", "compare_models", "explain_batch", "serve_batch", "what_if_fitted", "model_save_load", "score_label", "score_probability", "fit_model"}
+FITTED = {"logreg_cv", "param_search", "random_forest", "compare_models", "explain_batch", "serve_batch", "what_if_fitted", "score_label", "score_probability", "fit_model"}
 
 
 @pytest.fixture(scope="module")
