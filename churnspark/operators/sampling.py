@@ -19,10 +19,11 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFram
 
 
 def _first_by_hash(df: DataFrame, key: str, seed, wanted: Callable[[Column], Column]) -> Column:
-    """True for exactly the ``wanted(total)`` rows that come first in (hash, key) order. Keys are unique.
+    """True for exactly the ``wanted(total)`` rows that come first in (hash, key) order.
 
-    No full sort: a histogram over hash prefixes finds the bucket in which the cut falls, and only that
-    bucket (a millionth of the rows) is ranked.
+    No full sort: a histogram over hash prefixes finds the bucket in which the cut falls, and only the keys of
+    that bucket (a millionth of all) are ranked, counted first. Keys should be unique; rows of a repeated key
+    are taken or left together.
     """
     h = hash_text(seed, key)
     bucket = F.substring(h, 1, _BUCKET_CHARS)
@@ -35,8 +36,10 @@ def _first_by_hash(df: DataFrame, key: str, seed, wanted: Callable[[Column], Col
         F.struct("b", (F.col("wanted") - F.col("upto") + F.col("n")).alias("need"))
     )
     border = df.filter(bucket == cut.scalar()["b"]).select(F.struct(h.alias("h"), F.col(key).alias("k")).alias("place"))
-    ranked = border.withColumn("rn", F.row_number().over(Window.orderBy("place")))
-    last = ranked.filter(F.col("rn") == cut.scalar()["need"]).select("place").scalar()
+    keys = border.groupBy("place").agg(F.count("*").alias("n"))
+    ranked = keys.withColumn("upto", F.sum("n").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)))
+    need = cut.scalar()["need"]
+    last = ranked.filter((F.col("upto") - F.col("n") < need) & (need <= F.col("upto"))).select("place").scalar()
     return F.coalesce(F.struct(h.alias("h"), F.col(key).alias("k")) <= last, F.lit(False))
 
 

@@ -36,6 +36,13 @@ def test_sample_n_is_the_hash_order(base):
     assert keys(S.sample_n(base, 50, "k", 7)) == want
 
 
+def test_repeated_key_goes_as_a_whole(spark):
+    df = spark.range(900).select(F.when(F.col("id") < 300, "hot").otherwise(F.concat(F.lit("c"), "id")).alias("k"))
+    for n in (1, 200, 450, 900):
+        got = keys(S.sample_n(df, n, "k", 7))
+        assert got.count("hot") in (0, 300) and n <= len(got) < n + 300
+
+
 def test_seeds_differ(base):
     assert keys(S.sample_n(base, 50, "k", 7)) != keys(S.sample_n(base, 50, "k", 8))
 
