@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnspark.llm.decontaminate import decontaminate
+from churnspark.llm.mixing import mix_sources
 from churnspark.llm.substring_dedup import substring_dedup
 
 LLM_QUERIES: dict = {}
@@ -44,3 +46,51 @@ _SPACED = r"'[^\x20\x09-\x0D]+'"
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup(_table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+@_query(
+    rf"""
+    WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), {_SPACED}))::BIGINT AS size FROM documents),
+    s AS (SELECT source, sum(size)::BIGINT AS source_size, (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight FROM d GROUP BY source),
+    l AS (SELECT source, source_size, weight, 3 * source_size AS most, 3 * source_size / weight AS level FROM s),
+    k AS (SELECT a.level, (SELECT sum(source_size) FROM l) - coalesce(sum(b.most) FILTER (WHERE b.level < a.level), 0) AS rest,
+                 sum(b.weight) FILTER (WHERE b.level >= a.level) AS weights
+          FROM (SELECT DISTINCT level FROM l) a, l b GROUP BY a.level),
+    c AS (SELECT rest::BIGINT AS rest, weights::BIGINT AS weights FROM k WHERE rest <= level * weights ORDER BY level LIMIT 1),
+    t AS (SELECT source, source_size, least(most::DOUBLE, weight * rest / weights) AS target FROM l, c),
+    r AS (SELECT doc_id, d.source, size, source_size, target, floor(target / source_size) AS rounds,
+                 sum(size) OVER (PARTITION BY d.source ORDER BY md5('mix:' || doc_id) ROWS UNBOUNDED PRECEDING) AS upto
+          FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+    SELECT doc_id, size, source_size, target,
+           (CASE WHEN size = 0 THEN 0
+                 ELSE size * (rounds + CASE WHEN 2 * upto - size <= 2 * (target - rounds * source_size) THEN 1 ELSE 0 END) END)::BIGINT AS taken
+    FROM r"""
+)
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+_PLAIN = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+_LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@_query(
+    rf"""
+    WITH d AS (SELECT doc_id, regexp_extract_all({_LOWERED}, {_PLAIN}) AS ws FROM documents),
+    b AS (SELECT item_id, regexp_extract_all({_LOWERED}, {_PLAIN}) AS ws FROM benchmark),
+    win AS (SELECT DISTINCT item_id, ws[i:i + 9] AS w
+            FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+    lens AS (SELECT DISTINCT len(w) AS n FROM win),
+    dw AS (SELECT doc_id, i, n, ws[i:i + n - 1] AS w
+           FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i FROM d JOIN lens ON len(ws) >= n)),
+    f AS (SELECT doc_id, i, n, item_id FROM dw JOIN win ON dw.w = win.w),
+    hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM f) GROUP BY doc_id),
+    it AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+           FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM f) GROUP BY doc_id)
+    SELECT d.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+           sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN it ON d.doc_id = it.doc_id"""
+)
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated")
