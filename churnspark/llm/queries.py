@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.llm.decontaminate import decontaminate
+from churnspark.llm.language import fit_language_model, predict_language
 from churnspark.llm.mixing import mix_sources
+from churnspark.llm.quality import fit_quality_model, score_quality
+from churnspark.llm.sharding import shard_documents
 from churnspark.llm.substring_dedup import substring_dedup
 
 LLM_QUERIES: dict = {}
@@ -94,3 +97,29 @@ _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefg
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"), "contaminated")
+
+
+def _held_out(parts: int, part: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(parts)) == part
+
+
+@_query()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = fit_language_model(docs.where(~_held_out(4, 2)))
+    found = predict_language(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", _held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@_query()
+def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_documents(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality").where(~_held_out(3, 1)).dropna()
+    model = fit_quality_model(docs.join(labels, "doc_id"))
+    found = score_quality(docs, model)
+    return found.select("doc_id", _held_out(3, 1).alias("held_out"), "score", "predicted")
