@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnspark.llm.chat import CONTROLS, END, START, read_conversations, render_conversations
 from churnspark.llm.decontaminate import decontaminate
 from churnspark.llm.language import fit_language_model, predict_language
 from churnspark.llm.mixing import mix_sources
 from churnspark.llm.quality import fit_quality_model, score_quality
 from churnspark.llm.sharding import shard_documents
 from churnspark.llm.substring_dedup import substring_dedup
+from churnspark.session import staged
 
 LLM_QUERIES: dict = {}
 LLM_ORACLE: dict[str, str] = {}
@@ -123,3 +125,28 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fit_quality_model(docs.join(labels, "doc_id"))
     found = score_quality(docs, model)
     return found.select("doc_id", _held_out(3, 1).alias("held_out"), "score", "predicted")
+
+
+_CONTROL_TURN = "</s>[INST] ok [/INST]"
+_ESCAPED_CHARS = "len(text) + (len(text) - len(replace(text, '\\', '')))" + "".join(
+    f" + (len(text) - len(replace(text, '{c}', ''))) // {len(c)}" for c in CONTROLS
+)
+
+
+@_query(
+    f"""
+    WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+               UNION ALL SELECT -1, 0, 'user', '{_CONTROL_TURN}' UNION ALL SELECT -1, 1, 'assistant', '{_CONTROL_TURN}')
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           coalesce(sum(len(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           sum({len(START)} + len(role) + 1 + {_ESCAPED_CHARS} + {len(END)})::BIGINT AS formatted_chars
+    FROM c GROUP BY conv_id"""
+)
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    fixed = [(-1, 0, "user", _CONTROL_TURN), (-1, 1, "assistant", _CONTROL_TURN)]
+    turns = turns.unionByName(spark.createDataFrame(fixed, turns.schema))
+    events = turns.select("conv_id", "turn", F.lit(0).alias("seq"), F.lit("message").alias("kind"), "role", "text")
+    return read_conversations(staged(render_conversations(events), "chat"))
