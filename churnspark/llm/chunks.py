@@ -10,23 +10,23 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CHUNK_BYTES = 2 << 20
 NULL_ID = -(1 << 63)  # stands for a null id and so sorts first
 
 
-def chunked(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def chunked(docs: DataFrame, id_col: str, text_col: str, null_id: int = NULL_ID) -> DataFrame:
     """Rows (chunk, id, text); all other columns are left out."""
-    rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("id"), docs[text_col].alias("text"))
+    rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(null_id)).alias("id"), docs[text_col].alias("text"))
     total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
     n = max(1, -(-int(total) // CHUNK_BYTES))
     return rows.select(F.pmod(F.xxhash64("id"), F.lit(n).cast("long")).alias("chunk"), "id", "text")
 
 
-def shown_id(col: str = "id"):
-    return F.when(F.col(col) != NULL_ID, F.col(col))
+def shown_id(col: str = "id", null_id: int = NULL_ID) -> Column:
+    return F.when(F.col(col) != null_id, F.col(col))
 
 
 def ordered_texts(table: pa.Table) -> tuple[np.ndarray, list[bytes | None]]:

@@ -9,6 +9,7 @@ from churnspark.llm.chat import CONTROLS, END, START, read_conversations, render
 from churnspark.llm.decontaminate import decontaminate
 from churnspark.llm.language import fit_language_model, predict_language
 from churnspark.llm.mixing import mix_sources
+from churnspark.llm.ngram_join import ngram_join
 from churnspark.llm.quality import fit_quality_model, score_quality
 from churnspark.llm.sharding import shard_documents
 from churnspark.llm.substring_dedup import substring_dedup
@@ -150,3 +151,19 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = turns.unionByName(spark.createDataFrame(fixed, turns.schema))
     events = turns.select("conv_id", "turn", F.lit(0).alias("seq"), F.lit("message").alias("kind"), "role", "text")
     return read_conversations(staged(render_conversations(events), "chat"))
+
+
+@_query(
+    rf"""
+    WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWERED}, {_SPACED}) AS ws FROM documents),
+    sh AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [md5(array_to_string(ws, ' '))]
+                  ELSE list_transform(range(1, len(ws) - 2), lambda i: md5(array_to_string(ws[i:i + 3], ' '))) END) AS s FROM w),
+    n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+    p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+    e AS (SELECT x, y FROM p JOIN n nx ON nx.doc_id = x JOIN n ny ON ny.doc_id = y WHERE 100 * c >= 85 * (nx.n + ny.n - c)),
+    r AS (SELECT doc_id AS x, doc_id AS y FROM w UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x),
+    k AS (SELECT x, min(y) AS component_id FROM r GROUP BY x)
+    SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, component_id FROM w JOIN k ON k.x = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id"""
+)
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(_table(spark, sf_dir, "documents"))
