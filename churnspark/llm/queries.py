@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from churnspark.llm.chat import CONTROLS, END, START, read_conversations, render_conversations
 from churnspark.llm.decontaminate import decontaminate
+from churnspark.llm.embedding_links import embedding_links
 from churnspark.llm.language import fit_language_model, predict_language
 from churnspark.llm.mixing import mix_sources
 from churnspark.llm.ngram_join import ngram_join
@@ -167,3 +168,8 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(_table(spark, sf_dir, "documents"))
+
+
+@_query()
+def op8_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_links(_table(spark, sf_dir, "embeddings"))
