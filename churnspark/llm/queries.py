@@ -14,6 +14,7 @@ from churnspark.llm.ngram_join import ngram_join
 from churnspark.llm.quality import fit_quality_model, score_quality
 from churnspark.llm.sharding import shard_documents
 from churnspark.llm.substring_dedup import substring_dedup
+from churnspark.llm.token_files import read_token_frames, write_token_frames
 from churnspark.session import staged
 
 LLM_QUERIES: dict = {}
@@ -173,3 +174,11 @@ def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query()
 def op8_embedding_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_links(_table(spark, sf_dir, "embeddings"))
+
+
+@_query()
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    frames = write_token_frames(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return read_token_frames(frames)
