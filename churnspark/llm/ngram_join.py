@@ -128,7 +128,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are ignored; an empty table gives no rows.
     """
     ranks = frequency_ranks(docs, text_col, width)
-    texts = chunked(docs, id_col, text_col, NULL_LAST)
+    texts, _ = chunked(docs, id_col, text_col, NULL_LAST)
     by_chunk = texts.groupBy("chunk")
     plain = np.zeros(BUCKETS, np.uint8)
 

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnspark.llm.chunks import chunked, ordered_texts, shown_id, signed
+from churnspark.llm.chunks import chunk_of, chunked, ordered_texts, shown_id, signed
 from churnspark.llm.words import split_words, whole_windows, window_hashes, word_hashes
 
 # Difference covers: for any two residues there is a shift that takes both into the cover.
@@ -68,9 +68,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         one, where = np.unique(one, return_index=True)
         full = full[where]
         two = window_hashes(word_hashes(words, 1), window, 1)[full] if len(full) else one
-        chunk = left["chunk"][0].as_py() if len(ids) else 0
         return pa.table({
-            "chunk": pa.array(np.full(len(full), chunk)),
             "hash": signed(one),
             "hash2": signed(two),
             "id": pa.array(ids[words.text_of[full]].astype(np.int64)),
@@ -102,7 +100,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             "kept_text": pa.array(kept, pa.binary()).cast(pa.string()),
         })
 
-    texts = chunked(docs, id_col, text_col)
+    texts, n_chunks = chunked(docs, id_col, text_col)
     by_chunk = texts.groupBy("chunk")
     shared = (
         by_chunk.applyInArrow(anchors, "chunk long, hash long")
@@ -110,11 +108,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .where("n > 1")
         .select("chunk", "hash")
     )
-    windows = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(extended, "chunk long, hash long, hash2 long, id long")
+    windows = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(extended, "hash long, hash2 long, id long")
     elsewhere = (
         windows.withColumn("lowest", F.min("id").over(Window.partitionBy("hash", "hash2")))
         .where("id > lowest")
-        .select("chunk", "hash")
+        .select(chunk_of("id", n_chunks).alias("chunk"), "hash")
     )
     result = by_chunk.cogroup(elsewhere.groupBy("chunk")).applyInArrow(
         cut, "id long, n_words long, n_removed long, kept_text string"
