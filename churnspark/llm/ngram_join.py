@@ -15,6 +15,8 @@ from churnspark.session import staged
 
 BUCKETS = 1 << 18  # of the frequency table that orders n-grams; its size does not depend on the corpus
 BLOCK = 64  # n-grams compared at a time on a path of the tree
+LEADS, ROUNDS = 4, 2  # members that a group's others are compared with first, and how often that is done
+BIG = 64  # members from which a component is visited as a whole, chunk by chunk
 NULL_LAST = (1 << 63) - 1
 
 
@@ -117,10 +119,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     * Documents with equal sets are one class, represented by its smallest id; only representatives go on.
     * Sets are ordered by global rarity. Two sets that link share an n-gram among the first few of each (the
       prefix), so only representatives that share one are compared.
-    * Of the representatives that share a prefix n-gram each is first compared with one of them, the same for
+    * Of the representatives that share a prefix n-gram each is first compared with a few of them, the same for
       most of its n-grams, and the links found are closed to components. Then all pairs that share a prefix
-      n-gram, lie in different components and pass the length and position bounds are compared: pairs within a
-      component need no further link, pairs across components are all covered, so no component is missed.
+      n-gram, lie in different components and pass the bounds on sizes and shared prefixes are compared; a component
+      of 64 or more is not paired member by member but visited as a whole in each chunk that holds some of it.
+      Pairs within a component need no further link and pairs across components are all covered.
     * Comparisons are exact, over prefix trees (see ``linked``); sets travel between chunks once per chunk.
 
     Documents without words (null, empty) have 0 n-grams and are alone. Rows that share an id, null included,
@@ -162,7 +165,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return found
 
     def prefixes(left: pa.Table, right: pa.Table) -> pa.Table:
-        token, of, size, pos = [], [], [], []
+        token, of, size, pos, end = [], [], [], [], []
         for i, sets in sets_of(left, set(right["id"].to_pylist())).items():
             for s in sets:
                 k = len(s) - needed_alone(len(s)) + 1
@@ -170,6 +173,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 of.append(np.full(k, i))
                 size.append(np.full(k, len(s)))
                 pos.append(np.arange(k))
+                end.append(np.full(k, s[k - 1] ^ np.uint64(1 << 63)))  # ordered as signed numbers
         join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.empty(0, kind)
         tokens_ = join(token, np.uint64)
         chunk = left["chunk"][0].as_py() if left.num_rows else 0
@@ -179,16 +183,17 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             "chunk": pa.array(np.full(len(tokens_), chunk, np.int64)),
             "size": pa.array(join(size, np.int32)),
             "pos": pa.array(join(pos, np.int32)),
+            "end": signed(join(end, np.uint64)),
         })
 
     def needed_alone(size: int) -> int:
         """Shared n-grams that a set of this size needs with any partner."""
         return -(-percent * size // 100)
 
-    index = by_chunk.cogroup(by_rep).applyInArrow(prefixes, "token long, id long, chunk long, size int, pos int")
+    index = by_chunk.cogroup(by_rep).applyInArrow(prefixes, "token long, id long, chunk long, size int, pos int, end long")
     same = Window.partitionBy("token")
-    leader = F.min(F.struct(F.xxhash64("id").alias("draw"), "id", "chunk", "size")).over(same)
-    index = staged(index.select("*", F.count("*").over(same).alias("n"), leader.alias("lead")).where("n > 1").drop("n"), "index")
+    index = index.withColumn("n", F.count("*").over(same)).where("n > 1").drop("n")
+    index = staged(index, "index")
 
     def fetch(left: pa.Table, right: pa.Table) -> pa.Table:
         found = sets_of(left, set(right["id"].to_pylist()))
@@ -203,11 +208,20 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         wanted: dict[int, set[int]] = {}
         visitors: list[tuple[int, np.ndarray]] = []
-        for i, other, s in zip(right["id"].to_pylist(), right["other"].to_pylist(), right["set"].to_pylist(), strict=True):
-            if s is None:
+        members: dict[int, set[int]] = {}
+        visits: list[tuple[int, int]] = []
+        rows = (right[c].to_pylist() for c in ("id", "other", "component", "set"))
+        for i, other, component, s in zip(*rows, strict=True):
+            if s is not None:
+                visitors.append((other, np.frombuffer(s, np.uint64)))
+            elif component is None:
                 wanted.setdefault(other, set()).add(i)
+            elif other is None:
+                members.setdefault(component, set()).add(i)
             else:
-                visitors.append((other, np.frombuffer(s, np.uint64)))
+                visits.append((other, component))
+        for other, component in visits:
+            wanted.setdefault(other, set()).update(members.get(component, ()))
         here = sets_of(left, set().union(*wanted.values()))
         a, b = [], []
         for other, query in visitors:
@@ -217,41 +231,80 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 b.append(other)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    def compared(pairs: DataFrame) -> DataFrame:
-        """The linked ones among pairs (id, chunk, other, other_chunk)."""
-        asked = pairs.select(F.col("other_chunk").alias("chunk"), F.col("other").alias("id"), F.col("chunk").alias("to")).distinct()
+    def compared(pairs: DataFrame, visits: DataFrame | None = None, members: DataFrame | None = None) -> DataFrame:
+        """The linked ones among pairs (id, chunk, other, other_chunk), and among the visits (chunk, component,
+        other, other_chunk) of a document to the members (chunk, component, id) of a component in a chunk."""
+        none = lambda kind: F.lit(None).cast(kind)
+        wanted = pairs.select("chunk", "id", "other", none("long").alias("component"))
+        asked = pairs.select("other_chunk", "other", "chunk")
+        if visits is not None:
+            asked = asked.unionByName(visits.select("other_chunk", "other", "chunk"))
+            wanted = wanted.unionByName(visits.select("chunk", none("long").alias("id"), "other", "component"))
+            wanted = wanted.unionByName(members.select("chunk", "id", none("long").alias("other"), "component"))
+        asked = asked.distinct().select(F.col("other_chunk").alias("chunk"), F.col("other").alias("id"), F.col("chunk").alias("to"))
         sent = by_chunk.cogroup(asked.groupBy("chunk")).applyInArrow(fetch, "chunk long, other long, set binary")
-        wanted = pairs.select("chunk", "id", "other", F.lit(None).cast("binary").alias("set"))
-        both = wanted.unionByName(sent.select("chunk", F.lit(None).cast("long").alias("id"), "other", "set"))
+        sent = sent.select("chunk", none("long").alias("id"), "other", none("long").alias("component"), "set")
+        both = wanted.withColumn("set", none("binary")).unionByName(sent)
         return by_chunk.cogroup(both.groupBy("chunk")).applyInArrow(compare, "a long, b long")
 
-    fits = lambda x, y: 100 * F.least(x, y) >= percent * F.greatest(x, y)
-    first = index.where((F.col("id") != F.col("lead.id")) & fits(F.col("size"), F.col("lead.size")))
-    first = first.select("id", "chunk", F.col("lead.id").alias("other"), F.col("lead.chunk").alias("other_chunk"))
-    first = staged(first.distinct(), "pairs")
-    links = staged(compared(first), "links")
-    joined = components(links)
-
-    # What the first links leave open.
-    part = index.drop("lead").join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    apart = F.min("component").over(same) != F.max("component").over(same)
-    part = staged(part.withColumn("apart", apart).where("apart").drop("apart"), "open")
-    one = part.select("token", *[F.col(c).alias(f"a_{c}") for c in part.columns if c != "token"])
-    two = part.select("token", *[F.col(c).alias(f"b_{c}") for c in part.columns if c != "token"])
-    a_rest, b_rest = F.col("a_size") - F.col("a_pos") - 1, F.col("b_size") - F.col("b_pos") - 1
-    reach = F.least("a_pos", "b_pos") + 1 + F.least(a_rest, b_rest)
-    pairs = one.join(two, "token").where(
-        (F.col("a_id") < F.col("b_id"))
-        & (F.col("a_component") != F.col("b_component"))
-        & fits(F.col("a_size"), F.col("b_size"))
-        & (reach * (100 + percent) >= percent * (F.col("a_size") + F.col("b_size")))
-    )
-    pairs = pairs.select(
-        F.col("a_id").alias("id"), F.col("a_chunk").alias("chunk"), F.col("b_id").alias("other"), F.col("b_chunk").alias("other_chunk")
-    ).distinct()
-    known = first.select(F.least("id", "other").alias("id"), F.greatest("id", "other").alias("other"))
+    told = ["id", "chunk", "size", "pos", "end"]  # of a member of a prefix n-gram's group
+
+    def as_other(*cols):
+        return [F.col(c).alias("other" if c == "id" else f"other_{c}") for c in cols]
+
+    def bounded(met: DataFrame, part: float = 1.0) -> DataFrame:
+        """Pairs that can link, from one row per n-gram that both prefixes hold, with sizes, positions and prefix ends.
+
+        Up to where the first of the two prefixes ends the pair shares just the n-grams counted here. Whatever
+        else it shares comes after that end, and after the last n-gram counted here in both sets. Where not all
+        shared n-grams are counted, ``part`` of the number is asked for.
+        """
+        x, y = F.col("size"), F.col("other_size")
+        rest = lambda n: F.ceil(F.lit(percent) * n / 100) - 1  # noqa: E731  n-grams after the prefix
+        need = F.ceil(F.lit(percent) * (x + y) / (100 + percent))
+        met = met.where(100 * F.least(x, y) >= percent * F.greatest(x, y))
+        met = met.groupBy("id", "chunk", "size", "end", "other", "other_chunk", "other_size", "other_end").agg(
+            F.count("*").alias("shared"), F.max("pos").alias("pos"), F.max("other_pos").alias("other_pos")
+        )
+        after = F.when(F.col("end") <= F.col("other_end"), rest(x)).otherwise(rest(y))
+        more = F.least(after, x - F.col("pos") - 1, y - F.col("other_pos") - 1)
+        return met.where(F.col("shared") >= (need - more) * part).select("id", "chunk", "other", "other_chunk")
+
+    tested = links = None
+    part = index.withColumn("component", F.col("id"))
+    for turn in range(ROUNDS):
+        # Each member of a group against a few others of it, drawn by hash and so the same for most n-grams.
+        draws = [F.min(F.struct(F.xxhash64(F.lit(turn * LEADS + k), "id").alias("draw"), *told, "component")) for k in range(LEADS)]
+        leads = part.groupBy("token").agg(F.array(*draws).alias("leads"))
+        met = part.join(leads, "token").withColumn("lead", F.explode(F.array_distinct(F.transform("leads", lambda x: x.dropFields("draw")))))
+        met = met.where(F.col("component") != F.col("lead.component"))
+        met = met.select(*told, *[F.col(f"lead.{c}").alias("other" if c == "id" else f"other_{c}") for c in told])
+        pairs = staged(bounded(met, 0.5), "pairs")
+        new = staged(compared(pairs), "links")
+        tested = pairs if tested is None else tested.unionByName(pairs)
+        links = new if links is None else links.unionByName(new)
+        joined = components(links)
+        # What is open: members of different components that share an n-gram.
+        part = index.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        apart = F.min("component").over(same) != F.max("component").over(same)
+        part = staged(part.withColumn("apart", apart).where("apart").drop("apart"), "open")
+    sizes = joined.groupBy("component").agg((F.count("*") + 1).alias("members"))
+    part = staged(part.join(sizes, "component", "left").fillna(1, ["members"]), "open")
+    sides = part.select("token", "component", "members").distinct()
+    hosts = sides.select("token", F.col("component").alias("host"), F.col("members").alias("host_members"))
+    sides = sides.join(hosts, "token").where(F.struct("members", "component") < F.struct("host_members", "host"))
+    sides = sides.select("token", "component", "host", "host_members")
+    # A large component is visited: its members are not paired one by one, each chunk looks through those it has.
+    large = part.where(F.col("members") >= BIG).select("chunk", "component", "id").distinct()
+    visits = part.join(sides.where(F.col("host_members") >= BIG), ["token", "component"])
+    visits = visits.select(F.col("id").alias("other"), F.col("chunk").alias("other_chunk"), F.col("host").alias("component")).distinct()
+    visits = staged(visits.join(large.select("chunk", "component").distinct(), "component"), "visits")
+    beyond = part.select("token", F.col("component").alias("host"), *as_other(*told))
+    met = part.join(sides.where(F.col("host_members") < BIG), ["token", "component"]).join(beyond, ["token", "host"])
+    pairs = bounded(met)
+    known = tested.select("id", "other").unionByName(tested.select(F.col("other").alias("id"), F.col("id").alias("other")))
     pairs = staged(pairs.join(known, ["id", "other"], "left_anti"), "pairs")
-    links = links.unionByName(compared(pairs))
+    links = links.unionByName(compared(pairs, visits, large))
     # Rows that share an id are one document.
     same_id = classes.join(printed, ["one", "two", "size"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     joined = components(links.unionByName(same_id))
