@@ -7,11 +7,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnspark.llm.chunks import chunked, ordered_texts, shown_id, signed
+from churnspark.llm.chunks import chunk_of, chunked, ordered_texts, shown_id, signed
 from churnspark.llm.components import components
 from churnspark.llm.rows import blocks_of
 from churnspark.llm.words import mixed, split_words, whole_windows, window_hashes, word_hashes
-from churnspark.session import staged
+from churnspark.session import broadcast_rows, staged
 
 BUCKETS = 1 << 18  # of the frequency table that orders n-grams; its size does not depend on the corpus
 BLOCK = 64  # n-grams compared at a time on a path of the tree
@@ -106,7 +106,7 @@ def frequency_ranks(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
     if rows.num_rows:
         n = rows["n"].to_numpy()
         above = np.log2(np.maximum(n / (n.sum() / BUCKETS), 1))
-        ranks[rows["bucket"].to_numpy()] = np.maximum(above - 1, 0).astype(np.uint8)
+        ranks[rows["bucket"].to_numpy()] = np.clip(above - 1, 0, 63).astype(np.uint8)  # keys stay positive as signed numbers
     return ranks
 
 
@@ -131,27 +131,28 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are ignored; an empty table gives no rows.
     """
     ranks = frequency_ranks(docs, text_col, width)
-    texts, _ = chunked(docs, id_col, text_col, NULL_LAST)
-    by_chunk = texts.groupBy("chunk")
-    plain = np.zeros(BUCKETS, np.uint8)
-
-    def prints(table: pa.Table) -> pa.Table:
-        ids, raw = ordered_texts(table)
-        sets = ordered_sets(raw, width, plain)
-        sums = [(s.sum(dtype=np.uint64), mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) for s in map(mixed, sets)]
-        one, two = (np.array([s[k] for s in sums], np.uint64) for k in (0, 1))
-        return pa.table({
-            "chunk": table["chunk"],
-            "id": pa.array(ids.astype(np.int64)),
-            "size": pa.array([len(s) for s in sets], pa.int64()),
-            "one": signed(one),
-            "two": signed(two),
-        })
-
-    printed = staged(by_chunk.applyInArrow(prints, "chunk long, id long, size long, one long, two long"), "prints")
-    classes = printed.where("size > 0").groupBy("one", "two", "size").agg(F.min(F.struct("id", "chunk")).alias("rep"))
-    classes = staged(classes.select("one", "two", "size", F.col("rep.id").alias("rep"), F.col("rep.chunk").alias("chunk")), "classes")
-    by_rep = classes.select("chunk", F.col("rep").alias("id")).distinct().groupBy("chunk")
+    texts, n_chunks = chunked(docs, id_col, text_col, NULL_LAST)
+
+    def prints(batches):
+        for batch in batches:
+            start = 0
+            for raw in blocks_of(batch.column(1).cast(pa.large_binary())):
+                sets = ordered_sets(raw, width, ranks)
+                sums = [(s.sum(dtype=np.uint64), mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) for s in map(mixed, sets)]
+                one, two = (np.array([s[k] for s in sums], np.uint64) for k in (0, 1))
+                prefix = [s[: len(s) - (-(-percent * len(s) // 100)) + 1].view(np.int64) for s in sets]
+                yield pa.RecordBatch.from_pydict({
+                    "id": batch.column(0).slice(start, len(raw)),
+                    "size": pa.array([len(s) for s in sets], pa.int64()),
+                    "one": signed(one),
+                    "two": signed(two),
+                    "prefix": pa.array(prefix, pa.list_(pa.int64())),
+                })
+                start += len(raw)
+
+    printed = staged(texts.select("id", "text").mapInArrow(prints, "id long, size long, one long, two long, prefix array<long>"), "prints")
+    classes = printed.where("size > 0").groupBy("one", "two", "size").agg(F.min(F.struct("id", "prefix")).alias("rep"))
+    classes = staged(classes.select("one", "two", "size", F.col("rep.id").alias("rep"), F.col("rep.prefix").alias("prefix")), "classes")
 
     def sets_of(left: pa.Table, wanted) -> dict[int, list[np.ndarray]]:
         """Distinct ordered sets of the wanted ids of a chunk."""
@@ -164,33 +165,10 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 mine.append(s)
         return found
 
-    def prefixes(left: pa.Table, right: pa.Table) -> pa.Table:
-        token, of, size, pos, end = [], [], [], [], []
-        for i, sets in sets_of(left, set(right["id"].to_pylist())).items():
-            for s in sets:
-                k = len(s) - needed_alone(len(s)) + 1
-                token.append(s[:k])
-                of.append(np.full(k, i))
-                size.append(np.full(k, len(s)))
-                pos.append(np.arange(k))
-                end.append(np.full(k, s[k - 1] ^ np.uint64(1 << 63)))  # ordered as signed numbers
-        join = lambda x, kind: np.concatenate(x).astype(kind) if x else np.empty(0, kind)
-        tokens_ = join(token, np.uint64)
-        chunk = left["chunk"][0].as_py() if left.num_rows else 0
-        return pa.table({
-            "token": signed(tokens_),
-            "id": pa.array(join(of, np.int64)),
-            "chunk": pa.array(np.full(len(tokens_), chunk, np.int64)),
-            "size": pa.array(join(size, np.int32)),
-            "pos": pa.array(join(pos, np.int32)),
-            "end": signed(join(end, np.uint64)),
-        })
-
-    def needed_alone(size: int) -> int:
-        """Shared n-grams that a set of this size needs with any partner."""
-        return -(-percent * size // 100)
-
-    index = by_chunk.cogroup(by_rep).applyInArrow(prefixes, "token long, id long, chunk long, size int, pos int, end long")
+    index = classes.select(
+        F.posexplode("prefix").alias("pos", "token"), F.col("rep").alias("id"), chunk_of("rep", n_chunks).alias("chunk"), "size",
+        F.element_at("prefix", -1).alias("end"),
+    )
     same = Window.partitionBy("token")
     index = index.withColumn("n", F.count("*").over(same)).where("n > 1").drop("n")
     index = staged(index, "index")
@@ -241,6 +219,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             asked = asked.unionByName(visits.select("other_chunk", "other", "chunk"))
             wanted = wanted.unionByName(visits.select("chunk", none("long").alias("id"), "other", "component"))
             wanted = wanted.unionByName(members.select("chunk", "id", none("long").alias("other"), "component"))
+        # Texts of other documents stay where they are, as long as the list of ids is small enough to broadcast.
+        ids = wanted.select("id").unionByName(pairs.select(F.col("other").alias("id")))
+        ids = ids if visits is None else ids.unionByName(visits.select(F.col("other").alias("id")))
+        ids = staged(ids.dropna().distinct(), "ids")
+        few = ids.count() <= broadcast_rows(ids)
+        by_chunk = (texts.join(F.broadcast(ids), "id", "left_semi") if few else texts).select("chunk", "id", "text").groupBy("chunk")
         asked = asked.distinct().select(F.col("other_chunk").alias("chunk"), F.col("other").alias("id"), F.col("chunk").alias("to"))
         sent = by_chunk.cogroup(asked.groupBy("chunk")).applyInArrow(fetch, "chunk long, other long, set binary")
         sent = sent.select("chunk", none("long").alias("id"), "other", none("long").alias("component"), "set")
