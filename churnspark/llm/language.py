@@ -39,7 +39,8 @@ def words_of(text: str) -> Counter:
 
 
 def grams_of(word: str, n: int) -> list[str]:
-    framed = f"^{word}$"
+    """Character n-grams with marks for the word's ends, which alone are no evidence."""
+    framed = f"^{word}$" if n > 1 else word
     return [framed[i : i + n] for i in range(len(framed) - n + 1)]
 
 
@@ -112,9 +113,9 @@ def evidence_rows(model: LanguageModel, word: str) -> list[int]:
     at = model.tables[0].get(word)
     if at is not None:
         return [at]
-    framed = f"^{word}$"
-    for n in range(min(LONGEST, len(framed)), 0, -1):
+    for n in range(min(LONGEST, len(word) + 2), 0, -1):
         table = model.tables[n]
+        framed = f"^{word}$" if n > 1 else word
         known = [table[g] for i in range(len(framed) - n + 1) if (g := framed[i : i + n]) in table]
         if known:
             return known
