@@ -16,7 +16,7 @@ from churnspark.llm.ngram_join import ngram_join
 from churnspark.llm.sharding import shard_documents
 from churnspark.session import staged
 
-LEAST_SCORE = 0.5  # of the predicted language
+LEAST_SCORE = 0.3  # of the predicted language
 MOST_HIT = 0.0  # share of a document's words that may lie in benchmark passages
 
 
