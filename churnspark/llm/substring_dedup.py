@@ -30,7 +30,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     Anchors are shorter windows that start only at cover positions modulo the period. Two equal windows share
     an aligned anchor, so a window is extended to its full width and compared only if one of its anchors occurs
-    twice. Equal anchors and equal windows meet by hash (64 and 128 bits), one row per chunk.
+    twice. Equal anchors and equal windows meet by hash (64 and 96 bits), one row per chunk.
 
     Null and empty texts have no words and an empty kept text. Rows with equal ids are ordered by text; of equal
     rows one counts as the earlier. A null id is the smallest. Extra columns are ignored; an empty table gives
@@ -70,7 +70,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         two = window_hashes(word_hashes(words, 1), window, 1)[full] if len(full) else one
         return pa.table({
             "hash": signed(one),
-            "hash2": signed(two),
+            "hash2": pa.array((two >> np.uint64(32)).astype(np.uint32).view(np.int32)),
             "id": pa.array(ids[words.text_of[full]].astype(np.int64)),
         })
 
@@ -108,7 +108,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .where("n > 1")
         .select("chunk", "hash")
     )
-    windows = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(extended, "hash long, hash2 long, id long")
+    windows = by_chunk.cogroup(shared.groupBy("chunk")).applyInArrow(extended, "hash long, hash2 int, id long")
     elsewhere = (
         windows.withColumn("lowest", F.min("id").over(Window.partitionBy("hash", "hash2")))
         .where("id > lowest")
