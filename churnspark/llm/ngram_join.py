@@ -151,8 +151,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 start += len(raw)
 
     printed = staged(texts.select("id", "text").mapInArrow(prints, "id long, size long, one long, two long, prefix array<long>"), "prints")
-    classes = printed.where("size > 0").groupBy("one", "two", "size").agg(F.min(F.struct("id", "prefix")).alias("rep"))
-    classes = staged(classes.select("one", "two", "size", F.col("rep.id").alias("rep"), F.col("rep.prefix").alias("prefix")), "classes")
+    classes = staged(printed.where("size > 0").groupBy("one", "two", "size").agg(F.min("id").alias("rep")), "classes")
 
     def sets_of(left: pa.Table, wanted) -> dict[int, list[np.ndarray]]:
         """Distinct ordered sets of the wanted ids of a chunk."""
@@ -165,12 +164,14 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 mine.append(s)
         return found
 
-    index = classes.select(
-        F.posexplode("prefix").alias("pos", "token"), F.col("rep").alias("id"), chunk_of("rep", n_chunks).alias("chunk"), "size",
-        F.element_at("prefix", -1).alias("end"),
-    )
+    # Repeated rows may be counted twice here; that only lets a few more pairs through to the exact comparison.
+    reps = printed.join(classes.select("one", "two", F.col("rep").alias("id")), ["one", "two", "id"])
+    index = reps.select(F.posexplode("prefix").alias("pos", "token"), "id", "size")
     same = Window.partitionBy("token")
-    index = index.withColumn("n", F.count("*").over(same)).where("n > 1").drop("n")
+    index = index.withColumn("n", F.count("*").over(same)).where("n > 1").select("token", "id", "pos", "size")
+    last = F.element_at("prefix", -1)  # where the prefix ends; unknown for an id with several texts
+    ends = reps.groupBy("id").agg(F.when(F.min(last) == F.max(last), F.min(last)).alias("end"))
+    index = index.join(staged(ends, "ends"), "id").withColumn("chunk", chunk_of("id", n_chunks))
     index = staged(index, "index")
 
     def fetch(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -250,7 +251,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         met = met.groupBy("id", "chunk", "size", "end", "other", "other_chunk", "other_size", "other_end").agg(
             F.count("*").alias("shared"), F.max("pos").alias("pos"), F.max("other_pos").alias("other_pos")
         )
-        after = F.when(F.col("end") <= F.col("other_end"), rest(x)).otherwise(rest(y))
+        first = F.col("end") <= F.col("other_end")
+        after = F.when(first, rest(x)).when(~first, rest(y)).otherwise(F.greatest(rest(x), rest(y)))
         more = F.least(after, x - F.col("pos") - 1, y - F.col("other_pos") - 1)
         return met.where(F.col("shared") >= (need - more) * part).select("id", "chunk", "other", "other_chunk")
 
