@@ -126,9 +126,7 @@ def valid_override(c) -> Column:
 
 
 def format_summary(total, churned, remained) -> Column:
-    return F.format_string(
-        "Customers total: %d, Churned : %d, Remained : %d", _col(total), _col(churned), _col(remained)
-    )
+    return F.format_string("%d of %d customers churned and %d stayed", _col(churned), _col(total), _col(remained))
 
 
 def short_text(c, width: int = 5) -> Column:
@@ -137,8 +135,16 @@ def short_text(c, width: int = 5) -> Column:
 
 
 def version_key(c) -> Column:
-    """A dotted version as an array of integers, which orders 1.10 after 1.9."""
-    return F.transform(F.split(_col(c), r"\."), lambda p: p.cast("int"))
+    """A version text as a value that orders 1.10 after 1.9 and 2022.04.1-b6 before 2022.04.1.
+
+    Parts that are no number come before all numbers.
+    """
+    halves = F.split(_col(c), "-", 2)
+    later = F.try_element_at(halves, F.lit(2))
+    number = lambda p: F.coalesce(p.try_cast("long"), F.lit(-1).cast("long"))
+    return F.struct(
+        F.transform(F.split(halves[0], r"\."), number).alias("release"), later.isNull().alias("final"), later.alias("suffix")
+    )
 
 
 def numeric_columns(df) -> list[str]:

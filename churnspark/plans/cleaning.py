@@ -172,7 +172,7 @@ def now_ms(spark, sf):
 
 
 @query(
-    f"""with {CHURN_CTE} select segment, format('Customers total: {{}}, Churned : {{}}, Remained : {{}}', count(*),
+    f"""with {CHURN_CTE} select segment, format('{{1}} of {{0}} customers churned and {{2}} stayed', count(*),
       count(*) filter (where churn = 'Yes'), count(*) filter (where churn = 'No')) as summary,
     round(avg(monthly_charges), 2) as mean_charge, substr(min(last_priority), 1, 5) as short_priority
     from churn where churn is not null group by segment"""

@@ -92,7 +92,7 @@ def test_threshold_tie(spark):
 def test_text_helpers(spark):
     df = spark.createDataFrame([(10, 3, 7, 0.123456)], "t long, c long, r long, p double")
     r = df.select(C.format_summary("t", "c", "r").alias("s"), C.short_text("p").alias("p")).first()
-    assert r.s == "Customers total: 10, Churned : 3, Remained : 7" and r.p == "0.123"
+    assert r.s == "3 of 10 customers churned and 7 stayed" and r.p == "0.123"
 
 
 def test_feature_spec(spark):
