@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +16,8 @@ from churnspark.llm.rows import blocks_of
 from churnspark.llm.words import mixed, split_words, whole_windows, window_hashes, word_hashes
 from churnspark.session import broadcast_rows, staged
 
-BUCKETS = 1 << 18  # of the frequency table that orders n-grams; its size does not depend on the corpus
+BUCKETS = 1 << 22  # of the frequency table that orders n-grams; its size does not depend on the corpus
+SLICE, SALTS = 1 << 12, 64  # buckets in a row of counts; groups of tasks whose counts are added first
 BLOCK = 64  # n-grams compared at a time on a path of the tree
 LEADS, ROUNDS = 4, 2  # members that a group's others are compared with first, and how often that is done
 BIG = 64  # members from which a component is visited as a whole, chunk by chunk
@@ -86,28 +90,50 @@ def linked(sets: list[np.ndarray], query: np.ndarray, percent: int) -> list[int]
 
 
 def frequency_ranks(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
-    """How frequent the n-grams of each hash bucket are: 0 up to twice the mean bucket, then one more per doubling.
+    """How frequent the n-grams of each hash bucket are: one more per doubling of the mean bucket (of 1, if that is less).
 
-    Counted over all documents; the table has a fixed number of entries, so it can travel to every task.
+    Counted over all documents; the table has a fixed number of entries, so it can travel to every task. Tasks
+    send packed slices of it, which are added up in two steps, so that each group stays small.
     """
+    packed = "slice int, salt int, counts binary"
 
     def count(batches):
         total = np.zeros(BUCKETS, np.int64)
+        waiting, n = [], 0
+
+        def add():
+            np.add(total, np.bincount(np.concatenate(waiting), minlength=BUCKETS), out=total)
+
         for batch in batches:
             for texts in blocks_of(batch.column(0).cast(pa.large_binary())):
                 found, _ = tokens(texts, width)
-                total += np.bincount((found & np.uint64(BUCKETS - 1)).astype(np.int64), minlength=BUCKETS)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_pydict({"bucket": pa.array(at.astype(np.int32)), "n": pa.array(total[at])})
-
-    counts = docs.select(docs[text_col].alias("text")).mapInArrow(count, "bucket int, n long")
-    rows = counts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # at most BUCKETS rows
-    ranks = np.zeros(BUCKETS, np.uint8)
-    if rows.num_rows:
-        n = rows["n"].to_numpy()
-        above = np.log2(np.maximum(n / (n.sum() / BUCKETS), 1))
-        ranks[rows["bucket"].to_numpy()] = np.clip(above - 1, 0, 63).astype(np.uint8)  # keys stay positive as signed numbers
-    return ranks
+                waiting.append((found & np.uint64(BUCKETS - 1)).astype(np.int64))
+                n += len(found)
+                if n >= BUCKETS:
+                    add()
+                    waiting, n = [], 0
+        if n:
+            add()
+        salt = TaskContext.get().partitionId() % SALTS
+        rows = [(k, zlib.compress(part.tobytes(), 1)) for k, part in enumerate(total.reshape(-1, SLICE)) if part.any()]
+        yield pa.RecordBatch.from_pydict({
+            "slice": pa.array([k for k, _ in rows], pa.int32()),
+            "salt": pa.array([salt] * len(rows), pa.int32()),
+            "counts": pa.array([c for _, c in rows], pa.binary()),
+        })
+
+    def added(table: pa.Table) -> pa.Table:
+        total = np.zeros(SLICE, np.int64)
+        for c in table["counts"]:
+            total += np.frombuffer(zlib.decompress(c.as_py()), np.int64)
+        return table.slice(0, 1).set_column(2, "counts", pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()))
+
+    counts = docs.select(docs[text_col].alias("text")).mapInArrow(count, packed)
+    counts = counts.groupBy("slice", "salt").applyInArrow(added, packed).groupBy("slice").applyInArrow(added, packed)
+    n = np.zeros(BUCKETS, np.int64)
+    for row in counts.toLocalIterator():  # at most BUCKETS / SLICE rows
+        n[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+    return np.clip(np.log2(np.maximum(n / max(1.0, n.mean()), 1)), 0, 63).astype(np.uint8)  # keys stay positive as signed numbers
 
 
 def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, percent: int = 85) -> DataFrame:
@@ -247,7 +273,9 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         x, y = F.col("size"), F.col("other_size")
         rest = lambda n: F.ceil(F.lit(percent) * n / 100) - 1  # noqa: E731  n-grams after the prefix
         need = F.ceil(F.lit(percent) * (x + y) / (100 + percent))
+        p, q = F.col("pos"), F.col("other_pos")
         met = met.where(100 * F.least(x, y) >= percent * F.greatest(x, y))
+        met = met.where(F.least(p, q) + 1 + F.least(x - p - 1, y - q - 1) >= need)  # most that can be shared, by place
         met = met.groupBy("id", "chunk", "size", "end", "other", "other_chunk", "other_size", "other_end").agg(
             F.count("*").alias("shared"), F.max("pos").alias("pos"), F.max("other_pos").alias("other_pos")
         )
