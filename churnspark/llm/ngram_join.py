@@ -304,9 +304,14 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         part = staged(part.withColumn("apart", apart).where("apart").drop("apart"), "open")
     sizes = joined.groupBy("component").agg((F.count("*") + 1).alias("members"))
     part = staged(part.join(sizes, "component", "left").fillna(1, ["members"]), "open")
-    sides = part.select("token", "component", "members").distinct()
-    hosts = sides.select("token", F.col("component").alias("host"), F.col("members").alias("host_members"))
+    # The bounds on sizes and places hold for two components if they can hold for some two of their members.
+    places = [F.min("size").alias("low"), F.max("size").alias("high"), F.max("pos").alias("far"), F.max(F.expr("size - pos - 1")).alias("left")]
+    sides = part.groupBy("token", "component", "members").agg(*places)
+    hosts = sides.select("token", F.col("component").alias("host"), *[F.col(c).alias(f"host_{c}") for c in ("members", "low", "high", "far", "left")])
     sides = sides.join(hosts, "token").where(F.struct("members", "component") < F.struct("host_members", "host"))
+    sides = sides.where(100 * F.least("high", "host_high") >= percent * F.greatest("low", "host_low"))
+    need = F.ceil(F.lit(percent) * (F.col("low") + F.col("host_low")) / (100 + percent))
+    sides = sides.where(F.least("far", "host_far") + 1 + F.least("left", "host_left") >= need)
     sides = sides.select("token", "component", "host", "host_members")
     # A large component is visited: its members are not paired one by one, each chunk looks through those it has.
     large = part.where(F.col("members") >= BIG).select("chunk", "component", "id").distinct()
