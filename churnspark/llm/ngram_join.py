@@ -89,6 +89,15 @@ def linked(sets: list[np.ndarray], query: np.ndarray, percent: int) -> list[int]
     return found
 
 
+def pack(counts: np.ndarray) -> bytes:
+    """Counts, compressed with all lowest bytes first, then all second bytes and so on."""
+    return zlib.compress(counts.view(np.uint8).reshape(-1, 8).T.tobytes(), 1)
+
+
+def unpack(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(8, -1).T).view(np.int64).ravel()
+
+
 def frequency_ranks(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
     """How frequent the n-grams of each hash bucket are: one more per doubling of the mean bucket (of 1, if that is less).
 
@@ -115,7 +124,7 @@ def frequency_ranks(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
         if n:
             add()
         salt = TaskContext.get().partitionId() % SALTS
-        rows = [(k, zlib.compress(part.tobytes(), 1)) for k, part in enumerate(total.reshape(-1, SLICE)) if part.any()]
+        rows = [(k, pack(part)) for k, part in enumerate(total.reshape(-1, SLICE)) if part.any()]
         yield pa.RecordBatch.from_pydict({
             "slice": pa.array([k for k, _ in rows], pa.int32()),
             "salt": pa.array([salt] * len(rows), pa.int32()),
@@ -125,14 +134,14 @@ def frequency_ranks(docs: DataFrame, text_col: str, width: int) -> np.ndarray:
     def added(table: pa.Table) -> pa.Table:
         total = np.zeros(SLICE, np.int64)
         for c in table["counts"]:
-            total += np.frombuffer(zlib.decompress(c.as_py()), np.int64)
-        return table.slice(0, 1).set_column(2, "counts", pa.array([zlib.compress(total.tobytes(), 1)], pa.binary()))
+            total += unpack(c.as_py())
+        return table.slice(0, 1).set_column(2, "counts", pa.array([pack(total)], pa.binary()))
 
     counts = docs.select(docs[text_col].alias("text")).mapInArrow(count, packed)
     counts = counts.groupBy("slice", "salt").applyInArrow(added, packed).groupBy("slice").applyInArrow(added, packed)
     n = np.zeros(BUCKETS, np.int64)
     for row in counts.toLocalIterator():  # at most BUCKETS / SLICE rows
-        n[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+        n[row["slice"] * SLICE : (row["slice"] + 1) * SLICE] = unpack(row["counts"])
     return np.clip(np.log2(np.maximum(n / max(1.0, n.mean()), 1)), 0, 63).astype(np.uint8)  # keys stay positive as signed numbers
 
 

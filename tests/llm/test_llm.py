@@ -14,7 +14,7 @@ from churnspark.llm import language, mixing, quality, range_coder, sharding, wor
 from churnspark.llm.chat import escape, escape_role, read_conversations, render_conversations, unescape, unescape_role
 from churnspark.llm.decontaminate import decontaminate
 from churnspark.llm.embedding_links import embedding_links
-from churnspark.llm.ngram_join import linked, needed, ngram_join
+from churnspark.llm.ngram_join import linked, needed, ngram_join, pack, unpack
 from churnspark.llm.queries import LLM_ORACLE, LLM_QUERIES
 from churnspark.llm.substring_dedup import COVERS, substring_dedup
 from churnspark.llm.token_files import PieceTokenizer, read_token_frames, write_token_frames
@@ -169,6 +169,11 @@ def test_ngram_join(spark, width, percent):
     assert {r[0]: tuple(r)[1:] for r in got} == brute_components(rows, width, percent) and len(got) == len(rows)
 
 
+def test_packed_counts():
+    counts = np.array([0, 1, 255, 256, 1 << 40, 0], np.int64)
+    assert unpack(pack(counts)).tolist() == counts.tolist()
+
+
 def test_prefix_tree():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 90, rng.integers(1, 80)).astype(np.uint64)) for _ in range(200)]
