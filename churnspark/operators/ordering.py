@@ -91,10 +91,10 @@ def with_running_total(df: DataFrame, order: list[str], weights: list[str], by=(
 
 
 # Brackets around each wanted rank come from a sketch whose rank error is at most rows / SKETCH. The bracket
-# reaches twice that far, so above SMALL rows the rank and its neighbour lie inside; up to SMALL rows the
-# bracket is the whole column.
+# must also hold the neighbouring rank, so it reaches 2 * rows / SKETCH ranks to either side; where that is not
+# two whole ranks (EDGES rows or fewer) its ends are the least and the greatest value.
 SKETCH = 10_000
-SMALL = 2 * SKETCH
+EDGES = 2 * SKETCH
 
 
 def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by=()) -> DataFrame:
@@ -103,8 +103,7 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by=()) -
     One pass sketches a narrow bracket around each rank; a second pass counts the rows below the bracket and
     ranks only the distinct values inside it, across partitions. Neither pass moves the column through a
     shuffle or holds it in one task. Should a bracket ever miss its rank, the whole column is ranked instead.
-    Groups counted at no more than SMALL rows are simply sorted, each in one array. The small result is
-    written. Nulls and NaN are left out.
+    The plan is the same at every size. The small result is written. Nulls and NaN are left out.
     """
     by, cols, probs = list(by), list(cols), [float(p) for p in probs]
     x = {c: F.col(c).cast("double") for c in cols}
@@ -115,13 +114,8 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by=()) -
         *[F.percentile_approx(n, _bracket_probs(probs), SKETCH).alias(f"q_{n}") for n in names],
     )
     marks = staged(marks, "marks")
-    sizes = marks.agg(
-        sum(F.count_if(F.col(f"n_{n}") > 0) for n in names).alias("cells"),
-        F.max(F.greatest(F.lit(0), *[F.col(f"n_{n}") for n in names])).alias("rows"),
-    ).first()
-    if (sizes["rows"] or 0) <= SMALL:
-        return staged(_sorted_values(src, names, cols, probs, by), "quantiles")
-    expected = sizes["cells"] * len(probs)
+    cells = marks.agg(sum(F.count_if(F.col(f"n_{n}") > 0) for n in names).alias("cells")).first()["cells"]
+    expected = (cells or 0) * len(probs)
     for whole in (False, True):
         ends = staged(_ranked_values(src, marks, names, cols, probs, by, whole), "quantiles")
         found = ends.agg(F.count("*").alias("rows"), F.count("value").alias("values")).first()
@@ -130,19 +124,6 @@ def exact_quantiles(df: DataFrame, cols: list[str], probs: list[float], by=()) -
     raise AssertionError("ranks outside the whole column")
 
 
-def _sorted_values(src, names, cols, probs, by) -> DataFrame:
-    """The quantiles of groups whose size is known to be small."""
-    lists = src.groupBy(*by).agg(*[F.sort_array(F.collect_list(n)).alias(n) for n in names])
-    cells = [
-        F.struct(F.lit(c).alias("feature"), F.lit(p).alias("prob"), (F.lit(p) * (F.size(n) - 1)).alias("rank"), F.col(n).alias("xs"))
-        for n, c in zip(names, cols)
-        for p in probs
-    ]
-    rows = lists.select(*by, F.explode(F.array(*cells)).alias("c")).select(*by, "c.*").filter(F.size("xs") > 0)
-    a, b = (F.get("xs", f(F.col("rank")).cast("int")) for f in (F.floor, F.ceil))
-    return rows.select(*by, "feature", "prob", (a + (b - a) * (F.col("rank") - F.floor("rank"))).alias("value"))
-
-
 def _bracket_probs(probs: list[float]) -> list[float]:
     reach = 2.0 / SKETCH
     return [q for p in probs for q in (max(0.0, p - reach), min(1.0, p + reach))]
@@ -153,11 +134,11 @@ def _ranked_values(src, marks, names, cols, probs, by, whole: bool) -> DataFrame
     reach = 2.0 / SKETCH
     bounds = []
     for n in names:
-        small = F.lit(whole) | (F.col(f"n_{n}") <= SMALL)  # a small group beside large ones
+        edges = F.lit(whole) | (F.col(f"n_{n}") <= EDGES)
         for j, p in enumerate(probs):
             lo, hi = F.col(f"q_{n}")[2 * j], F.col(f"q_{n}")[2 * j + 1]
-            bounds.append(F.when(small | F.lit(p - reach <= 0), F.col(f"min_{n}")).otherwise(lo).alias(f"lo_{n}_{j}"))
-            bounds.append(F.when(small | F.lit(p + reach >= 1), F.col(f"max_{n}")).otherwise(hi).alias(f"hi_{n}_{j}"))
+            bounds.append(F.when(edges | F.lit(p - reach <= 0), F.col(f"min_{n}")).otherwise(lo).alias(f"lo_{n}_{j}"))
+            bounds.append(F.when(edges | F.lit(p + reach >= 1), F.col(f"max_{n}")).otherwise(hi).alias(f"hi_{n}_{j}"))
     wide = marks.select(*[F.col(b).alias(f"_m_{b}") for b in by], *[f"n_{n}" for n in names], *bounds)
     m = [c for c in wide.columns if not c.startswith("_m_")]
     if by:
