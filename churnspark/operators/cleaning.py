@@ -41,13 +41,24 @@ def cast_cols(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     return df.withColumns({c: F.col(c).try_cast(t) for c, t in types.items()})
 
 
-def cast_request(df: DataFrame, schema: T.StructType, keep=()) -> DataFrame:
-    """Cast each request field to the type its feature was trained with; an unknown field is an error."""
+def cast_request(df: DataFrame, schema: T.StructType, keep=(), rejected: str | None = None) -> DataFrame:
+    """Cast each request field to the type its feature was trained with; an unknown field is an error.
+
+    A value that cannot be read as its type is an error too: only absent fields take defaults later. With
+    ``rejected`` the row gets that column instead, the names of its unreadable fields (null if there are none).
+    """
     known = {f.name: f.dataType for f in schema.fields}
     unknown = [c for c in df.columns if c not in known and c not in keep]
     if unknown:
         raise ValueError(f"unknown request fields: {unknown}")
-    return df.select(*[F.col(c) if c in keep else F.col(c).try_cast(known[c]).alias(c) for c in df.columns])
+    cast = {c: F.col(c).try_cast(known[c]) for c in df.columns if c not in keep}
+    bad = {c: F.col(c).isNotNull() & v.isNull() for c, v in cast.items()}
+    if rejected:
+        names = F.concat_ws(",", *[F.when(b, F.lit(c)) for c, b in bad.items()])
+        return df.select(*[cast.get(c, F.col(c)).alias(c) for c in df.columns], F.nullif(names, F.lit("")).alias(rejected))
+    told = {c: F.raise_error(F.concat(F.lit(f"unreadable {c}: "), F.col(c).cast("string"))) for c in cast}
+    checked = {c: F.when(bad[c], told[c].cast(known[c])).otherwise(v) for c, v in cast.items()}
+    return df.select(*[checked.get(c, F.col(c)).alias(c) for c in df.columns])
 
 
 def fill_defaults(df: DataFrame, defaults: DataFrame) -> DataFrame:

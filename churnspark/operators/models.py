@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import math
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -11,7 +10,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,19 +47,31 @@ def with_target(df: DataFrame, label: str, positive: str) -> DataFrame:
     return df.withColumn("target", (F.col(label) == positive).cast("double"))
 
 
-ROWS_PER_TASK = 20_000  # fewer rows than this per task and an iteration is mostly scheduling
-SPREAD_BELOW = 1_000_000  # a forest's table below this size is spread over all cores first
+FOREST_PARTITIONS = 32  # of a forest's training rows; part of the model, as each partition draws its own samples
 
 
 def _encoded(prep: PipelineModel, df: DataFrame, keep=()) -> tuple[DataFrame, int]:
     """Encode once and write: every fit and every iteration reads only vector and target. Also the row count.
 
-    Small tables are read in fewer tasks; on large ones the limit is above the number of file splits and
-    changes nothing.
+    Files are rebalanced to the advisory partition size, so the number of tasks of an iteration follows the bytes.
     """
-    data = staged(prep.transform(df).select("features", "target", *keep), "encoded")
-    n = data.count()
-    return data.coalesce(max(1, math.ceil(n / ROWS_PER_TASK))), n
+    data = staged(prep.transform(df).select("features", "target", *keep).hint("rebalance"), "encoded")
+    return data, data.count()
+
+
+def dealt(data: DataFrame, partitions: int) -> DataFrame:
+    """Encoded rows in ordered partitions that depend on the rows alone; copies of one row are spread evenly.
+
+    Rows are placed by the vector before scaling: the last bits of the scaled one follow the order of additions.
+    """
+    same = data.groupBy(vector_to_array("raw").alias("x"), "target")
+    same = same.agg(F.count("*").alias("n"), F.max(vector_to_array("features")).alias("scaled"))
+    held, p = F.xxhash64("x", "target"), F.lit(partitions)
+    spread = same.withColumn("held", held).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.least("n", p) - 1)))
+    copies = F.floor(F.col("n") / p) + (F.col("i") < F.col("n") % p).cast("long")
+    spread = spread.select("x", "scaled", "target", "held", F.pmod(F.col("held") + F.col("i"), p).alias("part"), copies.cast("int").alias("copies"))
+    placed = spread.repartition(partitions, "part").sortWithinPartitions("part", "held", "x", "target")
+    return placed.select(array_to_vector("scaled").alias("features"), F.explode(F.array_repeat("target", F.col("copies"))).alias("target"))
 
 
 def reg_param(c: float, rows: int, scaled_rows: int) -> float:
@@ -135,15 +146,18 @@ def param_search(train: DataFrame, test: DataFrame, spec: FeatureSpec, label: st
 
 
 def fit_forest(
-    train: DataFrame, spec: FeatureSpec, label: str, positive: str = "Yes", trees: int = 100, max_depth: int = 30, seed: int = 42
-) -> PipelineModel:
-    """Random forest on scaled codes and numerics; the codes count as numbers, not as categories."""
+    train: DataFrame, spec: FeatureSpec, label: str, positive: str = "Yes", trees: int = 100, max_depth: int = 30, seed: int = 42,
+    partitions: int = FOREST_PARTITIONS,
+) -> PipelineModel:
+    """Random forest on scaled codes and numerics; the codes count as numbers, not as categories.
+
+    Rows are dealt to ``partitions`` by the hash of all they hold and ordered there. The samples of the trees follow
+    from that, so the model depends on rows, parameters and seed only. A large table wants a larger ``partitions``.
+    """
     train = with_target(train, label, positive)
     prep = Pipeline(stages=preparation(spec, onehot=False)).fit(train)
     # The written vector carries no nominal metadata, so every split is a threshold.
-    data, n = _encoded(prep, train)
-    if n < SPREAD_BELOW:  # work per row is high: use every core even for a small table
-        data = data.repartition(train.sparkSession.sparkContext.defaultParallelism)
+    data = dealt(_encoded(prep, train, keep=["raw"])[0], partitions)
     # Deep trees: keeping each row's node beside the rows is cheaper than sending the trees to every task.
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="target", numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed,

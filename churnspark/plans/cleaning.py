@@ -80,14 +80,17 @@ def label_to_bool(spark, sf):
     return churn_frame(spark, sf).select("customer_id", C.label_bool("churn").alias("churned"))
 
 
-@query(f"with {REQUEST_CTE} select customer_id, segment, region, senior, tenure, monthly_charges from requests")
+@query(
+    f"""with {REQUEST_CTE} select customer_id, segment, region, senior, last_priority, tenure,
+    case when cast(customer_id as bigint) % 11 <> 0 then monthly_charges end as monthly_charges, total_charges,
+    case when cast(customer_id as bigint) % 11 = 0 then 'monthly_charges' end as rejected from requests"""
+)
 def cast_request(spark, sf):
-    """Requests arrive as text; each field takes the type that its feature was trained with."""
+    """Requests arrive as text; each field takes the type that its feature was trained with, some by rule unreadable."""
     clean = clean_churn(spark, sf)
-    texts = request_frame(clean).select(
-        *[F.col(c).cast("string").alias(c) for c in ("customer_id", "segment", "region", "senior", "tenure", "monthly_charges")]
-    )
-    return K.cast_request(texts, clean.select(*FEATURES).schema, keep=["customer_id"])
+    texts = request_frame(clean).select("customer_id", *[F.col(c).cast("string").alias(c) for c in FEATURES])
+    unreadable = F.when(F.col("customer_id").cast("long") % 11 == 0, "a lot").otherwise(F.col("monthly_charges"))
+    return K.cast_request(texts.withColumn("monthly_charges", unreadable), clean.select(*FEATURES).schema, ["customer_id"], "rejected")
 
 
 DEFAULTS_CTE = f"""{REQUEST_CTE},

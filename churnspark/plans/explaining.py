@@ -10,12 +10,12 @@ from churnspark.functions import columns as C
 from churnspark.operators import explain as L
 from churnspark.operators import features as X
 from churnspark.plans.cleaning import DICTIONARY_CTE, SPEC
-from churnspark.plans.frames import CATEGORICAL, FEATURES, NUMERIC, PLANTED_SQL, CLEAN_CTE, clean_churn, request_frame
+from churnspark.plans.frames import CATEGORICAL, FEATURES, NUMERIC, PLANTED_SQL, CLEAN_CTE, call_ms, clean_churn, request_frame
 from churnspark.plans.joins import STATS_CTE
 from churnspark.plans.modelling import explained_model, planted
 from churnspark.plans.registry import query
 from churnspark.session import staged, work_table
-from churnspark.sources import metrics as M
+from churnspark.streaming.jobs import log_answers
 
 N_SAMPLES, SEED = 5000, 1
 
@@ -108,16 +108,9 @@ def explain_batch(spark, sf):
 def serve_batch(spark, sf):
     """Requests with missing fields answered in one job, and the answers logged."""
     em, rows = explained_model(spark, sf)
-    answers = em.serve(request_frame(rows), "customer_id", N_SAMPLES)
     log = work_table(spark, "served")
-    M.append_inference_log(
-        answers.select(
-            M.prediction_uuid("churn", "customer_id").alias("uuid"), F.lit("churn").alias("model"), F.lit("dep-0").alias("deployment"),
-            F.lit(0).cast("long").alias("start_ms"), F.lit(0).cast("long").alias("end_ms"), "*",
-        ),
-        log,
-    )
-    return spark.table(log).select("uuid", "customer_id", F.to_json("data").alias("data"), "probability", F.to_json("explanation").alias("explanation"))
+    log_answers(request_frame(rows).withColumn("call_ms", call_ms()), em, "customer_id", "call_ms", "churn", "dep-0", log, N_SAMPLES)
+    return spark.table(log).select("uuid", "customer_id", "start_ms", (F.col("end_ms") >= F.col("start_ms")).alias("timed"), F.to_json("data").alias("data"), "probability", F.to_json("explanation").alias("explanation"))
 
 
 @query(

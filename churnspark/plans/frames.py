@@ -146,6 +146,15 @@ def request_frame(clean: DataFrame) -> DataFrame:
     )
 
 
+def call_ms():
+    """When a customer's scoring call came in, by rule: on one of ten days, at a second of their own."""
+    key = F.col("customer_id").cast("long")
+    return F.lit(1_700_000_000_000) + (key % 10) * 86_400_000 + key * 1000
+
+
+CALL_MS = "(1700000000000 + (cast(customer_id as bigint) % 10) * 86400000 + cast(customer_id as bigint) * 1000)"
+
+
 REQUEST_CTE = f"""{CLEAN_CTE},
 requests as (
   select customer_id, case when cast(customer_id as bigint) % 3 <> 0 then segment end as segment, region, senior,

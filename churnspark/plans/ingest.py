@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from churnspark.functions.columns import ts_to_ms
-from churnspark.plans.frames import CHURN_CTE, CLEAN_CTE, LOG_CTE, churn_frame, clean_churn, inference_log, planted_probability, PLANTED_SQL, table
+from churnspark.plans.frames import CALL_MS, CHURN_CTE, CLEAN_CTE, LOG_CTE, NUMERIC, call_ms, churn_frame, clean_churn, inference_log, planted_probability, PLANTED_SQL, table
 from churnspark.plans.registry import query
 from churnspark.session import scratch_path, staged, work_table
 from churnspark.sources import metrics as M
@@ -166,22 +166,30 @@ def sink_metrics_once(spark, sf):
 
 
 @query(
-    f"""with {CLEAN_CTE} select md5('churn:' || customer_id || ':' || cast(0 as varchar)) as uuid, 'churn' as model,
-    'dep-' || cast(cast(customer_id as bigint) % 3 as varchar) as deployment, customer_id, segment,
-    round({PLANTED_SQL}, 9) as probability from clean"""
+    f"""with {CLEAN_CTE} select md5('["churn","' || customer_id || '","' || {CALL_MS} || '"]') as uuid, 'churn' as model,
+    'dep-' || cast(cast(customer_id as bigint) % 3 as varchar) as deployment, customer_id, {CALL_MS} as start_ms, {CALL_MS} + 250 as end_ms,
+    segment, region, senior, last_priority, round(tenure, 6) as tenure, round(monthly_charges, 6) as monthly_charges,
+    round(total_charges, 6) as total_charges, round({PLANTED_SQL}, 9) as probability,
+    1.6e0 * cast(segment = 'BUILDING' as double) as segment_weight from clean"""
 )
 def track_predictions(spark, sf):
+    """Predictions logged with id, times, all inputs, probability and explanation, and read back."""
     name = work_table(spark, "tracked")
+    fields = ["segment", "region", "senior", "last_priority", "tenure", "monthly_charges", "total_charges"]
     scored = clean_churn(spark, sf).select(
         "customer_id",
-        F.lit(0).cast("long").alias("start_ms"),
-        F.struct("segment", "region", "senior", "last_priority", "tenure", "monthly_charges", "total_charges").alias("input"),
+        call_ms().alias("start_ms"),
+        (call_ms() + 250).alias("end_ms"),
+        F.struct(*fields).alias("input"),
+        F.create_map(F.lit("segment"), 1.6 * (F.col("segment") == "BUILDING").cast("double")).alias("explanation"),
         F.round(planted_probability(), 9).alias("probability"),
         F.concat(F.lit("dep-"), (F.col("customer_id").cast("long") % 3).cast("string")).alias("deployment"),
     )
     scored = scored.withColumn("model", F.lit("churn")).withColumn("uuid", M.prediction_uuid("churn", "customer_id", "start_ms"))
     M.append_inference_log(scored, name)
-    return spark.table(name).select("uuid", "model", "deployment", "customer_id", F.col("input.segment").alias("segment"), "probability")
+    rounded = [F.round(f"input.{c}", 6).alias(c) if c in NUMERIC else F.col(f"input.{c}").alias(c) for c in fields]
+    told = ["uuid", "model", "deployment", "customer_id", "start_ms", "end_ms", *rounded, "probability"]
+    return spark.table(name).select(*told, F.col("explanation")["segment"].alias("segment_weight"))
 
 
 @query(
@@ -211,13 +219,16 @@ def track_run_metrics(spark, sf):
 
 
 @query(
-    f"""with {CHURN_CTE} select 'churn' as model, 'churn_training' as source_table, 'SELECT * FROM churn_training' as source_query,
-    'train' as job, count(*) as n_rows from churn"""
+    f"""with {CHURN_CTE} select 'churn' as model, true as named, 'train' as job, count(*) as n_rows,
+    count(*) filter (where churn = 'Yes') as n_churned from churn"""
 )
 def lineage_record(spark, sf):
-    """Lineage of a training table, joined with the rows that the recorded table holds."""
+    """Lineage of a training table, and what the recorded query reads."""
     source, name = work_table(spark, "training"), work_table(spark, "lineage")
     T.replace_table(churn_frame(spark, sf), source)
-    M.record_lineage(spark, name, "churn", "churn_training", "SELECT * FROM churn_training", "train")
-    n = spark.table(source).agg(F.count("*")).scalar()
-    return spark.table(name).select("model", "source_table", "source_query", "job", n.alias("n_rows"))
+    M.record_lineage(spark, name, "churn", source, f"SELECT * FROM {source}", "train")
+    record = spark.table(name).first()
+    held = spark.sql(record["source_query"]).agg(F.count("*").alias("n_rows"), F.count_if(F.col("churn") == "Yes").alias("n_churned"))
+    return held.select(
+        F.lit(record["model"]).alias("model"), F.lit(record["source_table"] == source).alias("named"), F.lit(record["job"]).alias("job"), "n_rows", "n_churned"
+    )

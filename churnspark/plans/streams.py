@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from churnspark.plans.frames import CLEAN_CTE, FEATURES, LOG_CTE, PLANTED_SQL, clean_churn, inference_columns, table
+from churnspark.plans.frames import CALL_MS, CLEAN_CTE, FEATURES, LOG_CTE, PLANTED_SQL, call_ms, clean_churn, inference_columns, table
 from churnspark.plans.ingest import _RAW_SQL, raw_customers
 from churnspark.plans.modelling import planted
 from churnspark.plans.registry import query
@@ -37,13 +37,18 @@ query(INGEST_SQL, name="stream_ingest")(ingest_incremental)
 
 
 @query(
-    f"""with {CLEAN_CTE} select md5('churn:' || customer_id) as uuid, 'churn' as model, customer_id, round({PLANTED_SQL}, 9) as probability from clean"""
+    f"""with {CLEAN_CTE}, calls as (select *, unnest([0, 60000]) as wait from clean)
+    select md5('["churn","' || customer_id || '","' || ({CALL_MS} + wait) || '"]') as uuid, 'churn' as model, customer_id,
+    {CALL_MS} + wait as call_ms, round({PLANTED_SQL}, 9) as probability from calls"""
 )
 def stream_score(spark, sf):
-    requests = staged(clean_churn(spark, sf).select("customer_id", *FEATURES), "requests")
+    """Two calls for each customer, a minute apart: two predictions."""
+    waits = F.explode(F.array(F.lit(0), F.lit(60_000)))
+    calls = clean_churn(spark, sf).select("customer_id", *FEATURES, waits.alias("wait"))
+    requests = staged(calls.select("customer_id", *FEATURES, (call_ms() + F.col("wait")).alias("call_ms")), "requests")
     stream = J.table_stream(spark, requests.inputFiles()[0].rsplit("/", 1)[0], requests.schema)
-    scored = J.score_stream(stream, "churn", ["customer_id"], planted)
-    out = scored.select("uuid", "model", "customer_id", F.round("probability", 9).alias("probability"))
+    scored = J.score_stream(stream, "churn", ["customer_id", "call_ms"], planted)
+    out = scored.select("uuid", "model", "customer_id", "call_ms", F.round("probability", 9).alias("probability"))
     return J.run_available(out, scratch_path(spark, "scored"), scratch_path(spark, "score_state"))
 
 

@@ -16,8 +16,12 @@ METRIC_LAYOUT = ("deployment", "day")
 
 
 def prediction_uuid(model: str, *keys) -> Column:
-    """Stable id of one prediction: the same model, keys and time always give the same id."""
-    return F.md5(F.concat_ws(":", F.lit(model), *[F.col(k).cast("string") for k in keys]))
+    """Stable id of one prediction: the same model, keys and time always give the same id.
+
+    The keys (with the request's time among them) are hashed as a JSON list, so neither a null nor a
+    separator inside a key makes two lists equal.
+    """
+    return F.md5(F.to_json(F.array(F.lit(model), *[F.col(k).cast("string") for k in keys])))
 
 
 def with_day(df: DataFrame, start_ms: str = "start_ms") -> DataFrame:

@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from churnspark.functions.columns import now_ms
 from churnspark.operators.explain import Predict
 from churnspark.operators.models import ExplainedModel
-from churnspark.sources.metrics import append_inference_log, prediction_uuid
+from churnspark.session import staged
+from churnspark.sources.metrics import DAY_MS, append_inference_log, prediction_uuid
 
 
 def customer_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int | None = None) -> DataFrame:
@@ -49,21 +51,37 @@ def score_stream(requests: DataFrame, model: str, keys: list[str], predict: Pred
     return predict(requests).withColumn("uuid", prediction_uuid(model, *keys)).withColumn("model", F.lit(model))
 
 
-def serve_stream(requests: DataFrame, em: ExplainedModel, key: str, model: str, deployment: str, table: str, checkpoint: str, n_samples: int = 5000) -> StreamingQuery:
-    """Answer and explain the requests of each micro-batch and append the answers to the inference log.
+def log_answers(batch: DataFrame, em: ExplainedModel, key: str, time: str, model: str, deployment: str, table: str, n_samples: int = 5000) -> None:
+    """Answer and explain requests (<key>, <time> in ms, fields...) and append the answers to the inference log.
 
-    The prediction id depends on model and key only, so a repeated batch can be recognised in the log.
+    The prediction id holds the request's time, so two calls for one key are two predictions, and requests whose
+    id the log has already are left out: a repeated batch adds nothing. ``start_ms`` is the request's time and
+    ``end_ms`` the time at which its answer was there.
     """
+    spark = batch.sparkSession
+    asked = batch.select(prediction_uuid(model, key, time).alias("uuid"), F.col(time).cast("long").alias("start_ms"), *[c for c in batch.columns if c != time])
+    asked = staged(asked.dropDuplicates(["uuid"]), "asked")
+    if spark.catalog.tableExists(table):
+        days = asked.select(F.floor(F.col("start_ms") / DAY_MS).cast("int").alias("day")).distinct()
+        known = spark.table(table).where(F.col("deployment") == deployment).join(days, "day", "left_semi").select("uuid")
+        asked = asked.join(known, "uuid", "left_anti")
+    answered = staged(em.serve(asked.drop("start_ms", key), "uuid", n_samples), "answered")
+    done = spark.range(1).select(now_ms().alias("ms")).first()["ms"]
+    out = answered.join(asked.select("uuid", "start_ms", key), "uuid")
+    append_inference_log(
+        out.select("uuid", F.lit(model).alias("model"), F.lit(deployment).alias("deployment"), "start_ms", F.lit(done).alias("end_ms"), key, "data", "probability", "explanation"),
+        table,
+    )
+
+
+def serve_stream(
+    requests: DataFrame, em: ExplainedModel, key: str, time: str, model: str, deployment: str, table: str, checkpoint: str, n_samples: int = 5000
+) -> StreamingQuery:
+    """Answer the requests of each micro-batch and log the answers (see ``log_answers``)."""
 
     def answer(batch: DataFrame, _: int) -> None:
-        if batch.isEmpty():
-            return
-        start = F.unix_millis(F.current_timestamp())
-        out = em.serve(batch, key, n_samples).select(
-            prediction_uuid(model, key).alias("uuid"), F.lit(model).alias("model"), F.lit(deployment).alias("deployment"),
-            start.alias("start_ms"), F.unix_millis(F.current_timestamp()).alias("end_ms"), "*",
-        )
-        append_inference_log(out, table)
+        if not batch.isEmpty():
+            log_answers(batch, em, key, time, model, deployment, table, n_samples)
 
     return requests.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

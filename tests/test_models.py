@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -89,6 +91,13 @@ def test_forest_treats_codes_as_numbers(train):
     assert "in {" not in forest.toDebugString
 
 
+def test_forest_does_not_depend_on_the_layout(train):
+    rows = train.unionByName(train.limit(1).withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(100)))).drop("k"))
+    told = [M.fit_forest(rows.repartition(n), SPEC, "y", trees=5, max_depth=6, partitions=4).stages[-1].toDebugString for n in (1, 4, 13)]
+    # thresholds are scaled by means and deviations, whose last digits follow the order of additions
+    assert len({re.sub(r"-?\d+\.\d+(E-?\d+)?", lambda m: f"{float(m[0]):.6f}", t.split("\n", 1)[1]) for t in told}) == 1
+
+
 def test_unseen_category_fails(fitted, train):
     bad = train.limit(1).withColumn("colour", F.lit("pink"))
     with pytest.raises(Exception, match="pink"):

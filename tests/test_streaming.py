@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from churnspark.operators import models as M
 from churnspark.operators.features import FeatureSpec
 from churnspark.session import work_table
+from churnspark.sources.metrics import prediction_uuid
 from churnspark.sources import tables as T
 from churnspark.streaming import jobs as J
 
@@ -75,10 +76,26 @@ def test_scoring_stream_equals_batch(spark, em, tmp_path):
 
 
 def test_serving_stream_logs_explanations(spark, em, tmp_path):
-    stream = _feed(spark, str(tmp_path / "r"), [[("q1", "u", 1.0)], [("q2", "v", None)]], "id string, a string, x double")
+    stream = _feed(spark, str(tmp_path / "r"), [[("q1", "u", 1.0, 5)], [("q2", "v", None, 6), ("q1", "u", 1.0, 7)]], "id string, a string, x double, at long")
     table = work_table(spark, "served")
-    J.serve_stream(stream, em, "id", "churn", "dep-1", table, str(tmp_path / "k"), n_samples=100).awaitTermination()
-    got = {r.id: r for r in spark.table(table).collect()}
-    assert set(got) == {"q1", "q2"} and set(got["q1"].explanation) == {"a", "x"}
+    J.serve_stream(stream, em, "id", "at", "churn", "dep-1", table, str(tmp_path / "k"), n_samples=100).awaitTermination()
+    rows = spark.table(table).collect()
+    got = {r.id: r for r in rows}
+    assert len({r.uuid for r in rows}) == 3 and sorted((r.id, r.start_ms) for r in rows) == [("q1", 5), ("q1", 7), ("q2", 6)]
+    assert set(got["q1"].explanation) == {"a", "x"}
     assert got["q2"].data.x == 8.0 and got["q1"].deployment == "dep-1"
-    assert spark.table(table).filter(F.col("day") > 19_000).count() == 2
+    assert spark.table(table).filter((F.col("day") == 0) & (F.col("end_ms") > F.col("start_ms"))).count() == 3
+    again = spark.createDataFrame([("q2", "v", None, 6), ("q3", "v", 1.0, 8)], "id string, a string, x double, at long")
+    J.log_answers(again, em, "id", "at", "churn", "dep-1", table, n_samples=100)  # a batch that is partly repeated
+    assert spark.table(table).count() == 4
+
+
+def test_unreadable_request_is_not_answered(spark, em):
+    bad = spark.createDataFrame([("q1", "u", "abc")], "id string, a string, x string")
+    with pytest.raises(Exception, match="unreadable x: abc"):
+        em.serve(bad, "id", 100).collect()
+
+
+def test_prediction_ids_differ(spark):
+    keys = spark.createDataFrame([("a", None), (None, "a"), ("a:b", "c"), ("a", "b:c")], "k string, l string")
+    assert keys.select(prediction_uuid("m", "k", "l").alias("u")).distinct().count() == 4
