@@ -47,7 +47,7 @@ def with_target(df: DataFrame, label: str, positive: str) -> DataFrame:
     return df.withColumn("target", (F.col(label) == positive).cast("double"))
 
 
-FOREST_PARTITIONS = 32  # of a forest's training rows; part of the model, as each partition draws its own samples
+FOREST_PARTITIONS = 8  # of a forest's training rows; part of the model, as each partition draws its own samples
 
 
 def _encoded(prep: PipelineModel, df: DataFrame, keep=()) -> tuple[DataFrame, int]:
