@@ -50,8 +50,9 @@ def mix_sources(
     weights: tuple[int, ...] = WEIGHTS,
     epochs: int = EPOCHS,
     seed: str = "mix",
+    also: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Return per row of ``docs`` (<id>, <source>, size, source_size, target, times, taken).
+    """Return per row of ``docs`` (<id>, <source>, size, source_size, target, times, taken, also...).
 
     ``size`` counts the words of the text, ``times`` how often the mix takes the document, ``taken`` the words.
     Documents get a random key from a hash of seed and id, are range-sorted by it within their source, and the
@@ -60,46 +61,33 @@ def mix_sources(
     target by at most half of one document.
 
     Null and empty texts have size 0 and are never taken. A null source is a source, the last one. Equal ids
-    are ordered by text hash and size; rows equal in all of these are taken as one block. Extra columns are
-    ignored, an empty table gives no rows.
+    are ordered by text hash and size, then by the columns ``also``; rows equal in all of these are numbered and
+    cut one by one. Other columns are ignored, an empty table gives no rows.
     """
+    ties = [f"also{i}" for i in range(len(also))]
     sizes = docs.select(
         docs[id_col].alias("id"),
         docs[source_col].alias("source"),
         word_count(docs[text_col]).alias("size"),
         F.md5(F.concat(F.lit(seed + ":"), F.coalesce(docs[id_col].cast("string"), F.lit("")))).alias("key"),
         F.coalesce(F.xxhash64(docs[text_col]), F.lit(0)).alias("tie"),
+        *[docs[c].alias(t) for c, t in zip(also, ties, strict=True)],
+        F.monotonically_increasing_id().alias("number"),  # fixed by the write
     )
     sizes = staged(sizes, "sizes")
     targets = staged(source_targets(sizes, weights, epochs), "targets")
 
-    blocks = sizes.groupBy("source", "key", "tie", "size").agg(F.count("*").alias("copies"))
-    blocks = blocks.withColumn("words", F.col("size") * F.col("copies"))
     # Nulls do not compare; sources travel as (missing, text) pairs.
-    blocks = blocks.select(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("src"), "key", "tie", "size", "words")
-    total = with_running_total(blocks, ["key", "tie", "size"], ["words"], by=["none", "src"])
+    rows = sizes.withColumns({"none": F.col("source").isNull(), "src": F.coalesce("source", F.lit(""))})
+    total = with_running_total(rows, ["key", "tie", "size", *ties, "number"], ["size"], by=["none", "src"])
     targets = targets.select(
         F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("src"), "source_size", "target"
     )
     rounds = F.floor(F.try_divide(F.col("target"), F.col("source_size")))  # no words in the source: null, not used
     rest = F.col("target") - rounds * F.col("source_size")
-    cut = total.join(targets, ["none", "src"]).select(
-        "none",
-        "src",
-        "key",
-        "tie",
-        "size",
-        "source_size",
-        "target",
-        F.when(F.col("size") == 0, 0)
-        .otherwise(rounds + F.when(2 * F.col("words_upto") - F.col("words") <= 2 * rest, 1).otherwise(0))
-        .cast("long")
-        .alias("times"),
-    )
-    out = sizes.select(
-        "id", "source", F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("src"), "key", "tie", "size"
-    ).join(cut, ["none", "src", "key", "tie", "size"])
+    extra = F.when(2 * F.col("size_upto") - F.col("size") <= 2 * rest, 1).otherwise(0)
+    out = total.join(targets, ["none", "src"]).withColumn("times", F.when(F.col("size") == 0, 0).otherwise(rounds + extra).cast("long"))
     return out.select(
         F.col("id").alias(id_col), F.col("source").alias(source_col), "size", "source_size", "target", "times",
-        (F.col("times") * F.col("size")).alias("taken"),
+        (F.col("times") * F.col("size")).alias("taken"), *[F.col(t).alias(c) for c, t in zip(also, ties, strict=True)],
     )

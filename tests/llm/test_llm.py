@@ -239,6 +239,15 @@ def test_mixing_edges(spark):
     assert mixing.mix_sources(frame.limit(0)).count() == 0
 
 
+def test_mixing_cuts_equal_rows_one_by_one(spark):
+    rows = [(None, "x x x x", "", "a")] * 30 + [(i, "y y y y", "", "b") for i in range(30)]
+    taken, target = {}, {}
+    for r in mixing.mix_sources(docs_frame(spark, rows)).collect():
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+        target[r.source] = r.target
+    assert target == {"a": 80, "b": 160} and all(abs(taken[s] - target[s]) <= 2 for s in target)
+
+
 # 6 Token files
 
 
