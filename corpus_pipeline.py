@@ -20,10 +20,17 @@ LEAST_SCORE = 0.3  # of the predicted language
 MOST_HIT = 0.0  # share of a document's words that may lie in benchmark passages
 
 
-def _matching(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id ``found`` has; a null id matches a null id."""
-    ids = found.select(F.col("doc_id").alias("found_id")).distinct()
-    return docs.join(ids, F.col("doc_id").eqNullSafe(F.col("found_id")), "left_semi")
+DIGEST, ROW = "_pipeline_digest", "_pipeline_row"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """``docs``, written once, with a digest of all columns and a number that no two rows share.
+
+    Ids may be null or repeated, so rows are told apart by these. Digests are the same in every run; the numbers
+    tell rows apart that are equal in all columns, where it does not matter which is which.
+    """
+    values = [F.coalesce(F.md5(docs[f"`{c}`"].cast("string")), F.lit("")) for c in docs.columns]
+    return staged(docs.withColumns({DIGEST: F.md5(F.concat_ws(":", *values)), ROW: F.monotonically_increasing_id()}), "keyed")
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,26 +42,34 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates, that with the smallest id; of repeated rows of it, one.
+    """One row of each group of near duplicates, that with the smallest id, and of those the smallest digest.
 
-    Near duplicates share at least 0.8 of their five-word n-grams (Jaccard).
+    Near duplicates share at least 0.8 of their five-word n-grams (Jaccard). A null id comes last; rows that share
+    an id are rows of their own. Rows without words are near duplicates only of rows equal in all columns.
     """
-    joined = ngram_join(docs.select("doc_id", "text"), width=5, percent=80)
-    kept = joined.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return _matching(docs, kept).dropDuplicates(["doc_id"])
+    keyed = _keyed(docs)
+    joined = ngram_join(keyed.select(ROW, "text"), id_col=ROW, width=5, percent=80)
+    found = keyed.select(ROW, DIGEST, "doc_id").join(joined, ROW)
+    alone = F.when(F.col("n_shingles") == 0, F.col(DIGEST))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", DIGEST, ROW)
+    first = found.groupBy(alone, F.when(alone.isNull(), F.col("component_id"))).agg(F.min(order).alias("first"))
+    return keyed.join(first.select(f"first.{ROW}"), ROW, "left_semi").select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without any passage of a benchmark item."""
+    """Documents without any passage of a benchmark item; each row is judged by its own text."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontaminate(docs.select("doc_id", "text"), benchmark)
-    return _matching(docs, found.where(F.col("n_hit") <= MOST_HIT * F.col("n_words")))
+    text_key = F.md5(F.coalesce(docs["text"], F.lit("")))
+    found = decontaminate(docs.select(text_key.alias("text_key"), "text"), benchmark, id_col="text_key")
+    clean = found.where(F.col("n_hit") <= MOST_HIT * F.col("n_words")).select(F.col("text_key").alias("clean_key")).distinct()
+    return docs.join(clean, text_key == F.col("clean_key"), "left_semi")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as often as the mix takes them: a row for each time."""
-    mixed = mix_sources(docs).where("times > 0").select(F.col("doc_id").alias("mixed_id"), "times")
-    rows = docs.join(mixed, F.col("doc_id").eqNullSafe(F.col("mixed_id")))
+    keyed = _keyed(docs)
+    mixed = mix_sources(keyed, also=(DIGEST, ROW)).where("times > 0").select(ROW, "times")
+    rows = keyed.join(mixed, ROW)
     return rows.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), "times"))).select(*docs.columns)
 
 

@@ -408,3 +408,24 @@ def test_pipeline_of_nothing(spark, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
     assert docs.count() == 0
+
+
+def test_pipeline_rows_that_share_an_id(spark, sf):
+    _, near, clean, mix, _ = (stage for _, stage in corpus_pipeline.STAGES)
+    text = lambda k: " ".join(f"{k}{i}" for i in range(40))
+    frame = lambda rows: spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    rows = [(None, text("a")), (None, text("b")), (None, text("b")), (7, text("c")), (7, text("d")), (7, text("d")), (8, text("a") + " end")]
+    rows += [(9, ""), (9, ""), (10, ""), (None, None)]
+    got = [(r.doc_id, r.text) for r in near(spark, frame(rows), sf).collect()]
+    want = [(None, text("b")), (7, text("c")), (7, text("d")), (8, text("a") + " end"), (9, ""), (10, ""), (None, None)]
+    assert sorted(got, key=str) == sorted(want, key=str)
+
+    items = spark.read.parquet(f"{sf}/benchmark.parquet").where(F.size(F.split("text", " ")) >= 10)
+    leak = text("e") + " " + items.first().text
+    rows = [(1, text("a")), (1, leak), (None, text("b")), (None, leak), (None, None), (2, "")]
+    got = [(r.doc_id, r.text) for r in clean(spark, frame(rows), sf).collect()]
+    assert sorted(got, key=str) == sorted([r for r in rows if r[1] != leak], key=str)
+
+    rows = [(None, text(k)) for k in "abcdef"] + [(1, text("g")), (1, text("g")), (1, text("h"))]
+    got = [(r.doc_id, r.text) for r in mix(spark, frame(rows), sf).collect()]  # one source: every row once
+    assert sorted(got, key=str) == sorted(rows, key=str)
