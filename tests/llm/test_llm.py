@@ -260,6 +260,27 @@ def test_range_coder_round_trip(n):
         assert back.tolist() == ids.tolist() and names.tolist() == [3] and lengths.tolist() == [n]
 
 
+@pytest.mark.parametrize("most", [65535, 65536, 100_277, 1 << 20, (1 << 31) - 1])
+def test_range_coder_large_ids(most):
+    rng = np.random.default_rng(most)
+    for ids in (rng.integers(0, most, 5000), np.full(2049, most), rng.zipf(1.3, 5000) % most):
+        ids[-1] = most
+        frame = range_coder.encode_frame(np.array([3]), np.array([len(ids)]), ids.astype(np.int32))
+        assert range_coder.decode_frame(frame)[2].tolist() == ids.tolist()
+    for wrong in (-1, 1 << 31):
+        with pytest.raises(ValueError, match="token ids"):
+            range_coder.encode_frame(np.array([3]), np.array([1]), np.array([wrong]))
+
+
+def test_range_coder_checks_ids(monkeypatch):
+    ids = np.arange(3000, dtype=np.int32)
+    frame = range_coder.encode_frame(np.array([3]), np.array([3000]), ids)
+    right = range_coder.run
+    monkeypatch.setattr(range_coder, "run", lambda *a: right(*a) ^ 1)
+    with pytest.raises(ValueError, match="damaged"):
+        range_coder.decode_frame(frame)
+
+
 def test_range_coder_learns_and_checks():
     ids = np.tile(np.arange(50, dtype=np.int32) * 999, 200)
     frame = range_coder.encode_frame(np.array([1]), np.array([len(ids)]), ids)
