@@ -144,9 +144,12 @@ def piece_scores(model: LanguageModel, pieces: list[str]) -> np.ndarray:
     return out
 
 
-def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
+def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", share_col: str | None = None) -> DataFrame:
     """All columns of ``docs`` with lang_pred and score (columns of these names are replaced).
 
+    The score is that of the words with evidence alone. ``share_col`` names a further column for their share of
+    the words with letters; the even chance that a score has to be held against is 1 / number of languages.
+
     The score is the model's probability of the predicted language, with a text's evidence limited to 40 words
     so that long texts do not all score 1. A text that is null or has no letter, or any text under a model
     without languages, is `und` with score 0. Letters of which no n-gram is known leave all languages equal;
@@ -154,6 +157,8 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
     table gives no rows.
     """
     schema = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    if share_col:
+        schema = schema.add(share_col, T.DoubleType())
     width = len(model.languages) + 2
     place: dict[str, int] = {}
     memory = np.zeros((0, width), np.float32)
@@ -168,10 +173,11 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
         if new:
             place.update(zip(new, range(len(place), len(place) + len(new)), strict=True))
             memory = np.concatenate([memory, piece_scores(model, new)])
-        langs, scores = [], []
+        langs, scores, shares = [], [], []
         for run in pieces:
             rows = np.fromiter(map(place.__getitem__, run), np.int64, len(run))
             found = np.ones(len(run), np.float32) @ memory.take(rows, axis=0)
+            shares.append(float(found[-2] / max(found[-1], 1)))
             if not found[-1] or not model.languages:
                 langs.append(UNKNOWN)
                 scores.append(0.0)
@@ -182,6 +188,7 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
             best = int(chance.argmax())
             langs.append(model.languages[best])
             scores.append(float(chance[best] / chance.sum()))
-        return {"lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64())}
+        made = {"lang_pred": pa.array(langs, pa.string()), "score": pa.array(scores, pa.float64())}
+        return made | ({share_col: pa.array(shares, pa.float64())} if share_col else {})
 
     return with_text_columns(docs, text_col, score, schema)

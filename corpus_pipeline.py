@@ -16,11 +16,12 @@ from churnspark.llm.ngram_join import ngram_join
 from churnspark.llm.sharding import shard_documents
 from churnspark.session import staged
 
-LEAST_SCORE = 0.3  # of the predicted language
+LEAST_KNOWN = 0.5  # share of a text's words that the language model has evidence of
+LEAST_MARGIN = 1 / 15  # of the score over the even chance, as a share of what is above it: 0.3 with four languages
 MOST_HIT = 0.0  # share of a document's words that may lie in benchmark passages
 
 
-DIGEST, ROW = "_pipeline_digest", "_pipeline_row"
+DIGEST, ROW, KNOWN = "_pipeline_digest", "_pipeline_row", "_pipeline_known"
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -34,11 +35,17 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in one of the learned languages: those without letters or without a likely language go."""
+    """Documents in one of the learned languages.
+
+    Those without letters, with evidence of less than half of their words, or without a likely language go. With a
+    single learned language the evidence alone decides.
+    """
     train = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) != 2
     model = fit_language_model(docs.where(train))
-    found = predict_language(docs, model)
-    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    even = 1 / max(1, len(model.languages))
+    found = predict_language(docs, model, share_col=KNOWN)
+    likely = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= even + LEAST_MARGIN * (1 - even))
+    return found.where(likely & (F.col(KNOWN) >= LEAST_KNOWN)).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -450,3 +450,13 @@ def test_pipeline_rows_that_share_an_id(spark, sf):
     rows = [(None, text(k)) for k in "abcdef"] + [(1, text("g")), (1, text("g")), (1, text("h"))]
     got = [(r.doc_id, r.text) for r in mix(spark, frame(rows), sf).collect()]  # one source: every row once
     assert sorted(got, key=str) == sorted(rows, key=str)
+
+
+@pytest.mark.parametrize("languages", [1, 2, 3, 4])
+def test_pipeline_rejects_unlearned_scripts(spark, sf, languages):
+    learned = {"en": "the cat and the dog", "de": "der hund und die katze", "fr": "le chat et le chien", "es": "el gato y el perro"}
+    rows = [(10 * k + i, t, lang) for k, (lang, t) in enumerate(list(learned.items())[:languages]) for i in range(10)]
+    odd = [(100, "漢字 仮名 文字", None), (101, "漢字 仮名 文字 " * 30 + "the", None), (102, "123", None), (103, None, None)]
+    frame = spark.createDataFrame([(*r, "s", 1) for r in rows + odd], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.language_stage(spark, frame, sf).collect()
+    assert sorted(r.doc_id for r in got) == [r[0] for r in rows]
