@@ -1,6 +1,7 @@
 """Words, their hashes and the hashes of word windows, computed for many texts at once with numpy.
 
-All hashes are polynomial sums modulo 2^64, so the hash of any stretch is a difference of two running sums.
+The hash of a window of words is a polynomial of word hashes modulo 2^64, a difference of two running sums. Sums
+for stretches of any length are taken in the field of 2^61 - 1 elements, where long patterns do not cancel out.
 """
 
 from __future__ import annotations
@@ -9,9 +10,9 @@ from typing import NamedTuple
 
 import numpy as np
 
-# Two independent families: (base over bytes, base over words). Bases are odd and so can be inverted.
+# Two independent families: (seed of the bytes, base over words). Bases are odd and so can be inverted.
 FAMILIES = ((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (0xC2B2AE3D27D4EB4F, 0xA0761D6478BD642F))
-PIECE = 1 << 18  # bytes hashed at a time
+MODULUS = (1 << 61) - 1
 
 SPACED = np.ones(256, bool)  # bytes of words between ASCII white space
 SPACED[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -60,23 +61,23 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def word_hashes(words: Words, family: int = 0) -> np.ndarray:
-    base = FAMILIES[family][0]
-    back = pow(base, -1, 1 << 64)
-    starts, ends = words.starts, words.ends
-    out = np.empty(len(starts), np.uint64)
-    up, down = _powers(base, PIECE), _powers(back, PIECE)
-    i = 0
-    while i < len(starts):
-        j = max(i + 1, int(np.searchsorted(ends, starts[i] + PIECE, "right")))
-        low, size = starts[i], int(ends[j - 1] - starts[i])
-        if size > len(up):  # a single longer word
-            up, down = _powers(base, size), _powers(back, size)
-        run = np.zeros(size + 1, np.uint64)
-        np.cumsum((words.data[low : low + size].astype(np.uint64) + np.uint64(1)) * up[:size], out=run[1:])
-        s, e = starts[i:j] - low, ends[i:j] - low
-        out[i:j] = (run[e] - run[s]) * down[s] + (e - s).astype(np.uint64)
-        i = j
-    return mixed(out)
+    """64 bits of every word: the sum of its pieces of eight bytes, each mixed with its place, mixed with its length.
+
+    Words of up to eight bytes have different sums; longer ones meet only as random numbers do.
+    """
+    size = words.ends - words.starts
+    pieces = np.maximum(-(-size // 8), 1)
+    first = np.cumsum(pieces) - pieces
+    place = np.arange(int(pieces.sum())) - np.repeat(first, pieces)  # of a piece within its word
+    at = np.repeat(words.starts, pieces) + 8 * place
+    padded = np.concatenate([words.data, np.zeros(8, np.uint8)])
+    eight = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    held = np.minimum(np.repeat(words.ends, pieces) - at, 8).astype(np.uint64)
+    value = eight[at] & (np.uint64(0xFFFFFFFFFFFFFFFF) >> (np.uint64(64) - np.uint64(8) * held))
+    seed = np.uint64(FAMILIES[family][0])
+    value = mixed(value ^ mixed(seed * (place.astype(np.uint64) + np.uint64(1))))
+    total = np.add.reduceat(value, first) if len(first) else value
+    return mixed(total + size.astype(np.uint64))
 
 
 def window_hashes(hashes: np.ndarray, width: int, family: int = 0) -> np.ndarray:
@@ -97,3 +98,36 @@ def whole_windows(words: Words, width: int) -> np.ndarray:
     n = np.maximum(last - first - width + 1, 0)
     skipped = np.repeat(first - np.cumsum(n) + n, n)
     return np.arange(n.sum()) + skipped
+
+
+def reduced(x: np.ndarray) -> np.ndarray:
+    """Values below 2^64 modulo 2^61 - 1."""
+    x = (x >> np.uint64(61)) + (x & np.uint64(MODULUS))
+    return np.where(x >= np.uint64(MODULUS), x - np.uint64(MODULUS), x)
+
+
+def prime_product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products modulo 2^61 - 1 of values below it, from products of their halves."""
+    low, shift = np.uint64((1 << 31) - 1), np.uint64(31)
+    a1, a0, b1, b0 = a >> shift, a & low, b >> shift, b & low
+    cross = a0 * b1 + a1 * b0
+    ends = (a1 * b1 << np.uint64(1)) + (cross >> np.uint64(30)) + ((cross & np.uint64((1 << 30) - 1)) << shift)
+    return reduced(ends + a0 * b0)
+
+
+def prime_powers(base: int, n: int) -> np.ndarray:
+    """The powers 0 to ``n`` of ``base`` modulo 2^61 - 1."""
+    out = np.ones(1, np.uint64)
+    while len(out) <= n:
+        out = np.concatenate([out, prime_product(out, np.uint64(pow(base, len(out), MODULUS)))])
+    return out[: n + 1]
+
+
+def prime_sums(values: np.ndarray) -> np.ndarray:
+    """Running sums modulo 2^61 - 1 of values below it, with 0 before the first."""
+    half = np.uint64(32)
+    out = np.zeros(len(values) + 1, np.uint64)
+    high = np.cumsum(values >> half, dtype=np.uint64)
+    low = np.cumsum(values & np.uint64(0xFFFFFFFF), dtype=np.uint64)
+    out[1:] = reduced(prime_product(reduced(high), np.uint64(1 << 32)) + reduced(low))
+    return out
