@@ -11,6 +11,7 @@ from churnspark.llm.embedding_links import embedding_links
 from churnspark.llm.language import fit_language_model, predict_language
 from churnspark.llm.mixing import mix_sources
 from churnspark.llm.ngram_join import ngram_join
+from churnspark.llm.periodic_runs import periodic_runs
 from churnspark.llm.quality import fit_quality_model, score_quality
 from churnspark.llm.sharding import shard_documents
 from churnspark.llm.substring_dedup import substring_dedup
@@ -182,3 +183,61 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     frames = write_token_frames(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return read_token_frames(frames)
+
+
+def _planted(text):
+    """The text with a period planted by the rule of the query: from word a on, words repeat after p of them."""
+    check = F.crc32(F.col("doc_id").cast("string"))
+    draw = F.floor(check / 10)
+    words = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    n = F.size(words)
+    a = F.pmod(draw, n).cast("int")
+    p = (F.floor((n - a) / (3 + F.pmod(draw, F.lit(8)))) + 1).cast("int")
+    again = F.flatten(F.array_repeat(F.slice(words, a + 1, p), F.ceil((n - a) / p).cast("int")))
+    planted = F.concat(F.slice(words, F.lit(1), a), F.slice(again, F.lit(1), n - a))
+    some = (F.pmod(check, F.lit(10)) == 0) & F.coalesce(F.regexp_like(text, F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    return F.when(some, F.array_join(planted, " ")).otherwise(text)
+
+
+_CRC32 = """xor(list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda s, v: CASE WHEN v >= 0 THEN xor(s, v) ELSE xor(s >> 1, 3988292384 * (s & 1)) END), 4294967295)"""
+
+
+@_query(
+    rf"""
+    WITH o AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_SPACED}) AS ws, {_CRC32} AS h FROM documents),
+    g AS (SELECT *, len(ws) AS n, CASE WHEN h % 10 = 0 AND len(ws) > 0 THEN (h // 10) % len(ws) ELSE len(ws) END AS a FROM o),
+    p AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM g),
+    w AS (SELECT doc_id, n, list_transform(range(n), lambda i: ws[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) AS ws FROM p),
+    six AS (SELECT doc_id, i, ws[i + 1:i + 6] AS s FROM (SELECT doc_id, ws, unnest(range(n - 5)) AS i FROM w WHERE n >= 6)),
+    met AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM six x JOIN six y ON x.doc_id = y.doc_id AND x.s = y.s AND x.i < y.i),
+    isle AS (SELECT doc_id, q, min(i) AS a, max(i) + 6 + q AS b
+             FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM met) GROUP BY doc_id, q, k),
+    run AS (SELECT doc_id, a, b - a AS l, min(q) AS q FROM isle WHERE b - a >= greatest(12, 2 * q) GROUP BY doc_id, a, b),
+    listed AS (SELECT doc_id, count(*) AS n_runs, arg_max({{'a': a, 'l': l, 'q': q}}, [l, -a, -q]) AS best,
+                      string_agg(a || ',' || l || ',' || q || chr(10), '' ORDER BY a, q) AS runs FROM run GROUP BY doc_id),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(a + q, a + l)) AS i FROM run),
+    word AS (SELECT doc_id, unnest(ws) AS word, unnest(range(n)) AS i FROM w),
+    kept AS (SELECT word.doc_id, string_agg(word, ' ' ORDER BY word.i) FILTER (WHERE gone.i IS NULL) AS t
+             FROM word LEFT JOIN gone ON word.doc_id = gone.doc_id AND word.i = gone.i GROUP BY word.doc_id)
+    SELECT w.doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, best.a::BIGINT AS start, best.l::BIGINT AS length, best.q::BIGINT AS period,
+           (1000 * best.l // best.q)::BIGINT AS exponent_milli, sha256(coalesce(runs, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+    FROM w LEFT JOIN listed ON w.doc_id = listed.doc_id LEFT JOIN kept ON w.doc_id = kept.doc_id"""
+)
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = periodic_runs(docs.select("doc_id", _planted(F.col("text")).alias("text")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    start, length, period = -longest["col2"], longest["length"], -longest["col3"]
+    lines = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
