@@ -11,6 +11,7 @@ from churnspark.llm.embedding_links import embedding_links
 from churnspark.llm.language import fit_language_model, predict_language
 from churnspark.llm.mixing import mix_sources
 from churnspark.llm.ngram_join import ngram_join
+from churnspark.llm.packing import pack_documents
 from churnspark.llm.periodic_runs import periodic_runs
 from churnspark.llm.quality import fit_quality_model, score_quality
 from churnspark.llm.sharding import shard_documents
@@ -241,3 +242,10 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.transform(lines, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
         F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@_query()
+def op12_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
