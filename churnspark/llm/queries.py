@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from churnspark.llm.alignment import align_tokenizers
 from churnspark.llm.chat import CONTROLS, END, START, read_conversations, render_conversations
 from churnspark.llm.decontaminate import decontaminate
 from churnspark.llm.embedding_links import embedding_links
@@ -249,3 +250,12 @@ def op12_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@_query()
+def op11_align_tokenizers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as vocabulary
+
+    docs = _table(spark, sf_dir, "documents")
+    found = align_tokenizers(docs, vocabulary.path("byte_bpe_50k.json"), vocabulary.path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("groups", "groups_sha256")
