@@ -134,16 +134,38 @@ def short_text(c, width: int = 5) -> Column:
     return F.substring(_col(c).cast("string"), 1, width)
 
 
+# How the public version scheme spells and orders what may follow the numbers of a release.
+VERSION_STAGES = {"dev": -4, "alpha": -3, "a": -3, "beta": -2, "b": -2, "candidate": -1, "preview": -1, "pre": -1, "rc": -1, "c": -1, "post": 1, "rev": 1, "r": 1}
+
+
 def version_key(c) -> Column:
-    """A version text as a value that orders 1.10 after 1.9 and 2022.04.1-b6 before 2022.04.1.
+    """A version text as a value in the order of versions: 1.10 after 1.9, 1.0 equal to 1, 1.0.dev2 < 1.0a1 < 1.0b2 <
+    1.0b10 < 1.0rc1 < 1.0 < 1.0.post1, and a development or post release next to the one it belongs to.
 
-    Parts that are no number come before all numbers.
+    Upper case, a leading v and the signs between parts do not matter; an epoch (``1!``) comes first, a local part
+    (``+...``) last, its numbers by value and after its words. Of numbers only the value counts, at any length.
+    A text without a number comes before all versions.
     """
-    halves = F.split(_col(c), "-", 2)
-    later = F.try_element_at(halves, F.lit(2))
-    number = lambda p: F.coalesce(p.try_cast("long"), F.lit(-1).cast("long"))
+    text = F.lower(F.trim(_col(c)))
+    whole = r"^v?(?:(\d+)!)?(\d+(?:\.\d+)*)((?:[-_.]?[a-z]+[-_.]?\d*|-\d+)*)(?:\+([a-z0-9]+(?:[-_.][a-z0-9]+)*))?.*$"
+    part = lambda k: F.regexp_extract(text, whole, k)
+    number = lambda p: F.coalesce(F.nullif(p, F.lit("")).try_cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)"))
+    release = F.regexp_replace(part(2), r"(\.0+)+$", "")
+    pieces = F.regexp_extract_all(part(3), F.lit(r"([a-z]+[-_.]?\d*|-\d+)"), F.lit(1))
+    rank = F.create_map(*[F.lit(x) for pair in VERSION_STAGES.items() for x in pair])
+    # A bare -N is a post release; other words come before the release, in the order of their text.
+    stage = lambda p: F.coalesce(rank[F.regexp_extract(p, r"^([a-z]*)", 1)], F.when(p.startswith("-"), 1).otherwise(-5))
+    later = F.transform(
+        pieces, lambda p: F.struct(stage(p).alias("stage"), F.when(stage(p) == -5, F.regexp_extract(p, r"^([a-z]*)", 1)).otherwise("").alias("word"), number(F.regexp_extract(p, r"(\d+)$", 1)).alias("n"))
+    )
+    end = F.array(F.struct(F.lit(0).alias("stage"), F.lit("").alias("word"), F.lit(0).cast("decimal(38,0)").alias("n")))
+    local = F.filter(F.split(part(4), "[-_.]"), lambda p: p != "")
     return F.struct(
-        F.transform(F.split(halves[0], r"\."), number).alias("release"), later.isNull().alias("final"), later.alias("suffix")
+        (part(2) != "").alias("any"),
+        number(part(1)).alias("epoch"),
+        F.transform(F.split(release, r"\."), number).alias("release"),
+        F.concat(later, end).alias("stages"),
+        F.transform(local, lambda p: F.struct(p.rlike(r"^\d+$").alias("numeric"), F.coalesce(p.try_cast("decimal(38,0)"), F.lit(0).cast("decimal(38,0)")).alias("n"), p.alias("text"))).alias("local"),
     )
 
 

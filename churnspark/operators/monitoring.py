@@ -33,5 +33,5 @@ def latest_deployment(models: DataFrame, builds: DataFrame, deployments: DataFra
 
 
 def max_version(df: DataFrame, version: str, by=()) -> DataFrame:
-    """The row with the highest dotted version per group, compared number by number."""
+    """The row with the highest version per group (see ``version_key``); of equal versions any one."""
     return df.groupBy(*by).agg(F.max_by(F.struct(*[c for c in df.columns if c not in by]), version_key(version)).alias("_m")).select(*by, "_m.*")

@@ -94,6 +94,25 @@ def latest_semver(spark, sf):
     return N.max_version(builds, "version", by=["model_id"]).select("model_id", "build_id", "version")
 
 
+_STAGE = "['rc', '', '.post', '-b'][1 + build_id % 4]"
+_STAGED = f"version || {_STAGE} || case when build_id % 4 = 1 then '' else cast(build_id % 23 as varchar) end"
+
+
+@query(
+    f"""with {REGISTRY_CTE} select model_id, build_id, {_STAGED} as version from builds
+    qualify row_number() over (partition by model_id order by
+      cast(split_part(version, '.', 1) as integer) desc, cast(split_part(version, '.', 2) as integer) desc,
+      [2, 3, 4, 1][1 + build_id % 4] desc, build_id % 23 desc) = 1"""
+)
+def latest_public_version(spark, sf):
+    """Builds with pre-releases and post releases of their version."""
+    _, builds, _ = registry_tables(spark, sf)
+    k = F.col("build_id")
+    stage = F.element_at(F.array(*map(F.lit, ("rc", "", ".post", "-b"))), (k % 4 + 1).cast("int"))
+    named = builds.withColumn("version", F.concat("version", stage, F.when(k % 4 == 1, "").otherwise((k % 23).cast("string"))))
+    return N.max_version(named, "version", by=["model_id"]).select("model_id", "build_id", "version")
+
+
 def _weights():
     return F.create_map(
         F.lit("segment"), F.lit(1.6) * (F.col("segment") == "BUILDING").cast("double"),

@@ -5,6 +5,8 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from churnspark.functions.columns import version_key
+from churnspark.operators.monitoring import max_version
 from churnspark.operators.ordering import exact_quantiles, with_row_number, with_running_total
 
 
@@ -93,3 +95,24 @@ def test_no_single_task_window(spark):
     plan = with_row_number(df, ["v"])._jdf.queryExecution().optimizedPlan().toString()
     windows = [line for line in plan.splitlines() if "Window" in line]
     assert len(windows) == 1 and "_before" in plan and "Join" in plan.splitlines()[1]
+
+
+VERSIONS = [
+    "none", "0.9", "1.dev1", "1.0.dev2", "1.0a1.dev3", "1.0a1", "1.0a2", "1.0-beta", "1.0b2", "1.0b10", "1.0rc1", "V1.0.0-RC2", "1.0", "1.0+abc", "1.0+2",
+    "1.0+10", "1.0.post1.dev2", "1.0.post1", "1.0-2", "1.0.post10", "1.0.1", "1.9", "1.10", "2022.04.1-b6", "2022.04.1-b10", "2022.04.1",
+    "99999999999999999999.1", "1!0.1",
+]
+
+
+def test_versions_in_order(spark):
+    given = spark.createDataFrame(list(enumerate(VERSIONS)), "i int, v string")
+    got = given.orderBy(version_key("v")).collect()
+    assert [r.v for r in got] == VERSIONS
+    equal = spark.createDataFrame([("1.0", "1"), ("1.0.0", "v1"), ("1.0c1", "1rc1"), ("1.0-2", "1.post2"), ("1.0_alpha.3", "1a3")], "a string, b string")
+    assert equal.where(version_key("a") == version_key("b")).count() == 5
+
+
+def test_max_version_per_group(spark):
+    rows = [("m", 1, "2022.04.1-b6"), ("m", 2, "2022.04.1-b10"), ("n", 3, "1.0rc1"), ("n", 4, "1.0rc2"), ("n", 5, None), ("o", 6, None)]
+    got = max_version(spark.createDataFrame(rows, "m string, i int, v string"), "v", by=["m"]).collect()
+    assert {(r.m, r.i) for r in got} == {("m", 2), ("n", 4), ("o", 6)}
