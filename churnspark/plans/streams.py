@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import functions as F
 
-from churnspark.plans.frames import CALL_MS, CLEAN_CTE, FEATURES, LOG_CTE, PLANTED_SQL, call_ms, clean_churn, inference_columns, table
+from churnspark.plans.frames import CALL_MS, CLEAN_CTE, FEATURES, LOG_CTE, PLANTED_SQL, call_ms, clean_churn, inference_columns, inference_log, table
 from churnspark.plans.ingest import _RAW_SQL, raw_customers
+from churnspark.plans.joins import late_labels
 from churnspark.plans.modelling import planted
 from churnspark.plans.registry import query
 from churnspark.session import scratch_path, staged
@@ -53,18 +56,33 @@ def stream_score(spark, sf):
 
 
 @query(
-    f"""with {LOG_CTE}, w as (select least(max(ts), max(label_ts)) - interval 1 hour as mark from log)
-    select uuid, probability, case when label_ts is not null then label_raw end as label from log, w
-    where label_ts is not null or ts + interval 72 hours < mark"""
+    f"""with {LOG_CTE} select uuid, deployment, start_ms, probability,
+    case when label_ts is not null then label_raw end as label,
+    case when label_ts is not null then label_ts + interval 10 days end as label_ts from log"""
 )
 def stream_delayed_labels(spark, sf):
-    """Labels arrive within 72 hours; predictions without one come out when the watermark has passed them."""
-    preds = inference_columns(_event_stream(spark, sf)).select("uuid", F.col("ts").cast("timestamp").alias("ts"), "probability")
-    labels = inference_columns(_event_stream(spark, sf)).filter(F.col("label_ts").isNotNull()).select(
-        "uuid", F.col("label_raw").alias("label"), F.col("label_ts").cast("timestamp").alias("label_ts")
-    )
-    out = J.delayed_labels_stream(preds, labels, "72 hours", "1 hour").select("uuid", "probability", "label")
-    return J.run_available(out, scratch_path(spark, "labelled"), scratch_path(spark, "label_state"))
+    """What `join_delayed_labels` returns, from streams: labels given twice, in four deliveries by event time, the
+    job restarted for each. A last event far ahead on both sides moves the watermark past all predictions."""
+    log = inference_log(spark, sf)
+    preds = staged(log.select("uuid", F.col("ts").cast("timestamp").alias("ts"), "deployment", "start_ms", "probability"), "predictions")
+    labels = staged(late_labels(spark, sf).select("uuid", "label", F.col("label_ts").cast("timestamp").alias("label_ts")), "labels")
+    first, last = preds.agg(F.min("ts"), F.max("ts")).first()
+    cuts = [first + (last - first) * k / 3 for k in (1, 2)]
+    ahead = last + timedelta(days=60)
+    src = {name: scratch_path(spark, name) for name in ("preds", "labels")}
+    dst, ckpt = scratch_path(spark, "labelled"), scratch_path(spark, "label_state")
+    for k, (low, high) in enumerate(zip([None, *cuts, ahead], [*cuts, ahead, None], strict=True)):
+        for name, frame, time in (("preds", preds, "ts"), ("labels", labels, "label_ts")):
+            part = frame.where((F.col(time) >= F.lit(low) if low else F.lit(True)) & (F.col(time) < F.lit(high) if high else F.lit(True)))
+            if high is None:
+                beat = {time: F.lit(ahead), "uuid": F.lit("none")}
+                part = frame.limit(1).select(*[beat.get(c, F.lit(None).cast(t)).alias(c) for c, t in frame.dtypes])
+            part.write.parquet(f"{src[name]}/delivery={k}")
+        stream = J.delayed_labels_stream(
+            J.table_stream(spark, f"{src['preds']}/*", preds.schema), J.table_stream(spark, f"{src['labels']}/*", labels.schema), "14 days", "1 hour"
+        )
+        out = J.run_available(stream, dst, ckpt)
+    return out.select("uuid", "deployment", "start_ms", "probability", "label", F.col("label_ts").cast("timestamp_ntz").alias("label_ts"))
 
 
 @query(

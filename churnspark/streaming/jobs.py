@@ -87,14 +87,22 @@ def serve_stream(
 
 
 def delayed_labels_stream(preds: DataFrame, labels: DataFrame, within: str, delay: str) -> DataFrame:
-    """Prediction (uuid, ts, ...) with its label when one arrives ``within`` that time, else null once it cannot any more.
+    """Each prediction (uuid, ts, ...) once, with its last label of at most ``within`` later, or nulls without one.
 
-    Both event times must be TIMESTAMP. State older than the bound and the watermark delay is dropped.
+    An interval join meets predictions and label events, in whichever order they arrive; an aggregation per
+    prediction then keeps the last label however many there are (of equal times the greatest text). The row comes
+    out when the watermark passes ``ts`` + ``within``, as until then a later label may replace the one at hand. A
+    prediction repeated with the same uuid and time is one. Both event times must be TIMESTAMP; state older than
+    the bound and the watermark delay is dropped.
     """
     left = preds.withWatermark("ts", delay).alias("p")
     right = labels.select(F.col("uuid").alias("label_uuid"), "label", "label_ts").withWatermark("label_ts", delay).alias("l")
     bound = F.expr(f"p.uuid = l.label_uuid AND l.label_ts >= p.ts AND l.label_ts <= p.ts + interval {within}")
-    return left.join(right, bound, "leftOuter").select("p.*", "l.label", "l.label_ts")
+    met = left.join(right, bound, "leftOuter")
+    rest = [c for c in preds.columns if c not in ("uuid", "ts")]
+    last = F.max_by("label", F.struct("label_ts", "label")).alias("label"), F.max("label_ts").alias("label_ts")
+    one = met.groupBy("uuid", "ts").agg(F.first(F.struct(F.lit(1).alias("_one"), *rest)).alias("_rest"), *last)
+    return one.select(*[c if c in ("uuid", "ts") else F.col(f"_rest.`{c}`").alias(c) for c in preds.columns], "label", "label_ts")
 
 
 def accuracy_stream(log: DataFrame, ts: str, y: str, yhat: str, width: str, delay: str, by=()) -> DataFrame:

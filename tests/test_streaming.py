@@ -47,6 +47,24 @@ def test_label_after_the_bound_is_not_attached(spark, tmp_path):
     assert got == {"a": "Yes", "b": None, "c": None}
 
 
+def test_the_last_of_many_labels_wins_across_restarts(spark, tmp_path):
+    """Labels repeated within and across micro-batches, before their prediction, and after a restart."""
+    kinds = {"p": "uuid string, ts timestamp, score double, n long", "l": "uuid string, label string, label_ts timestamp"}
+    deliveries = [
+        ([("a", at(0), 0.5, 1 << 60), ("b", at(0), 0.1, 2)], [("a", "No", at(1)), ("a", "No", at(1)), ("c", "Yes", at(2))]),
+        ([("c", at(1), None, None), ("c", at(1), None, None)], [("a", "Yes", at(3)), ("a", "No", at(2)), ("b", "No", at(4))]),
+        ([("d", at(5), 0.2, 3)], [("b", "Yes", at(9)), ("a", "Yes", at(30)), ("orphan", "Yes", at(9))]),
+        ([("none", at(500), None, None)], [("none", None, at(500))]),
+    ]
+    for k, parts in enumerate(deliveries):
+        for (name, schema), rows in zip(kinds.items(), parts, strict=True):
+            spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}/delivery={k}")
+        stream = [spark.readStream.schema(schema).parquet(f"{tmp_path}/{name}/*") for name, schema in kinds.items()]
+        out = J.run_available(J.delayed_labels_stream(*stream, "24 hours", "1 hour"), str(tmp_path / "o"), str(tmp_path / "k"))
+    got = sorted((r.uuid, r.label, r.label_ts, r.n) for r in out.collect())
+    assert got == [("a", "Yes", at(3), 1 << 60), ("b", "Yes", at(9), 2), ("c", "Yes", at(2), None), ("d", None, None, 3)]
+
+
 def test_accuracy_drops_rows_behind_the_watermark(spark, tmp_path):
     schema = "ts timestamp, y boolean, yhat boolean"
     batches = [[(at(0.2), True, True), (at(0.4), True, False)], [(at(5), True, True)], [(at(5.5), True, True)], [(at(0.5), True, True)], [(at(9), True, True)]]
