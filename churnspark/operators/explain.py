@@ -30,6 +30,8 @@ Predict = Callable[[DataFrame], DataFrame]  # adds a double column ``probability
 
 SELECT_ALPHA, FIT_ALPHA = 0.01, 1.0  # ridge strength while choosing features and for the final weights
 STD_FLOOR = 1e-11  # keeps the spread of a constant bin above zero
+BLOCKS = 4096  # of the unit interval, under which cells are looked up
+BLOCK_VALUES = 1 << 21  # values of the draws compared at a time
 
 
 def _bin(value: Column, cuts: Column) -> Column:
@@ -113,7 +115,13 @@ class Perturbation:
             F.col("id").alias("k"), F.explode(F.array(*[F.lit(f) for f in spec.features])).alias("feature")
         )
         draws = draws.withColumn("u", hash_uniform(seed, "k", "feature"))
-        picked = draws.join(broadcast_if_small(self.cells), "feature").filter((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi")))
+        # Which cell's share a draw falls into: cells are listed under the blocks of [0, 1) that they reach into, so a
+        # draw meets the few cells of its block, not all levels of its feature.
+        first = F.floor(F.col("lo") * BLOCKS)
+        blocks = F.sequence(first, F.greatest(first, F.ceil(F.col("hi") * BLOCKS) - 1))
+        listed = self.cells.select("*", F.explode(blocks).alias("block"))
+        picked = draws.withColumn("block", F.floor(F.col("u") * BLOCKS)).join(listed, ["feature", "block"])
+        picked = picked.filter((F.col("u") >= F.col("lo")) & (F.col("u") < F.col("hi")))
         # Within a quarter: a normal distribution cut to the ends of the quarter, by its quantiles.
         inside = (F.col("u") - F.col("lo")) / (F.col("hi") - F.col("lo"))
         picked = picked.withColumn("p", F.col("p_lo") + inside * (F.col("p_hi") - F.col("p_lo")))
@@ -130,13 +138,6 @@ class Perturbation:
         f = len(self.spec.features)
         return np.sqrt(np.exp(-np.arange(f + 1) / (0.75**2 * f)))
 
-    def codes(self) -> dict[str, dict[str, int]]:
-        """feature -> cell -> number; as many entries as the fitted model has levels."""
-        out: dict[str, dict[str, int]] = {f: {} for f in self.spec.features}
-        for r in self.cells.select("feature", "cell").orderBy("feature", "cell").collect():
-            out[r["feature"]][r["cell"]] = len(out[r["feature"]])
-        return out
-
 
 def gram_columns(features) -> list[str]:
     """Names of the weighted sums, in the order of the ``sums`` array."""
@@ -148,51 +149,73 @@ def gram_columns(features) -> list[str]:
 
 
 def weighted_sums(cells: np.ndarray, draws: np.ndarray, y: np.ndarray, kernel: np.ndarray) -> np.ndarray:
-    """Sums over the draws for each row of ``cells`` (numbers of its own cells), in :func:`gram_columns` order."""
+    """Sums over the draws for each row of ``cells`` (its own cells), in :func:`gram_columns` order.
+
+    A block of rows at a time: which draws agree in which feature, their weights, and products of these matrices.
+    """
     f = draws.shape[1]
     i, j = np.triu_indices(f, 1)
     out = np.empty((len(cells), 2 + 2 * f + len(i)))
-    for r, own in enumerate(cells):
-        z = (draws == own).astype(float)
-        w = kernel[f - z.sum(axis=1).astype(int)]
-        wz = z * w[:, None]
-        out[r] = np.concatenate([[w.sum(), w @ y], wz.sum(axis=0), y @ wz, (wz.T @ z)[i, j]])
+    step = max(1, BLOCK_VALUES // max(1, draws.size))
+    for at in range(0, len(cells), step):
+        z = (cells[at : at + step, :, None] == draws.T[None]).astype(float)  # rows x features x draws
+        w = kernel[f - z.sum(axis=1).astype(np.int64)]
+        wz = z * w[:, None, :]
+        out[at : at + step, 0] = w.sum(axis=1)
+        out[at : at + step, 1] = w @ y
+        out[at : at + step, 2 : 2 + f] = wz.sum(axis=2)
+        out[at : at + step, 2 + f : 2 + 2 * f] = wz @ y
+        out[at : at + step, 2 + 2 * f :] = (wz @ z.transpose(0, 2, 1))[:, i, j]
     return out
 
 
-def gram(df: DataFrame, perturbation: Perturbation, predict: Predict, n_samples: int = 5000, seed: int = 1) -> DataFrame:
-    """(cell_<f>..., sums): one row per distinct combination of cells in ``df``.
+class Patterns:
+    """The distinct combinations of cells of some rows, and the draws that all of them are compared with.
 
-    The draws travel to the tasks as one small matrix, ``n_samples`` by features whatever the size of the data;
-    the combinations are spread evenly over the tasks, and each is summed where it lies.
+    Cells are compared by their 64-bit hashes; a combination's key is two hashes of all its cells. The draws travel
+    to the tasks as one matrix, ``n_samples`` by features whatever the size of the data.
     """
-    feats = perturbation.spec.features
-    cells = [f"cell_{f}" for f in feats]
-    codes, kernel = perturbation.codes(), perturbation.kernel()
-    drawn = predict(perturbation.draw(n_samples, seed)).select("k", "probability", *cells).orderBy("k").toPandas()
-    matrix = np.column_stack([drawn[c].map(codes[f]).to_numpy(np.int32) for f, c in zip(feats, cells)])
-    shared = df.sparkSession.sparkContext.broadcast((matrix, drawn["probability"].to_numpy(float)))
 
-    @F.pandas_udf("array<double>")
-    def sums(own: pd.DataFrame) -> pd.Series:
-        draws, y = shared.value
-        numbers = [own[c].map(codes[f]).fillna(-1).to_numpy(np.int32) for f, c in zip(feats, cells)]
-        return pd.Series(list(weighted_sums(np.column_stack(numbers), draws, y, kernel)), dtype=object)
+    KEY = ("pattern_one", "pattern_two")
+
+    def __init__(self, perturbation: Perturbation, predict: Predict, n_samples: int, seed: int):
+        self.perturbation, self.features = perturbation, perturbation.spec.features
+        hashes = [F.xxhash64(f"cell_{f}").alias(f"cell_{f}") for f in self.features]
+        drawn = predict(perturbation.draw(n_samples, seed)).select("k", "probability", *hashes).orderBy("k").toPandas()
+        matrix = drawn[[f"cell_{f}" for f in self.features]].to_numpy(np.int64)
+        self.shared = perturbation.cells.sparkSession.sparkContext.broadcast((matrix, drawn["probability"].to_numpy(float)))
+
+    def keyed(self, df: DataFrame) -> DataFrame:
+        """``df`` with the key of each row's combination and the hashes of its cells."""
+        cells = [F.col(f"cell_{f}") for f in self.features]
+        rows = self.perturbation.cell_columns(df).withColumn("pattern", F.array(*[F.xxhash64(c) for c in cells]))
+        keys = {k: F.xxhash64(F.lit(i), *cells) for i, k in enumerate(self.KEY)}
+        return rows.withColumns(keys).drop(*[f"cell_{f}" for f in self.features])
+
+    def solved(self, df: DataFrame, finish: Callable[[np.ndarray], pd.Series], kind: str) -> DataFrame:
+        """(key, out): what ``finish`` makes of the weighted sums of each distinct combination, spread over the tasks."""
+        shared, kernel = self.shared, self.perturbation.kernel()
+
+        @F.pandas_udf(kind)
+        def run(own: pd.Series) -> pd.Series:
+            if own.empty:
+                return pd.Series([], dtype=object)
+            draws, y = shared.value
+            return finish(weighted_sums(np.stack(own.to_numpy()), draws, y, kernel))
 
-    patterns = perturbation.cell_columns(df).select(*cells).distinct()
-    spread = patterns.repartition(shuffle_partitions(df.sparkSession), *cells)
-    return spread.select(*cells, sums(F.struct(*cells)).alias("sums"))
+        patterns = self.keyed(df).groupBy(*self.KEY).agg(F.first("pattern").alias("pattern"))
+        spread = patterns.repartition(shuffle_partitions(df.sparkSession), *self.KEY)
+        return spread.select(*self.KEY, run("pattern").alias("out"))
 
 
 def with_gram(df: DataFrame, perturbation: Perturbation, predict: Predict, n_samples: int = 5000, seed: int = 1) -> DataFrame:
     """``df`` with its probability and the weighted sums of its samples by name, the row itself included."""
-    feats = perturbation.spec.features
-    cells = [f"cell_{f}" for f in feats]
-    table = staged(gram(df, perturbation, predict, n_samples, seed), "gram")
-    rows = perturbation.cell_columns(predict(df)).join(broadcast_if_small(table), cells)
+    patterns = Patterns(perturbation, predict, n_samples, seed)
+    table = patterns.solved(df, lambda sums: pd.Series(list(sums), dtype=object), "array<double>")
+    rows = patterns.keyed(predict(df)).join(table, [*Patterns.KEY])
     # The row itself agrees with itself in every feature and has weight 1.
     own = [
-        f"sums[{i}] + {'probability' if n.startswith('wy') else 'double(1)'} as {n}" for i, n in enumerate(gram_columns(feats))
+        f"out[{i}] + {'probability' if n.startswith('wy') else 'double(1)'} as {n}" for i, n in enumerate(gram_columns(perturbation.spec.features))
     ]
     return rows.selectExpr(*df.columns, "probability", *own)
 
@@ -215,23 +238,45 @@ def solve_sums(sums: np.ndarray, f: int, alpha: float, keep: np.ndarray | None =
     return np.linalg.solve(a, np.where(keep[:, :, None], zy, 0.0))
 
 
-def _solver(f: int, alpha: float):
-    @F.pandas_udf("base array<double>, slope array<double>")
-    def solve(sums: pd.Series, chosen: pd.Series) -> pd.DataFrame:
-        if sums.empty:
-            return pd.DataFrame({"base": [], "slope": []}, dtype=object)
-        keep = np.zeros((len(sums), f), bool)
-        for row, features in zip(keep, chosen):
-            row[np.asarray(features, dtype=int)] = True
-        out = solve_sums(np.stack(sums.to_numpy()), f, alpha, keep)
-        return pd.DataFrame({"base": list(out[:, :, 0]), "slope": list(out[:, :, 1])})
+def choices(rough: np.ndarray, k: int) -> list[list[tuple[float, np.ndarray]]]:
+    """For each row of ``rough`` (features x 2) the ``k`` strongest features by probability p from 0 to 1.
 
-    return solve
+    Strength is ``|base + p * slope|``, so the choice changes only where two strengths cross: a list of (the p up to
+    which it holds, features), of ties the first features.
+    """
+    f = rough.shape[1]
+    i, j = np.triu_indices(f, 1)
+    out = []
+    for base, slope in rough.transpose(0, 2, 1):
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cross = np.concatenate([(base[j] - base[i]) / (slope[i] - slope[j]), -(base[i] + base[j]) / (slope[i] + slope[j])])
+        ends = np.append(np.unique(cross[(cross > 0) & (cross < 1)]), 1.0)
+        middle = (ends + np.concatenate([[0.0], ends[:-1]])) / 2
+        strength = np.abs(base + middle[:, None] * slope)
+        chosen = np.sort(np.argsort(-strength, axis=1, kind="stable")[:, :k], axis=1)
+        last = np.append((chosen[1:] != chosen[:-1]).any(axis=1), True)
+        out.append(list(zip(ends[last], chosen[last], strict=True)))
+    return out
 
 
-def _at(solution: str) -> str:
-    """Weights of a solution at the row's own probability, as SQL text."""
-    return f"zip_with({solution}.base, {solution}.slope, (a, b) -> a + probability * b)"
+def weights_by_probability(sums: np.ndarray, f: int, k: int) -> list[list[dict]]:
+    """For each row of sums the chosen features and their weights (base + p * slope), by ranges of p."""
+    if k >= f:
+        ranges = [[(1.0, np.arange(f))]] * len(sums)
+    else:
+        ranges = choices(solve_sums(sums, f, SELECT_ALPHA), k)
+    own = np.repeat(np.arange(len(sums)), [len(r) for r in ranges])
+    flat = [piece for r in ranges for piece in r]
+    keep = np.zeros((len(flat), f), bool)
+    for row, (_, chosen) in zip(keep, flat, strict=True):
+        row[chosen] = True
+    fit = solve_sums(sums[own], f, FIT_ALPHA, keep)
+    pieces = [
+        {"upto": float(upto), "chosen": chosen.tolist(), "base": w[chosen, 0].tolist(), "slope": w[chosen, 1].tolist()}
+        for (upto, chosen), w in zip(flat, fit, strict=True)
+    ]
+    bounds = np.cumsum([0, *(len(r) for r in ranges)])
+    return [pieces[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
 def explain(
@@ -239,29 +284,37 @@ def explain(
 ) -> DataFrame:
     """``df`` with ``probability`` and ``explanation``: feature -> weight of the ``k`` strongest features per row.
 
-    Solving is done once per combination of cells (and set of chosen features), never per row: a row's own
-    probability enters its weights linearly.
+    One pass over the distinct combinations of cells makes the weighted sums, chooses features and solves both
+    regressions; never per row: a row's own probability enters its weights linearly, and so do the ranges of it
+    in which one choice of features holds. Rows look their combination up by its key.
     """
     feats = perturbation.spec.features
-    f, cells = len(feats), [f"cell_{x}" for x in feats]
-    everything = F.array(*[F.lit(i) for i in range(f)])
-    rows = perturbation.cell_columns(predict(df)).select(*df.columns, "probability", *cells)
-    table = staged(gram(df, perturbation, predict, n_samples, seed), "gram")
-    if k >= f:
-        solved = table.select(*cells, _solver(f, FIT_ALPHA)("sums", everything).alias("fit"))
-        rows = rows.join(broadcast_if_small(staged(solved, "weights")), cells)
-        entries = ", ".join(f"'{x}', fit.base[{i}] + probability * fit.slope[{i}]" for i, x in enumerate(feats))
-        return rows.select(*df.columns, "probability", F.expr(f"map({entries})").alias("explanation"))
-    rough = table.select(*cells, _solver(f, SELECT_ALPHA)("sums", everything).alias("rough"))
-    rows = rows.join(broadcast_if_small(staged(rough, "rough")), cells)
-    ranked = f"array_sort(transform({_at('rough')}, (v, i) -> struct(-abs(v) as rank, i as i)))"
-    rows = rows.withColumn("chosen", F.expr(f"array_sort(transform(slice({ranked}, 1, {k}), e -> e.i))"))
-    pairs = rows.select(*cells, "chosen").distinct().join(broadcast_if_small(table), cells)
-    solved = pairs.select(*cells, "chosen", _solver(f, FIT_ALPHA)("sums", "chosen").alias("fit"))
-    rows = rows.join(broadcast_if_small(staged(solved, "weights")), [*cells, "chosen"])
-    names = ", ".join(f"'{x}'" for x in feats)
-    entries = f"transform(chosen, i -> struct(array({names})[i] as key, ({_at('fit')})[i] as value))"
-    return rows.select(*df.columns, "probability", F.expr(f"map_from_entries({entries})").alias("explanation"))
+    f = len(feats)
+    patterns = Patterns(perturbation, predict, n_samples, seed)
+    kind = "array<struct<upto: double, chosen: array<int>, base: array<double>, slope: array<double>>>"
+    table = patterns.solved(df, lambda sums: pd.Series(weights_by_probability(sums, f, k), dtype=object), kind)
+    rows = patterns.keyed(predict(df)).join(table, [*Patterns.KEY])
+    fit = rows.withColumn("fit", F.expr("get(filter(out, x -> probability <= x.upto), 0)"))
+    names = F.array(*[F.lit(x) for x in feats])
+    entries = F.expr("zip_with(fit.base, fit.slope, (a, b) -> a + probability * b)")
+    chosen = F.transform("fit.chosen", lambda i: F.get(names, i))
+    return fit.select(*df.columns, "probability", F.map_from_arrays(chosen, entries).alias("explanation"))
+
+
+def normal_residual(df: DataFrame, features, alpha: float = FIT_ALPHA, explanation: str = "explanation") -> DataFrame:
+    """``df`` (the sums of :func:`with_gram` and an explanation) with ``residual``: the largest absolute value of the
+    ridge regression's normal equations at the explained weights, over the features that have one.
+
+    Zero means that no other weights of these features fit the row's samples better.
+    """
+    weight = {a: F.coalesce(F.col(explanation)[a], F.lit(0.0)) for a in features}
+    both = lambda a, b: f"w_{a}" if a == b else next(c for c in (f"w_{a}__{b}", f"w_{b}__{a}") if c in df.columns)
+    parts = []
+    for a in features:
+        fitted = sum(((F.col(both(a, b)) - F.col(f"w_{a}") * F.col(f"w_{b}") / F.col("w")) * weight[b] for b in features), F.lit(alpha) * weight[a])
+        target = F.col(f"wy_{a}") - F.col(f"w_{a}") * F.col("wy") / F.col("w")
+        parts.append(F.when(F.map_contains_key(explanation, a), F.abs(fitted - target)).otherwise(0.0))
+    return df.withColumn("residual", F.array_max(F.array(*parts)))
 
 
 def top_features(explanation, k: int = 10) -> Column:

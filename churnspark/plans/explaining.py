@@ -10,7 +10,7 @@ from churnspark.functions import columns as C
 from churnspark.operators import explain as L
 from churnspark.operators import features as X
 from churnspark.plans.cleaning import DICTIONARY_CTE, SPEC
-from churnspark.plans.frames import CATEGORICAL, FEATURES, NUMERIC, PLANTED_SQL, CLEAN_CTE, call_ms, clean_churn, request_frame
+from churnspark.plans.frames import CATEGORICAL, FEATURES, NUMERIC, PLANTED_SQL, CLEAN_CTE, call_ms, clean_churn, request_frame, table
 from churnspark.plans.joins import STATS_CTE
 from churnspark.plans.modelling import explained_model, planted
 from churnspark.plans.registry import query
@@ -104,6 +104,52 @@ def explain_batch(spark, sf):
     return em.explain(rows, N_SAMPLES).select("customer_id", "probability", F.to_json("explanation").alias("explanation"))
 
 
+def _residuals(rows, perturbation, predict, spec, k):
+    """How many features each customer's explanation names, and whether its weights solve the normal equations."""
+    rows = staged(rows, "explained_rows")
+    weights = L.explain(rows, perturbation, predict, N_SAMPLES, k, SEED).select("customer_id", "explanation")
+    sums = L.with_gram(rows, perturbation, predict, N_SAMPLES, SEED)
+    out = L.normal_residual(sums.join(weights, "customer_id"), spec.features)
+    return out.select("customer_id", F.size("explanation").cast("long").alias("n_features"), (F.round("residual", 6) + 0.0).alias("residual"))
+
+
+@query(f"with {CLEAN_CTE} select customer_id, cast({len(FEATURES)} as bigint) as n_features, 0e0 as residual from clean")
+def explain_residual(spark, sf):
+    """The explanations of `explain_batch` put into their normal equations, whose sums `explain_gram` checks."""
+    em, rows = explained_model(spark, sf)
+    return _residuals(rows, em.perturbation, em.predict, SPEC, 10)
+
+
+WIDE_TEXT = ["nation", "first_status", "last_status", "busiest_priority"]
+WIDE_NUMBERS = ["n_orders", "least_price", "most_price", "spread_price", "n_urgent", "n_high", "n_open", "first_month", "last_month"]
+WIDE = X.FeatureSpec((*FEATURES, *WIDE_TEXT, *WIDE_NUMBERS), (*CATEGORICAL, *WIDE_TEXT))
+
+
+def wide_churn(spark, sf):
+    """The cleaned customers with thirteen more features of their place and orders: twenty in all."""
+    orders = table(spark, sf, "orders").groupBy(F.col("o_custkey").cast("string").alias("customer_id")).agg(
+        F.min_by("o_orderstatus", "o_orderkey").alias("first_status"), F.max_by("o_orderstatus", "o_orderkey").alias("last_status"),
+        F.min_by("o_orderpriority", F.struct(-F.col("o_totalprice"), F.col("o_orderkey"))).alias("busiest_priority"),
+        F.count("*").cast("double").alias("n_orders"), F.min("o_totalprice").alias("least_price"), F.max("o_totalprice").alias("most_price"),
+        (F.max("o_totalprice") - F.min("o_totalprice")).alias("spread_price"),
+        F.count_if(F.col("o_orderpriority").startswith("1")).cast("double").alias("n_urgent"),
+        F.count_if(F.col("o_orderpriority").startswith("2")).cast("double").alias("n_high"),
+        F.count_if(F.col("o_orderstatus") == "O").cast("double").alias("n_open"),
+        F.month(F.min("o_orderdate")).cast("double").alias("first_month"), F.month(F.max("o_orderdate")).cast("double").alias("last_month"),
+    )
+    places = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    places = places.select(F.col("c_custkey").cast("string").alias("customer_id"), F.col("n_name").alias("nation"))
+    clean = clean_churn(spark, sf).select("customer_id", *FEATURES)
+    return clean.join(places, "customer_id").join(orders, "customer_id").select("customer_id", *WIDE.features)
+
+
+@query(f"with {CLEAN_CTE} select customer_id, 10::bigint as n_features, 0e0 as residual from clean")
+def explain_top10(spark, sf):
+    """The ten strongest of twenty features of every customer, for the fixed-coefficient model."""
+    rows = staged(wide_churn(spark, sf), "wide")
+    return _residuals(rows, L.Perturbation.fit(rows, WIDE), planted, WIDE, 10)
+
+
 @query()
 def serve_batch(spark, sf):
     """Requests with missing fields answered in one job, and the answers logged."""

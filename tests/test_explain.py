@@ -110,3 +110,32 @@ def test_top_features_and_extent(spark):
     top = df.select(L.top_features("e", 2).alias("t")).collect()
     assert [(t.feature, t.weight) for t in top[0].t] == [("b", -0.9), ("c", 0.5)] and len(top[1].t) == 1
     assert tuple(L.map_extent(df, "e", "p").first()) == (-1.0, 0.5, 0.3, 0.7)
+
+
+def test_levels_do_not_meet_all_draws(spark):
+    """A feature of 100,000 levels of equal share beside one level that has nearly all rows."""
+    wide = spark.range(100_000).select(F.format_string("l%06d", "id").alias("a"), F.lit("q").alias("b"), (F.col("id") % 7).cast("double").alias("x"))
+    p = L.Perturbation.fit(wide, SPEC)
+    draws = p.draw(500, 3)
+    got = draws.collect()
+    assert len(got) == 499 and all(r.a == r.cell_a and r.b == "q" for r in got) and len({r.a for r in got}) > 480
+    plan = draws._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "block" in plan
+    rare = p.cells.withColumn("lo", F.when(F.col("feature") == "a", F.col("lo") / 1000).otherwise(F.col("lo"))).withColumn(
+        "hi", F.when(F.col("feature") == "a", F.when(F.col("cell") == "l099999", 1.0).otherwise(F.col("hi") / 1000)).otherwise(F.col("hi"))
+    )
+    assert L.Perturbation(SPEC, rare).draw(500, 3).where("a = 'l099999'").count() > 490
+    out = L.explain(wide.limit(300), p, lambda d: d.withColumn("probability", (F.col("x") > 3).cast("double")), 300)
+    assert out.where("size(explanation) = 3").count() == 300
+
+
+def test_choices_change_only_where_strengths_cross():
+    rng = np.random.default_rng(0)
+    rough = rng.normal(size=(40, 9, 2))
+    rough[3, 4] = rough[3, 5]  # equal features: the first is taken
+    for k in (1, 4, 8):
+        for row, pieces in zip(rough, L.choices(rough, k)):
+            assert [u for u, _ in pieces] == sorted({u for u, _ in pieces}) and pieces[-1][0] == 1.0
+            for p in rng.random(50):
+                chosen = next(c for u, c in pieces if p <= u)
+                assert chosen.tolist() == sorted(np.argsort(-np.abs(row[:, 0] + p * row[:, 1]), kind="stable")[:k].tolist())
