@@ -17,36 +17,60 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.llm.rows import blocks_of
-from churnspark.llm.tokenizing import IDS, byte_tokenizer, kept, piece_tokenizer
+from churnspark.llm.tokenizing import IDS, Memory, byte_tokenizer, kept, piece_tokenizer, pieces
 from churnspark.session import staged
 
 SHIFT = 20  # a pair is one number: the first id, shifted, and the second
 HOT = 1 << 16  # pairs that hold more than this part of all occurrences travel with the code; there are fewer of them
 EXPANDED = 1 << 22  # links made at a time
-
-
-class Vocabularies(NamedTuple):
-    """What alignment needs of the two vocabularies."""
-
-    size_a: np.ndarray  # bytes of each id
-    size_b: np.ndarray
-    bytes_a: list[bytes]
-    bytes_b: list[bytes]
-    same: np.ndarray  # for each id of A the id of B with the same bytes, or -1
-    shown: list[bytes]  # decimal ids with the sign that follows: within A, at its end, within B, at its end
+SHOWN = 8  # bytes of a decimal id and its sign, at most
+
+
+class Vocabularies:
+    """The two tokenizers side by side: sizes and texts of their entries, and pieces of text encoded by both."""
+
+    def __init__(self, path_a: str, path_b: str):
+        self.a, self.b = byte_tokenizer(path_a, True), piece_tokenizer(path_b)
+        self.bytes_a, self.bytes_b = self.a.entry_bytes(), self.b.bytes
+        self.size_a, self.size_b = (np.array([*map(len, entries)], np.int64) for entries in (self.bytes_a, self.bytes_b))
+        by_bytes = {entry: i for i, entry in enumerate(self.bytes_b)}  # of entries with the same bytes the last
+        self.same = np.array([by_bytes.get(entry, -1) for entry in self.bytes_a], np.int64)  # ids of B by ids of A, or -1
+        # Decimal ids with the sign that follows (within A, at its end, within B, at its end), in rows of eight bytes.
+        n_a, n_b = len(self.bytes_a), len(self.bytes_b)
+        shown = [b"%d%s" % (i, sign) for sign, n in ((b",", n_a), (b"|", n_a), (b",", n_b), (b";", n_b)) for i in range(n)]
+        self.shown_size = np.array([*map(len, shown)], np.int64)
+        self.shown = np.array(shown, f"S{SHOWN}").view(np.uint8).reshape(-1, SHOWN)
+        self.both = Memory(self.of_piece)
+        self.lossy: set[str] = set()  # pieces whose bytes one of the tokenizers does not give back
+
+    def whole(self, ids: bytes, entries: list[bytes]) -> bytes:
+        return b"".join(map(entries.__getitem__, np.frombuffer(ids, IDS).tolist()))
+
+    def of_piece(self, piece: str) -> tuple[bytes, bytes]:
+        a, b = self.a.after_space(piece), self.b.after_space(piece)
+        raw = (" " + piece).encode()
+        # Byte-level ids are parts of the text in order, so their sizes tell; the other side may rewrite a text.
+        if self.size_a[np.frombuffer(a, IDS)].sum() != len(raw) or self.whole(b, self.bytes_b) != raw:
+            self.lossy.add(piece)
+        return a, b
+
+    def encode(self, text: str) -> tuple[bytes, bytes]:
+        """Ids of a space and the text by both; nothing if one of them does not give back its bytes."""
+        none = b"", b""
+        if not text:
+            return none
+        first, *rest = pieces(" " + text)
+        if first or self.b.SPACE in text or not self.b.apart:  # white space at the start: as a whole
+            found, raw = (self.a.encode(" " + text), self.b.encode(text)), (" " + text).encode()
+            return found if self.whole(found[0], self.bytes_a) == raw == self.whole(found[1], self.bytes_b) else none
+        found = [*map(self.both.__getitem__, rest)]
+        if self.lossy and not self.lossy.isdisjoint(rest):
+            return none
+        return b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
 
 
 def vocabularies(path_a: str, path_b: str) -> Vocabularies:
-    def make() -> Vocabularies:
-        a, b = byte_tokenizer(path_a, True).entry_bytes(), piece_tokenizer(path_b).bytes
-        by_bytes: dict[bytes, int] = {}
-        for i, entry in enumerate(b):
-            by_bytes[entry] = i  # of entries with the same bytes the last: a byte's own entry comes first and is rare
-        same = np.array([by_bytes.get(entry, -1) for entry in a], np.int64)
-        shown = [b"%d%s" % (i, sign) for sign, n in ((b",", len(a)), (b"|", len(a)), (b",", len(b)), (b";", len(b))) for i in range(n)]
-        return Vocabularies(np.array([*map(len, a)], np.int64), np.array([*map(len, b)], np.int64), a, b, same, shown)
-
-    return kept(("vocabularies", path_a, path_b), make)
+    return kept(("vocabularies", path_a, path_b), lambda: Vocabularies(path_a, path_b))
 
 
 class Aligned(NamedTuple):
@@ -62,75 +86,68 @@ class Aligned(NamedTuple):
     times: np.ndarray
 
 
-def counted(document: np.ndarray, pair: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct (document, pair) with the sum of their times."""
-    order = np.lexsort((pair, document))
-    document, pair, times = document[order], pair[order], times[order]
-    new = np.ones(len(pair), bool)
-    new[1:] = (document[1:] != document[:-1]) | (pair[1:] != pair[:-1])
-    at = np.flatnonzero(new)
-    return document[at], pair[at], np.add.reduceat(times, at) if len(at) else times
+def counted(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, with the sum of their times."""
+    order = np.argsort(key, kind="stable")
+    key, times = key[order], times[order]
+    at = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else order
+    return key[at], np.add.reduceat(times, at) if len(at) else times
 
 
 def align(texts: list[str], path_a: str, path_b: str) -> Aligned:
+    """At most 2^20 texts."""
     v = vocabularies(path_a, path_b)
-    encode_a, encode_b = byte_tokenizer(path_a, True).encode, piece_tokenizer(path_b).encode
-    raw_a, raw_b = [], []
-    for text in texts:
-        a = b = b""
-        if text:
-            a, b = encode_a(" " + text), encode_b(text)
-            whole = (" " + text).encode()
-            ids_a, ids_b = np.frombuffer(a, IDS).tolist(), np.frombuffer(b, IDS).tolist()
-            if b"".join(map(v.bytes_a.__getitem__, ids_a)) != whole or b"".join(map(v.bytes_b.__getitem__, ids_b)) != whole:
-                a = b = b""
-        raw_a.append(a)
-        raw_b.append(b)
-    n_a, n_b = (np.array([len(r) // 4 for r in raw], np.int64) for raw in (raw_a, raw_b))
-    a, b = (np.frombuffer(b"".join(raw), IDS).astype(np.int64) for raw in (raw_a, raw_b))
+    raw = [v.encode(text) for text in texts]
+    n_a, n_b = (np.array([len(r[k]) // 4 for r in raw], np.int64) for k in (0, 1))
+    a, b = (np.frombuffer(b"".join([r[k] for r in raw]), IDS).astype(np.int64) for k in (0, 1))
     # Both sides tile the same bytes, so ends can be compared across the whole block.
     end_a, end_b = np.cumsum(v.size_a[a]), np.cumsum(v.size_b[b])
-    both = np.zeros(len(end_b), bool)
-    if len(end_a):
-        both = end_a[np.minimum(np.searchsorted(end_a, end_b), len(end_a) - 1)] == end_b
-        both &= np.append(end_b[1:] != end_b[:-1], True)
-    ends = end_b[both]
-    group_a, group_b = np.searchsorted(ends, end_a), np.searchsorted(ends, end_b)
-    in_a, in_b = np.bincount(group_a, minlength=len(ends)), np.bincount(group_b, minlength=len(ends))
+    total = int(end_a[-1]) if len(end_a) else 0
+    cut = np.zeros(total + 1, np.int8)
+    cut[end_a] = 1
+    cut[end_b] += 1
+    before = np.cumsum(cut == 2)  # groups that end up to here
+    group_a, group_b = before[end_a - 1], before[end_b - 1]
+    groups = int(before[-1])
+    in_a, in_b = np.bincount(group_a, minlength=groups), np.bincount(group_b, minlength=groups)
     first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
-    text_of = np.repeat(np.arange(len(texts)), n_a)
-    document = text_of[first_a] if len(ends) else np.empty(0, np.int64)
+    document = np.repeat(np.arange(len(texts)), n_a)[first_a]
     n_groups = np.bincount(document, minlength=len(texts))
     n_links = np.bincount(document, in_a * in_b, len(texts)).astype(np.int64)
 
     # The groups as text: tokens of both sides in their order, each with the sign after it.
     sizes = len(v.size_a), len(v.size_b)
-    last_a, last_b = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
-    last_a[first_a + in_a - 1] = last_b[first_b + in_b - 1] = 1
     line = np.empty(len(a) + len(b), np.int64)
-    line[np.arange(len(a)) + first_b[group_a]] = a + last_a * sizes[0]
-    line[np.arange(len(b)) + (first_a + in_a)[group_b]] = b + 2 * sizes[0] + last_b * sizes[1]
-    signs = [*map(v.shown.__getitem__, line.tolist())]
-    upto = np.cumsum(n_a + n_b).tolist()
-    shown = [b"".join(signs[y - n : y])[:-1] for y, n in zip(upto, (n_a + n_b).tolist(), strict=True)]
+    line[np.arange(len(a)) + first_b[group_a]] = a
+    line[np.arange(len(b)) + (first_a + in_a)[group_b]] = b + 2 * sizes[0]
+    line[first_a + first_b + in_a - 1] += sizes[0]
+    line[first_a + first_b + in_a + in_b - 1] += sizes[1]
+    long = v.shown_size[line]
+    text = v.shown[line][np.arange(SHOWN) < long[:, None]].tobytes()
+    upto = np.concatenate([[0], np.cumsum(long)])[np.cumsum(n_a + n_b)].tolist()
+    shown = [text[x : max(x, y - 1)] for x, y in zip([0, *upto[:-1]], upto, strict=True)]
 
     # Groups of one token each make one link; in the others, every distinct id of one side with every one of the other.
     single = (in_a == 1) & (in_b == 1)
-    made = [(document[single], a[first_a[single]] << SHIFT | b[first_b[single]], np.ones(int(single.sum()), np.int64))]
+    key, times = np.unique(document[single] << 2 * SHIFT | a[first_a[single]] << SHIFT | b[first_b[single]], return_counts=True)
+    made = [(key, times)]
     more_a, more_b = ~single[group_a], ~single[group_b]
-    g_a, i_a, t_a = counted(group_a[more_a], a[more_a], np.ones(int(more_a.sum()), np.int64))
-    g_b, i_b, t_b = counted(group_b[more_b], b[more_b], np.ones(int(more_b.sum()), np.int64))
-    begin, many = np.searchsorted(g_b, g_a), np.searchsorted(g_b, g_a, "right") - np.searchsorted(g_b, g_a)
+    key_a, t_a = counted(group_a[more_a] << SHIFT | a[more_a], np.ones(int(more_a.sum()), np.int64))
+    key_b, t_b = counted(group_b[more_b] << SHIFT | b[more_b], np.ones(int(more_b.sum()), np.int64))
+    g_a, g_b, ids = key_a >> SHIFT, key_b >> SHIFT, (1 << SHIFT) - 1
+    distinct_b = np.bincount(g_b, minlength=groups)
+    begin, many = (np.cumsum(distinct_b) - distinct_b)[g_a], distinct_b[g_a]
     upto = np.cumsum(many)
     at = 0
     while at < len(g_a):
         to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + EXPANDED, "right")))
         left = np.repeat(np.arange(at, to), many[at:to])
         right = np.arange(len(left)) - np.repeat(upto[at:to] - many[at:to] - (upto[at] - many[at]), many[at:to]) + begin[left]
-        made.append(counted(document[g_a[left]], i_a[left] << SHIFT | i_b[right], t_a[left] * t_b[right]))
+        key = document[g_a[left]] << 2 * SHIFT | (key_a[left] & ids) << SHIFT | key_b[right] & ids
+        made.append(counted(key, t_a[left] * t_b[right]))
         at = to
-    links = counted(*(np.concatenate(c) for c in zip(*made, strict=True)))
-    return Aligned(n_a, n_b, n_groups, n_links, shown, *links)
+    key, times = counted(*(np.concatenate(c) for c in zip(*made, strict=True)))
+    return Aligned(n_a, n_b, n_groups, n_links, shown, key >> 2 * SHIFT, key & (1 << 2 * SHIFT) - 1, times)
 
 
 LINKED = "block long, kind int, id {id}, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, times array<long>"

@@ -11,10 +11,15 @@ from typing import Any
 
 import numpy as np
 
-REMEMBERED = 1_000_000  # pieces a memory holds before it starts anew
+REMEMBERED = 200_000  # pieces in a generation of a memory
 _DOUBLE = re.compile(r"\s\s")
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 IDS = np.dtype("<u4")
+LATIN = "\u0250"  # letters below it are letters to every library
+
+# How byte-level vocabularies write a byte: printable ones as themselves, the others from U+0100 on.
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+SIGNS = {b: chr(b) for b in _PRINTABLE} | {b: chr(256 + k) for k, b in enumerate(sorted({*range(256)} - {*_PRINTABLE}))}
 
 
 def kept(key: tuple, make: Callable[[], Any]) -> Any:
@@ -26,15 +31,19 @@ def kept(key: tuple, make: Callable[[], Any]) -> Any:
 
 
 class Memory(dict):
-    """Values computed once for each key."""
+    """Values computed once for each key, as long as the key stays in use: of two generations the older is dropped."""
 
-    def __init__(self, compute: Callable[[str], bytes]):
-        self.compute = compute
+    def __init__(self, compute: Callable[[str], Any], most: int = REMEMBERED):
+        self.compute, self.most, self.older = compute, most, {}
 
-    def __missing__(self, key: str) -> bytes:
-        if len(self) >= REMEMBERED:
+    def __missing__(self, key: str) -> Any:
+        if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-        value = self[key] = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
+        self[key] = value
         return value
 
 
@@ -61,12 +70,18 @@ class ByteTokenizer:
         self.specials = [] if plain else [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.split = self.tokenizer.pre_tokenizer.pre_tokenize_str
         self.merge = self.tokenizer.model.tokenize
-        self.words = Memory(lambda word: array("I", [t.id for t in self.merge(word)]).tobytes())
-        self.spaced = Memory(lambda piece: self.whole(" " + piece))
+        self.words = Memory(lambda word: array("I", [t.id for t in self.merge(word)]).tobytes(), REMEMBERED // 8)
+        self.spaced = Memory(self.after_space)
 
     def whole(self, text: str) -> bytes:
         return b"".join([self.words[word] for word, _ in self.split(text)])
 
+    def after_space(self, piece: str) -> bytes:
+        if piece.isalpha() and max(piece) < LATIN:  # one stretch
+            word = (" " + piece).encode().decode("latin-1").translate(SIGNS)
+            return array("I", [t.id for t in self.merge(word)]).tobytes()
+        return self.whole(" " + piece)
+
     def encode(self, text: str) -> bytes:
         if any(map(text.__contains__, self.specials)):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -75,9 +90,7 @@ class ByteTokenizer:
 
     def entry_bytes(self) -> list[bytes]:
         """The bytes of every id."""
-        signs = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in signs]
-        back = {chr(b): b for b in signs} | {chr(256 + k): b for k, b in enumerate(others)}
+        back = {sign: byte for byte, sign in SIGNS.items()}
         n = self.tokenizer.get_vocab_size()
         entries = (self.tokenizer.id_to_token(i) or "" for i in range(n))
         return [bytes(back[c] for c in e) if all(c in back for c in e) else e.encode() for e in entries]
@@ -105,8 +118,11 @@ class PieceTokenizer:
         ]
         self.apart = not any(self.SPACE in p.lstrip(self.SPACE) for p in names)
         # The model puts a space before each text, so a piece is encoded without the space it had.
-        alone = array("I", [self.model.piece_to_id(self.SPACE)]).tobytes()
-        self.spaced = Memory(lambda piece: array("I", self.model.encode(piece)).tobytes() if piece else alone)
+        self.alone = array("I", [self.model.piece_to_id(self.SPACE)]).tobytes()
+        self.spaced = Memory(self.after_space)
+
+    def after_space(self, piece: str) -> bytes:
+        return array("I", self.model.encode(piece)).tobytes() if piece else self.alone
 
     def encode(self, text: str) -> bytes:
         if not text:
@@ -114,7 +130,7 @@ class PieceTokenizer:
         if not self.apart or self.SPACE in text:
             return array("I", self.model.encode(text)).tobytes()
         first, *rest = pieces(" " + text)
-        return (self.spaced[first[1:]] if first else b"") + b"".join(map(self.spaced.__getitem__, rest))
+        return (self.after_space(first[1:]) if first else b"") + b"".join(map(self.spaced.__getitem__, rest))
 
 
 def piece_tokenizer(path: str) -> PieceTokenizer:
