@@ -239,12 +239,28 @@ class ExplainedModel:
     def explain(self, df: DataFrame, n_samples: int = 5000, k: int = 10, seed: int = 1) -> DataFrame:
         return L.explain(df, self.perturbation, self.predict, n_samples, k, seed)
 
-    def serve(self, requests: DataFrame, key: str, n_samples: int = 5000, k: int = 10, seed: int = 1) -> DataFrame:
-        """(key, data, probability, explanation) for requests that name any subset of the features."""
-        cast = cast_request(requests, self.types, keep=[key])
-        filled = staged(fill_defaults(cast, self.defaults).select(key, *self.spec.features), "requests")
+    def serve(self, requests: DataFrame, key: str, n_samples: int = 5000, k: int = 10, seed: int = 1, carry=()) -> DataFrame:
+        """(key, carry..., data, probability, explanation) for requests that name any subset of the features."""
+        cast = cast_request(requests, self.types, keep=[key, *carry])
+        filled = staged(fill_defaults(cast, self.defaults).select(key, *carry, *self.spec.features), "requests")
+        return self._answers(filled, [key, *carry], n_samples, k, seed)
+
+    def serve_readable(self, requests: DataFrame, key: str, n_samples: int = 5000, k: int = 10, seed: int = 1, carry=()) -> tuple[DataFrame, DataFrame]:
+        """What :meth:`serve` returns for the requests that can be read, and the others: (key, carry..., request,
+        unreadable), the request as JSON and the names of its unreadable fields."""
+        kept = [key, *carry]
+        fields = [c for c in requests.columns if c not in kept]
+        raw = requests.withColumn("_request", F.to_json(F.struct(*fields)) if fields else F.lit("{}"))
+        cast = cast_request(raw, self.types, keep=[*kept, "_request"], rejected="_unreadable")
+        text = F.when(F.col("_unreadable").isNotNull(), F.col("_request")).alias("_request")
+        filled = fill_defaults(cast, self.defaults).select(*kept, *self.spec.features, text, "_unreadable")
+        filled = staged(filled, "requests")
+        rejected = filled.where("_unreadable IS NOT NULL").select(*kept, F.col("_request").alias("request"), F.col("_unreadable").alias("unreadable"))
+        return self._answers(filled.where("_unreadable IS NULL").select(*kept, *self.spec.features), kept, n_samples, k, seed), rejected
+
+    def _answers(self, filled: DataFrame, kept: list[str], n_samples: int, k: int, seed: int) -> DataFrame:
         out = self.explain(filled, n_samples, k, seed)
-        return out.select(key, F.struct(*self.spec.features).alias("data"), "probability", "explanation")
+        return out.select(*kept, F.struct(*self.spec.features).alias("data"), "probability", "explanation")
 
     def what_if(self, df: DataFrame, key: str, feature: str, numbers=None) -> DataFrame:
         """Re-score with every category of a categorical feature, or with the supplied numbers of a numeric one."""

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 from churnspark.functions import columns as C
 from churnspark.operators import explain as L
 from churnspark.operators import features as X
-from churnspark.plans.cleaning import DICTIONARY_CTE, SPEC
-from churnspark.plans.frames import CATEGORICAL, FEATURES, NUMERIC, PLANTED_SQL, CLEAN_CTE, call_ms, clean_churn, request_frame, table
+from churnspark.plans.cleaning import DEFAULTS_CTE, DICTIONARY_CTE, SPEC
+from churnspark.plans.frames import CALL_MS, CATEGORICAL, FEATURES, NUMERIC, PLANTED_SQL, CLEAN_CTE, call_ms, clean_churn, request_frame, table
 from churnspark.plans.joins import STATS_CTE
 from churnspark.plans.modelling import explained_model, planted
 from churnspark.plans.registry import query
@@ -150,13 +150,46 @@ def explain_top10(spark, sf):
     return _residuals(rows, L.Perturbation.fit(rows, WIDE), planted, WIDE, 10)
 
 
-@query()
-def serve_batch(spark, sf):
-    """Requests with missing fields answered in one job, and the answers logged."""
+_UUID = f"""md5('["churn","' || r.customer_id || '","' || {CALL_MS.replace("customer_id", "r.customer_id")} || '"]')"""
+_DATA = ", ".join(f"coalesce(r.{c}, d.{c}) as {c}" for c in FEATURES)
+_BAD = "cast(customer_id as bigint) % 7 = 0"
+
+
+def _served(spark, sf, requests, rejected=None):
     em, rows = explained_model(spark, sf)
     log = work_table(spark, "served")
-    log_answers(request_frame(rows).withColumn("call_ms", call_ms()), em, "customer_id", "call_ms", "churn", "dep-0", log, N_SAMPLES)
-    return spark.table(log).select("uuid", "customer_id", "start_ms", (F.col("end_ms") >= F.col("start_ms")).alias("timed"), F.to_json("data").alias("data"), "probability", F.to_json("explanation").alias("explanation"))
+    asked = staged(requests(request_frame(rows)).withColumn("call_ms", call_ms()), "requests")
+    for _ in range(2):  # the second time as a retry of the same batch
+        log_answers(asked, em, "customer_id", "call_ms", "churn", "dep-0", log, N_SAMPLES, rejected, "batch-0")
+    return spark.table(log)
+
+
+@query(
+    f"""with {DEFAULTS_CTE} select {_UUID} as uuid, r.customer_id, {CALL_MS.replace("customer_id", "r.customer_id")} as start_ms, true as timed,
+    {_DATA}, true as likely, cast({len(FEATURES)} as bigint) as n_weights from requests r, defaults d"""
+)
+def serve_batch(spark, sf):
+    """Requests with missing fields answered in one job, and the answers logged; retried, the batch adds nothing."""
+    return _served(spark, sf, lambda r: r).select(
+        "uuid", "customer_id", "start_ms", (F.col("end_ms") >= F.col("start_ms")).alias("timed"), "data.*",
+        F.col("probability").between(0, 1).alias("likely"), F.size("explanation").cast("long").alias("n_weights"),
+    )
+
+
+@query(
+    f"""with {DEFAULTS_CTE} select {_UUID} as uuid, r.customer_id, not ({_BAD.replace("customer_id", "r.customer_id")}) as answered,
+    case when {_BAD.replace("customer_id", "r.customer_id")} then 'tenure' end as unreadable,
+    case when {_BAD.replace("customer_id", "r.customer_id")} then 'long ' || r.customer_id end as held from requests r, defaults d"""
+)
+def serve_rejected(spark, sf):
+    """Requests of which every seventh holds a text for a number: those are set aside, all others answered."""
+    bad = F.expr(_BAD)
+    text = F.when(bad, F.concat(F.lit("long "), "customer_id")).otherwise(F.col("tenure").cast("string"))
+    aside = work_table(spark, "rejected")
+    log = _served(spark, sf, lambda r: r.withColumn("tenure", text), aside)
+    good = log.select("uuid", "customer_id", F.lit(True).alias("answered"), *[F.lit(None).cast("string").alias(c) for c in ("unreadable", "held")])
+    rest = spark.table(aside)
+    return good.unionByName(rest.select("uuid", "customer_id", F.lit(False).alias("answered"), "unreadable", F.get_json_object("request", "$.tenure").alias("held")))
 
 
 @query(

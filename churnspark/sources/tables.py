@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -68,6 +71,29 @@ def append_table(df: DataFrame, name: str, partition_by=()) -> None:
         df.write.format("parquet").mode("append").saveAsTable(name)
 
 
+def write_batch(df: DataFrame, name: str, batch: str, partition_by=()) -> None:
+    """Write the rows of one batch of a stream under its key, replacing whatever that batch has written before.
+
+    A batch that is tried again, after it ended or after it died half-way, so adds nothing twice. The table is
+    partitioned by ``batch`` and then by ``partition_by``.
+    """
+    spark = df.sparkSession
+    layout = ["batch", *partition_by]
+    rest = [c for c in df.columns if c not in layout]
+    df = df.withColumn("batch", F.lit(batch)).select(*rest, *layout)
+    if not spark.catalog.tableExists(name):
+        df.limit(0).write.format("parquet").partitionBy(*layout).saveAsTable(name)
+    view = f"batch_{uuid.uuid4().hex}"
+    df.drop("batch").hint("rebalance", *[F.col(c) for c in partition_by]).createOrReplaceTempView(view)
+    if not re.fullmatch(r"[\w.-]+", batch):
+        raise ValueError(f"a batch key holds letters, digits, '_', '-' and '.': {batch!r}")
+    spec = ", ".join([f"batch = '{batch}'", *[f"`{c}`" for c in partition_by]])
+    try:
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({spec}) SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def register(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import sys
+import time
+import uuid
+
+import pandas as pd
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from churnspark.functions.columns import now_ms
 from churnspark.operators.explain import Predict
 from churnspark.operators.models import ExplainedModel
-from churnspark.session import staged
-from churnspark.sources.metrics import DAY_MS, append_inference_log, prediction_uuid
+from churnspark.sources.metrics import DAY_MS, METRIC_LAYOUT, prediction_uuid, with_day
+from churnspark.sources.tables import write_batch
+
+# The clock below travels by value, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def customer_stream(spark: SparkSession, path: str, schema: T.StructType | str, max_files: int | None = None) -> DataFrame:
@@ -51,37 +59,67 @@ def score_stream(requests: DataFrame, model: str, keys: list[str], predict: Pred
     return predict(requests).withColumn("uuid", prediction_uuid(model, *keys)).withColumn("model", F.lit(model))
 
 
-def log_answers(batch: DataFrame, em: ExplainedModel, key: str, time: str, model: str, deployment: str, table: str, n_samples: int = 5000) -> None:
-    """Answer and explain requests (<key>, <time> in ms, fields...) and append the answers to the inference log.
+def _clock(key: str) -> Column:
+    """The time at which a row is made, in ms."""
+
+    @F.pandas_udf(T.LongType())
+    def now(keys: pd.Series) -> pd.Series:
+        return pd.Series(int(time.time() * 1000), index=keys.index)
+
+    return now.asNondeterministic()(key)
+
+
+def log_answers(
+    batch: DataFrame, em: ExplainedModel, key: str, asked_at: str, model: str, deployment: str, table: str, n_samples: int = 5000,
+    rejected: str | None = None, batch_key: str | None = None,
+) -> None:
+    """Answer and explain requests (<key>, <asked_at> in ms, fields...) and write the answers to the inference log.
 
     The prediction id holds the request's time, so two calls for one key are two predictions, and requests whose
-    id the log has already are left out: a repeated batch adds nothing. ``start_ms`` is the request's time and
-    ``end_ms`` the time at which its answer was there.
+    id the log has already are left out. ``start_ms`` is the request's time and ``end_ms`` the time at which its
+    answer was there. Requests with an unreadable value go to the table ``rejected`` with what they held, and all
+    others are answered; without such a table they are an error.
+
+    The tables are partitioned by batch, a call without a key being a batch of its own. With ``batch_key`` both hold the batch under that key, and writing it again replaces it: a batch that is
+    retried adds nothing, even if it died between the two writes.
     """
     spark = batch.sparkSession
-    asked = batch.select(prediction_uuid(model, key, time).alias("uuid"), F.col(time).cast("long").alias("start_ms"), *[c for c in batch.columns if c != time])
-    asked = staged(asked.dropDuplicates(["uuid"]), "asked")
+    carry = ["start_ms", key]
+    asked = batch.select(prediction_uuid(model, key, asked_at).alias("uuid"), F.col(asked_at).cast("long").alias("start_ms"), *[c for c in batch.columns if c != asked_at])
+    asked = asked.dropDuplicates(["uuid"])
     if spark.catalog.tableExists(table):
-        days = asked.select(F.floor(F.col("start_ms") / DAY_MS).cast("int").alias("day")).distinct()
-        known = spark.table(table).where(F.col("deployment") == deployment).join(days, "day", "left_semi").select("uuid")
-        asked = asked.join(known, "uuid", "left_anti")
-    answered = staged(em.serve(asked.drop("start_ms", key), "uuid", n_samples), "answered")
-    done = spark.range(1).select(now_ms().alias("ms")).first()["ms"]
-    out = answered.join(asked.select("uuid", "start_ms", key), "uuid")
-    append_inference_log(
-        out.select("uuid", F.lit(model).alias("model"), F.lit(deployment).alias("deployment"), "start_ms", F.lit(done).alias("end_ms"), key, "data", "probability", "explanation"),
-        table,
-    )
+        log = spark.table(table).where(F.col("deployment") == deployment)
+        log = log.where(F.col("batch") != batch_key) if batch_key else log
+        days = batch.select(F.floor(F.col(asked_at).cast("long") / DAY_MS).cast("int").alias("day")).distinct()
+        asked = asked.join(log.join(days, "day", "left_semi").select("uuid"), "uuid", "left_anti")
+    if rejected:
+        answers, bad = em.serve_readable(asked, "uuid", n_samples, carry=carry)
+    else:
+        answers, bad = em.serve(asked, "uuid", n_samples, carry=carry), None
+    named = lambda df: df.withColumns({"model": F.lit(model), "deployment": F.lit(deployment)})
+    out = named(answers).withColumn("end_ms", _clock("uuid"))
+    _write(with_day(out.select("uuid", "model", "deployment", "start_ms", "end_ms", key, "data", "probability", "explanation")), table, batch_key)
+    if bad is not None:
+        _write(with_day(named(bad).select("uuid", "model", "deployment", "start_ms", key, "request", "unreadable")), rejected, batch_key)
+
+
+def _write(df: DataFrame, table: str, batch_key: str | None) -> None:
+    write_batch(df, table, batch_key or f"call-{uuid.uuid4().hex}", METRIC_LAYOUT)
 
 
 def serve_stream(
-    requests: DataFrame, em: ExplainedModel, key: str, time: str, model: str, deployment: str, table: str, checkpoint: str, n_samples: int = 5000
+    requests: DataFrame, em: ExplainedModel, key: str, asked_at: str, model: str, deployment: str, table: str, checkpoint: str, n_samples: int = 5000,
+    rejected: str | None = None, name: str = "serve",
 ) -> StreamingQuery:
-    """Answer the requests of each micro-batch and log the answers (see ``log_answers``)."""
+    """Answer the requests of each micro-batch and log the answers (see ``log_answers``), each batch once.
+
+    ``name`` tells apart the streams that write to one log. Unreadable requests go to ``<table>_rejected`` unless
+    another table is named.
+    """
 
-    def answer(batch: DataFrame, _: int) -> None:
+    def answer(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            log_answers(batch, em, key, time, model, deployment, table, n_samples)
+            log_answers(batch, em, key, asked_at, model, deployment, table, n_samples, rejected or f"{table}_rejected", f"{name}-{number}")
 
     return requests.writeStream.foreachBatch(answer).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 

@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -108,6 +109,37 @@ def test_serving_stream_logs_explanations(spark, em, tmp_path):
     assert spark.table(table).count() == 4
 
 
+def test_one_unreadable_request_does_not_stop_the_others(spark, em, tmp_path):
+    stream = _feed(spark, str(tmp_path / "r"), [[("q1", "u", "1.5", 5), ("q2", "v", "abc", 6), ("q3", "u", None, 7)]], "id string, a string, x string, at long")
+    table = work_table(spark, "served")
+    J.serve_stream(stream, em, "id", "at", "churn", "dep-1", table, str(tmp_path / "k"), n_samples=100).awaitTermination()
+    assert {(r.id, r.data.x) for r in spark.table(table).collect()} == {("q1", 1.5), ("q3", 8.0)}
+    bad = spark.table(f"{table}_rejected").collect()
+    assert [(r.id, r.start_ms, r.unreadable, json.loads(r.request)["x"]) for r in bad] == [("q2", 6, "x", "abc")]
+
+
+def test_a_batch_that_died_between_its_writes_is_written_once(spark, em, monkeypatch):
+    batch = spark.createDataFrame([("q1", "u", "1.5", 5), ("q2", "v", "abc", 6)], "id string, a string, x string, at long")
+    table, aside = work_table(spark, "served"), work_table(spark, "aside")
+    ask = lambda key: J.log_answers(batch, em, "id", "at", "churn", "dep-1", table, 100, aside, key)
+    write, calls = J._write, []
+
+    def dies(df, name, key):
+        calls.append(name)
+        if name == aside and len(calls) == 2:
+            raise OSError("lost")
+        write(df, name, key)
+
+    monkeypatch.setattr(J, "_write", dies)
+    with pytest.raises(OSError, match="lost"):
+        ask("s-0")
+    for _ in range(2):
+        ask("s-0")
+    assert [r.id for r in spark.table(table).collect()] == ["q1"] and [r.id for r in spark.table(aside).collect()] == ["q2"]
+    ask("s-1")  # the same requests in another batch are known
+    assert spark.table(table).count() == 1
+
+
 def test_unreadable_request_is_not_answered(spark, em):
     bad = spark.createDataFrame([("q1", "u", "abc")], "id string, a string, x string")
     with pytest.raises(Exception, match="unreadable x: abc"):
