@@ -7,23 +7,31 @@ nearly always and are counted in vectors as long as the vocabulary; only other g
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from churnspark.llm.rows import blocks_of
-from churnspark.llm.tokenizing import IDS, Memory, byte_tokenizer, kept, piece_tokenizer, pieces
+from churnspark.llm.tokenizing import IDS, byte_tokenizer, kept, piece_tokenizer, pieces
 from churnspark.session import staged
 
 SHIFT = 20  # a pair is one number: the first id, shifted, and the second
 HOT = 1 << 16  # pairs that hold more than this part of all occurrences travel with the code; there are fewer of them
 EXPANDED = 1 << 22  # links made at a time
 SHOWN = 8  # bytes of a decimal id and its sign, at most
+REMEMBERED = 300_000  # pieces of text in a generation of the memory
+_OTHER = re.compile("[^\x00-\u024f]|\\S{400}|\\s{400}")
+
+# Fixed value: how byte-level tokenizers of this kind cut a text into stretches.
+STRETCHES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 class Vocabularies:
@@ -40,33 +48,52 @@ class Vocabularies:
         shown = [b"%d%s" % (i, sign) for sign, n in ((b",", n_a), (b"|", n_a), (b",", n_b), (b";", n_b)) for i in range(n)]
         self.shown_size = np.array([*map(len, shown)], np.int64)
         self.shown = np.array(shown, f"S{SHOWN}").view(np.uint8).reshape(-1, SHOWN)
-        self.both = Memory(self.of_piece)
-        self.lossy: set[str] = set()  # pieces whose bytes one of the tokenizers does not give back
+        # Encodes a whole text by the same entries and ranks; used where no library sees other letters or long words.
+        special = set(self.a.tokenizer.get_added_tokens_decoder())
+        ranks = {entry: i for i, entry in enumerate(self.bytes_a) if i not in special}
+        self.quick = tiktoken.Encoding("aligned", pat_str=STRETCHES, mergeable_ranks=ranks, special_tokens={})
+        self.known: dict[str, bytes] = {}  # ids of B for pieces of text, and the generation before
+        self.older: dict[str, bytes] = {}
+        self.lossy: set[str] = set()  # pieces whose bytes B does not give back
 
     def whole(self, ids: bytes, entries: list[bytes]) -> bytes:
         return b"".join(map(entries.__getitem__, np.frombuffer(ids, IDS).tolist()))
 
-    def of_piece(self, piece: str) -> tuple[bytes, bytes]:
-        a, b = self.a.after_space(piece), self.b.after_space(piece)
-        raw = (" " + piece).encode()
-        # Byte-level ids are parts of the text in order, so their sizes tell; the other side may rewrite a text.
-        if self.size_a[np.frombuffer(a, IDS)].sum() != len(raw) or self.whole(b, self.bytes_b) != raw:
-            self.lossy.add(piece)
-        return a, b
-
-    def encode(self, text: str) -> tuple[bytes, bytes]:
-        """Ids of a space and the text by both; nothing if one of them does not give back its bytes."""
-        none = b"", b""
-        if not text:
-            return none
-        first, *rest = pieces(" " + text)
-        if first or self.b.SPACE in text or not self.b.apart:  # white space at the start: as a whole
-            found, raw = (self.a.encode(" " + text), self.b.encode(text)), (" " + text).encode()
-            return found if self.whole(found[0], self.bytes_a) == raw == self.whole(found[1], self.bytes_b) else none
-        found = [*map(self.both.__getitem__, rest)]
-        if self.lossy and not self.lossy.isdisjoint(rest):
-            return none
-        return b"".join([x[0] for x in found]), b"".join([x[1] for x in found])
+    def learn(self, new: list[str]) -> None:
+        """Encode pieces by B, each after a space."""
+        ids = [array("I", found).tobytes() if piece else self.b.alone for piece, found in zip(new, self.b.model.encode(new, num_threads=1), strict=True)]
+        raw = [(" " + piece).encode() for piece in new]
+        sizes = np.add.reduceat(np.append(self.size_b[np.frombuffer(b"".join(ids), IDS)], 0), np.cumsum([0, *(len(i) // 4 for i in ids)])[:-1])
+        if sizes.tolist() != [*map(len, raw)] or self.whole(b"".join(ids), self.bytes_b) != b"".join(raw):
+            self.lossy.update(p for p, i, r in zip(new, ids, raw, strict=True) if self.whole(i, self.bytes_b) != r)
+        self.known.update(zip(new, ids, strict=True))
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """Ids of a space and the text by A and B; nothing for texts that one of them does not give back."""
+        cut = [pieces(" " + t) if t and self.b.apart and self.b.SPACE not in t else None for t in texts]
+        cut = [c if c and not c[0] else None for c in cut]  # white space at the start: not by pieces
+        if len(self.known) > REMEMBERED:
+            self.known, self.older = {}, self.known
+        wanted = set().union(*(c[1:] for c in cut if c)).difference(self.known)
+        self.known.update({p: self.older[p] for p in wanted if p in self.older})
+        if new := list(wanted.difference(self.known)):
+            self.learn(new)
+        out = []
+        for text, parts in zip(texts, cut, strict=True):
+            plain = not _OTHER.search(text)
+            a = array("I", self.quick.encode_ordinary(" " + text)).tobytes() if plain else self.a.encode(" " + text)
+            if not text:
+                a = b = b""
+            elif parts:
+                b = b"".join(map(self.known.__getitem__, parts[1:]))
+                if self.lossy and not self.lossy.isdisjoint(parts[1:]):
+                    a = b = b""
+            else:
+                b, raw = self.b.encode(text), (" " + text).encode()
+                if self.whole(a, self.bytes_a) != raw or self.whole(b, self.bytes_b) != raw:
+                    a = b = b""
+            out.append((a, b))
+        return out
 
 
 def vocabularies(path_a: str, path_b: str) -> Vocabularies:
@@ -97,7 +124,7 @@ def counted(key: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 def align(texts: list[str], path_a: str, path_b: str) -> Aligned:
     """At most 2^20 texts."""
     v = vocabularies(path_a, path_b)
-    raw = [v.encode(text) for text in texts]
+    raw = v.encode(texts)
     n_a, n_b = (np.array([len(r[k]) // 4 for r in raw], np.int64) for k in (0, 1))
     a, b = (np.frombuffer(b"".join([r[k] for r in raw]), IDS).astype(np.int64) for k in (0, 1))
     # Both sides tile the same bytes, so ends can be compared across the whole block.
