@@ -134,6 +134,27 @@ def json_flatten(spark, sf):
     return flat_metrics(spark, sf)
 
 
+_WHEN = "case when event_id % 50 <> 0 then {} end"
+
+
+@query(
+    f"""with {LOG_CTE} select deployment, start_ms, end_ms, {_WHEN.format("uuid")} as uuid, {_WHEN.format("probability")} as "metrics.probability",
+    {_WHEN.format("input_k")} as "metrics.input_data.k",
+    case when event_id % 4 = 1 and event_id % 50 <> 0 then 'z' || event_id % 3 end as "metrics.zone.name",
+    case when event_id % 4 = 1 and event_id % 50 <> 0 then event_id % 8 / 4e0 end as "metrics.zone.cost",
+    case when event_id % 4 = 2 and event_id % 50 <> 0 then event_id % 5 end as "metrics.retries", cast(null as varchar) as "metrics.note",
+    case when event_id % 50 = 0 then 'cut off {{' end as unreadable from log"""
+)
+def json_flatten_open(spark, sf):
+    """Metrics whose keys no schema declares: rows differ in their keys, some texts are cut off."""
+    log, k = inference_log(spark, sf), F.col("event_id")
+    some = F.when(k % 4 == 1, F.format_string(', "zone": {"name": "z%d", "cost": %s}', k % 3, (k % 8 / 4).cast("string")))
+    some = some.when(k % 4 == 2, F.format_string(', "retries": %d', k % 5)).when(k % 4 == 3, ', "note": null').otherwise("")
+    text = F.concat(F.substring_index("metrics_json", "}}", 1), F.lit("}"), some, F.lit("}"), F.substring_index("metrics_json", "}}", -1))
+    text = F.when(k % 50 == 0, "cut off {").otherwise(text)
+    return M.flatten_json(log.select("deployment", "start_ms", "end_ms", text.alias("metrics_json")), "metrics_json")
+
+
 def _metric_interval(spark, sf):
     """The middle half of the log's time span, in whole milliseconds."""
     r = table(spark, sf, "events").agg(F.min(ts_to_ms("ts")).alias("a"), F.max(ts_to_ms("ts")).alias("b")).first()

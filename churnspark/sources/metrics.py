@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -97,3 +98,38 @@ def parse_metrics(df: DataFrame, column: str, schema: str) -> DataFrame:
     """Replace a JSON text column by the fields of its declared schema."""
     others = [c for c in df.columns if c != column]
     return df.withColumn("_j", F.from_json(column, schema)).select(*others, "_j.*")
+
+
+_TYPE = re.compile(r"`(?:[^`]|``)*`|OBJECT<>|OBJECT<|VOID(?!:)|DECIMAL\(\d+, ?\d+\)")
+_AS_COLUMN = {"OBJECT<": "STRUCT<", "OBJECT<>": "VARIANT", "VOID": "STRING"}  # an empty object has no columns, a key that is always null no type
+
+
+def json_schema(df: DataFrame, column: str) -> str:
+    """One type, as DDL text, that holds the JSON texts of all rows: the union of their keys at every level.
+
+    Numbers that are not all whole become DOUBLE, a key with values of different kinds VARIANT. The types of the rows
+    are merged by an aggregation; only the merged one, which grows with the number of distinct keys, is returned.
+    """
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(column))).first()[0]
+    return _TYPE.sub(lambda m: _AS_COLUMN.get(m[0], m[0] if m[0][0] == "`" else "DOUBLE"), found)
+
+
+def flatten_json(df: DataFrame, column: str, sep: str = ".", unreadable: str = "unreadable") -> DataFrame:
+    """Replace a JSON text column by a column for every key path that occurs in any row, whatever keys the rows have.
+
+    A row without a key gets a null there. Arrays stay whole; values of different kinds under one key come as JSON
+    text. A text that is no JSON object goes to the column ``unreadable`` and has nulls in the others. Keys that
+    differ only in upper and lower case need ``spark.sql.caseSensitive``.
+    """
+    parsed = F.try_parse_json(column)
+    is_object = F.schema_of_variant(parsed).startswith("OBJECT")
+    known = df.withColumn("_variant", F.when(is_object, parsed))
+    kind = json_schema(known.select(F.when(is_object, F.col(column)).alias(column)), column)
+    others = [F.col(f"`{c}`") for c in df.columns if c != column]
+    bad = F.when(F.col("_variant").isNull(), F.col(column)).alias(unreadable)
+    if not kind.startswith("STRUCT<"):
+        return known.select(*others, bad)
+    opened = known.select(*others, F.try_variant_get("_variant", "$", kind).alias("_json"), bad)
+    flat = flatten(opened.select(*others, "_json.*", unreadable), sep)
+    texts = {f.name: F.to_json(f"`{f.name}`") for f in flat.schema.fields if isinstance(f.dataType, T.VariantType)}
+    return flat.withColumns(texts) if texts else flat

@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,3 +123,18 @@ def test_run_metrics_and_lineage(spark):
 def test_staged_is_stable(spark):
     df = staged(spark.range(100).withColumn("x", F.rand()))
     assert df.agg(F.sum("x")).first()[0] == df.agg(F.sum("x")).first()[0]
+
+
+def test_json_of_unknown_keys(spark):
+    texts = ['{"a": 1, "b": {"c": 0.25, "d e": "x"}}', '{"a": 2.5, "z": [1, {"q": 1}], "b": {"c": 10}}', '{"b": "t", "y.k": true, "n": null, "e": {}}', "oops", "[1]", "3", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, j string")
+    out = M.flatten_json(rows, "j")
+    assert sorted(out.columns) == sorted(["i", "a", "b", "e", "n", "y.k", "z", "unreadable"])
+    got = {r.i: r.asDict() for r in out.collect()}
+    assert [got[k]["a"] for k in range(7)] == [1.0, 2.5, None, None, None, None, None]
+    assert json.loads(got[0]["b"]) == {"c": 0.25, "d e": "x"} and got[2]["b"] == '"t"' and got[2]["y.k"] is True and got[2]["e"] == "{}"
+    assert [got[k]["unreadable"] for k in range(7)] == [None, None, None, "oops", "[1]", "3", None]
+    union = M.flatten_json(rows.where("i < 2"), "j")
+    assert union.columns == ["i", "a", "b.c", "b.d e", "z", "unreadable"]
+    assert [tuple(r)[:4] for r in union.orderBy("i").collect()] == [(0, 1.0, 0.25, "x"), (1, 2.5, 10.0, None)]
+    assert M.flatten_json(rows.where("i in (3, 6)"), "j").columns == ["i", "unreadable"] and M.flatten_json(rows.limit(0), "j").count() == 0
