@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from churnspark.operators import explain as L
 from churnspark.operators.cleaning import cast_request, fill_defaults
 from churnspark.operators.evaluation import accuracy
-from churnspark.operators.features import QUARTILES, FeatureSpec, categories, fit_tables
+from churnspark.operators.features import QUARTILES, FeatureSpec, categories, fit_dictionary, fit_tables, onehot_rows
 from churnspark.operators.ordering import exact_quantiles
 from churnspark.operators.sampling import folds
 from churnspark.session import staged
@@ -99,6 +99,46 @@ def fit_logistic(train: DataFrame, spec: FeatureSpec, label: str, positive: str
     return PipelineModel(stages=[*prep.stages, _logistic(reg_param(c, n, n), max_iter).fit(data)])
 
 
+def relational_margin(model: PipelineModel, train: DataFrame, rows: DataFrame, spec: FeatureSpec, key: str) -> tuple[DataFrame, DataFrame]:
+    """What a fitted logistic model says, worked out anew from the long one-hot matrix of ``train`` and ``rows``.
+
+    Returns the columns of the matrix (position, name, mean, deviation, weight; weights for columns scaled by the
+    population deviation) and (key, margin) of ``rows``.
+    """
+    spark = train.sparkSession
+    dictionary = staged(fit_dictionary(train, spec.categorical), "dictionary")
+    n = train.count()
+    moments = staged(onehot_rows(train, dictionary, spec, key), "long").groupBy("position", "name").agg(F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("ss"))
+    mean = F.col("s") / n
+    moments = moments.select("position", "name", mean.alias("mean"), F.sqrt(F.greatest(F.col("ss") / n - mean * mean, F.lit(0.0))).alias("deviation"))
+    last = model.stages[-1]
+    shrink = float(np.sqrt((n - 1) / n)) if n > 1 else 1.0
+    weights = spark.createDataFrame([(i, float(w) * shrink) for i, w in enumerate(last.coefficients)], "position int, weight double")
+    columns = staged(moments.join(weights, "position"), "columns")  # as many rows as the model has coefficients
+    slope = F.when(F.col("deviation") > 0, F.col("weight") / F.col("deviation")).otherwise(0.0)
+    offset = columns.agg(F.sum(slope * F.col("mean"))).scalar()
+    sums = onehot_rows(rows, dictionary, spec, key).join(columns, ["position", "name"]).groupBy(key).agg(F.sum(F.col("x") * slope).alias("dot"))
+    return columns, sums.select(key, (F.col("dot") - offset + F.lit(float(last.intercept))).alias("margin"))
+
+
+def fit_certificate(model: PipelineModel, train: DataFrame, spec: FeatureSpec, label: str, key: str, positive: str = "Yes", c: float = 1.0) -> DataFrame:
+    """(name, weight, gradient): how far each coefficient is from the optimum of C * sum(log loss) + |w|^2 / 2.
+
+    ``gradient`` is the objective's derivative per row of ``train``, from sums over the long one-hot matrix; the
+    intercept has no penalty. All of them near zero prove the fit, as the objective is convex.
+    """
+    columns, margin = relational_margin(model, train, train, spec, key)
+    excess = 1.0 / (1.0 + F.exp(-F.col("margin"))) - F.col("target")
+    rest = staged(margin.join(with_target(train, label, positive).select(key, "target"), key).select(key, excess.alias("excess")), "excess")
+    n, total = rest.count(), rest.agg(F.sum("excess")).scalar()
+    dictionary = fit_dictionary(train, spec.categorical)
+    sums = onehot_rows(train, dictionary, spec, key).join(rest, key).groupBy("position", "name").agg(F.sum(F.col("x") * F.col("excess")).alias("sx"))
+    slope = F.when(F.col("deviation") > 0, (F.col("sx") - F.col("mean") * total) / F.col("deviation")).otherwise(0.0)
+    out = columns.join(sums, ["position", "name"]).select("name", "weight", ((c * slope + F.col("weight")) / n).alias("gradient"))
+    free = rest.agg(F.lit("intercept").alias("name"), F.lit(float(model.stages[-1].intercept)).alias("weight"), (F.sum("excess") * c / n).alias("gradient"))
+    return out.unionByName(free)
+
+
 @dataclass
 class Search:
     """A cross-validated fit: the model, its strength and the mean accuracy per strength."""

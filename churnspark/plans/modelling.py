@@ -6,6 +6,8 @@ test suite (zero gradient at the fit, equal scores after reload, invariants of t
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -107,6 +109,39 @@ def fit_model(spark, sf):
     return spark.createDataFrame(rows, "name string, weight double")
 
 
+@query(f"""with {ONEHOT_CTE} select name, true as stationary from (select distinct name from matrix) union all select 'intercept', true""")
+def fit_gradient(spark, sf):
+    """The coefficients of `fit_model`: no step along any of them lowers the penalised loss."""
+    train, _ = sides(training_rows(spark, sf))
+    found = M.fit_certificate(M.fit_logistic(train, SPEC, LABEL), train, SPEC, LABEL, "customer_id")
+    return found.select("name", (F.abs("gradient") < 1e-4).alias("stationary"))
+
+
+@query(f"with {CLEAN_CTE} select customer_id, true as same, true as same_label from clean")
+def score_residual(spark, sf):
+    """The scores of `score_probability` and `score_label` against the sigmoid of the margin from the long matrix."""
+    rows = training_rows(spark, sf)
+    train = sides(rows)[0]
+    model = M.fit_logistic(train, SPEC, LABEL)
+    _, margin = M.relational_margin(model, train, rows, SPEC, "customer_id")
+    p = 1.0 / (1.0 + F.exp(-F.col("margin")))
+    both = M.predict_label(model, rows).join(margin, "customer_id")
+    agrees = (F.col("predicted") == "Yes") == (F.col("margin") > 0)
+    return both.select("customer_id", (F.abs(p - F.col("probability")) < 1e-9).alias("same"), (agrees | (F.abs("margin") < 1e-9)).alias("same_label"))
+
+
+@query("select round(-4 + 8 * i / 9e0, 6) + 0e0 as log_strength, true as as_ruled from range(10) t(i)")
+def cv_choice(spark, sf):
+    """The strength that `logreg_cv` chooses is the weakest of those with the best mean accuracy, and its refit is optimal."""
+    train, _ = sides(training_rows(spark, sf))
+    found = M.fit_logistic_cv(train, SPEC, LABEL, "customer_id")
+    best = max(found.scores.values())
+    right = found.strength == min(c for c, a in found.scores.items() if a == best) and all(0 <= a <= 1 for a in found.scores.values())
+    worst = M.fit_certificate(found.model, train, SPEC, LABEL, "customer_id", c=found.strength).agg(F.max(F.abs("gradient")).alias("g")).first()["g"]
+    rows = [(round(math.log10(c), 6) + 0.0, right and worst < 1e-3) for c in found.scores]
+    return spark.createDataFrame(rows, "log_strength double, as_ruled boolean")
+
+
 @query()
 def logreg_cv(spark, sf):
     """Mean cross-validated accuracy per strength, the chosen one marked."""
