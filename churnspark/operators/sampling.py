@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from churnspark.functions.columns import hash_text, hash_uniform
 from churnspark.operators.ordering import with_row_number
 
-_BUCKET_CHARS = 5  # 16^5 hash buckets: at most 1,048,576 histogram rows, whatever the size of the table
+_PREFIX = 4  # hexadecimal digits: at most 65,536 counts, whatever the size of the table
 
 
 def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFrame:
@@ -18,40 +20,39 @@ def hash_sample(df: DataFrame, key: str, fraction: float, seed: int) -> DataFram
     return df.filter(hash_uniform(seed, key) < fraction)
 
 
-def _first_by_hash(df: DataFrame, key: str, seed, wanted: Callable[[Column], Column]) -> Column:
-    """True for exactly the ``wanted(total)`` rows that come first in (hash, key) order.
+def _marked(df: DataFrame, key: str, seed, wanted: Callable[[int], int], name: str) -> DataFrame:
+    """``df`` with a column that is true for exactly ``wanted(rows)`` rows: the first by hash of the key, then by hash
+    of the whole row; of rows equal in every column any may be marked.
 
-    No full sort: a histogram over hash prefixes finds the bucket in which the cut falls, and only the keys of
-    that bucket (a millionth of all) are ranked, counted first. Keys should be unique; rows of a repeated key
-    are taken or left together.
+    One scan counts rows by hash prefix; a fixed number of counts comes to the driver and tells the prefix in which
+    the cut falls. Only the rows of that prefix are put in order (range-partitioned, so rows that share a key may be
+    many), all others are marked by their prefix where they lie.
     """
-    h = hash_text(seed, key)
-    bucket = F.substring(h, 1, _BUCKET_CHARS)
-    hist = df.groupBy(bucket.alias("b")).agg(F.count("*").alias("n"))
-    ordered = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0)
-    total = F.sum("n").over(Window.partitionBy())
-    hist = hist.select("b", "n", F.sum("n").over(ordered).alias("upto"), total.alias("total"))
-    hist = hist.withColumn("wanted", F.least(wanted(F.col("total")), F.col("total")))
-    cut = hist.filter((F.col("upto") - F.col("n") < F.col("wanted")) & (F.col("wanted") <= F.col("upto"))).select(
-        F.struct("b", (F.col("wanted") - F.col("upto") + F.col("n")).alias("need"))
-    )
-    border = df.filter(bucket == cut.scalar()["b"]).select(F.struct(h.alias("h"), F.col(key).alias("k")).alias("place"))
-    keys = border.groupBy("place").agg(F.count("*").alias("n"))
-    ranked = keys.withColumn("upto", F.sum("n").over(Window.orderBy("place").rowsBetween(Window.unboundedPreceding, 0)))
-    need = cut.scalar()["need"]
-    last = ranked.filter((F.col("upto") - F.col("n") < need) & (need <= F.col("upto"))).select("place").scalar()
-    return F.coalesce(F.struct(h.alias("h"), F.col(key).alias("k")) <= last, F.lit(False))
+    prefix = F.substring(F.coalesce(hash_text(seed, key), F.lit("")), 1, _PREFIX)
+    counts = sorted((r["p"], r["n"]) for r in df.groupBy(prefix.alias("p")).agg(F.count("*").alias("n")).collect())  # 16^_PREFIX rows at most
+    total = sum(n for _, n in counts)
+    need = min(max(wanted(total), 0), total)
+    if need in (0, total):
+        return df.withColumn(name, F.lit(need > 0))
+    for border, n in counts:  # ends at the border, as need is less than the total
+        if need <= n:
+            break
+        need -= n
+    row = F.xxhash64(*[F.to_json(F.struct(F.col(f"`{f.name}`"))) if isinstance(f.dataType, T.MapType) else F.col(f"`{f.name}`") for f in df.schema.fields])
+    rest = df.filter(prefix != border).withColumn(name, prefix < border)
+    order = {"_h": F.coalesce(hash_text(seed, key), F.lit("")), "_r": row, "_t": F.monotonically_increasing_id()}
+    near = with_row_number(df.filter(prefix == border).withColumns(order), list(order), name="_n")
+    return rest.unionByName(near.withColumn(name, F.col("_n") <= need).select(*df.columns, name))
 
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
-    """Exactly ``n`` rows (all of them when there are fewer)."""
-    return df.filter(_first_by_hash(df, key, seed, lambda total: F.lit(n).cast("long")))
+    """Exactly ``n`` rows (all of them when there are fewer), whether or not keys repeat."""
+    return _marked(df, key, seed, lambda total: n, "_in").filter("_in").drop("_in")
 
 
 def train_test_split(df: DataFrame, key: str, test: float = 0.25, seed: int = 42, name: str = "is_test") -> DataFrame:
     """Mark exactly ceil(test * rows) rows as test, without regard to classes."""
-    flag = _first_by_hash(df, key, seed, lambda total: F.ceil(total * F.lit(test)).cast("long"))
-    return df.withColumn(name, flag)
+    return _marked(df, key, seed, lambda total: math.ceil(total * test), name)
 
 
 def folds(df: DataFrame, label: str, key: str, k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:

@@ -36,11 +36,14 @@ def test_sample_n_is_the_hash_order(base):
     assert keys(S.sample_n(base, 50, "k", 7)) == want
 
 
-def test_repeated_key_goes_as_a_whole(spark):
-    df = spark.range(900).select(F.when(F.col("id") < 300, "hot").otherwise(F.concat(F.lit("c"), "id")).alias("k"))
-    for n in (1, 200, 450, 900):
-        got = keys(S.sample_n(df, n, "k", 7))
-        assert got.count("hot") in (0, 300) and n <= len(got) < n + 300
+def test_repeated_keys_are_cut_exactly(spark):
+    df = spark.range(900).select(F.when(F.col("id") < 300, "hot").when(F.col("id") < 400, None).otherwise(F.concat(F.lit("c"), "id")).alias("k"), (F.col("id") % 450).alias("v"))
+    for n in (1, 200, 450, 899, 900):
+        got = [(r.k, r.v) for r in S.sample_n(df, n, "k", 7).collect()]
+        assert len(got) == n and sorted(got, key=str) == sorted(((r.k, r.v) for r in S.sample_n(df.repartition(11), n, "k", 7).collect()), key=str)
+    same = spark.range(1000).select(F.lit("one").alias("k"), F.lit(1).alias("v"))
+    assert S.sample_n(same, 333, "k", 7).count() == 333
+    assert S.train_test_split(same, "k", 0.25).where("is_test").count() == 250
 
 
 def test_seeds_differ(base):
