@@ -293,6 +293,22 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         more = F.least(after, x - F.col("pos") - 1, y - F.col("other_pos") - 1)
         return met.where(F.col("shared") >= (need - more) * part).select("id", "chunk", "other", "other_chunk")
 
+    def first_bounded(met: DataFrame) -> DataFrame:
+        """Pairs that can link, from the n-grams that may be the first one shared, by sizes and places.
+
+        Those lie near the start of both sets, and of the ones that are shared there none is left out: whatever else
+        is shared comes after the last of them.
+        """
+        x, y = F.col("size"), F.col("other_size")
+        need = F.ceil(F.lit(percent) * (x + y) / (100 + percent))
+        met = met.where(100 * F.least(x, y) >= percent * F.greatest(x, y))
+        met = met.where(F.least(x - F.col("pos"), y - F.col("other_pos")) >= need)
+        met = met.groupBy("id", "chunk", "size", "other", "other_chunk", "other_size").agg(
+            F.count("*").alias("shared"), F.max("pos").alias("pos"), F.max("other_pos").alias("other_pos")
+        )
+        after = F.least(x - F.col("pos") - 1, y - F.col("other_pos") - 1)
+        return met.where(F.col("shared") + after >= need).select("id", "chunk", "other", "other_chunk")
+
     tested = links = None
     part = index.withColumn("component", F.col("id"))
     for turn in range(ROUNDS):
@@ -313,14 +329,16 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         part = staged(part.withColumn("apart", apart).where("apart").drop("apart"), "open")
     sizes = joined.groupBy("component").agg((F.count("*") + 1).alias("members"))
     part = staged(part.join(sizes, "component", "left").fillna(1, ["members"]), "open")
-    # The bounds on sizes and places hold for two components if they can hold for some two of their members.
-    places = [F.min("size").alias("low"), F.max("size").alias("high"), F.max("pos").alias("far"), F.max(F.expr("size - pos - 1")).alias("left")]
+    # The first n-gram that two linked sets share has no shared one before it: all others come after it in both. So
+    # two components meet at an n-gram only if for some two of their members enough can come after it.
+    places = [F.min("size").alias("low"), F.max("size").alias("high"), F.max(F.expr("size - pos - 1")).alias("left")]
     sides = part.groupBy("token", "component", "members").agg(*places)
-    hosts = sides.select("token", F.col("component").alias("host"), *[F.col(c).alias(f"host_{c}") for c in ("members", "low", "high", "far", "left")])
+    sides = staged(sides, "sides")
+    hosts = sides.select("token", F.col("component").alias("host"), *[F.col(c).alias(f"host_{c}") for c in ("members", "low", "high", "left")])
     sides = sides.join(hosts, "token").where(F.struct("members", "component") < F.struct("host_members", "host"))
     sides = sides.where(100 * F.least("high", "host_high") >= percent * F.greatest("low", "host_low"))
     need = F.ceil(F.lit(percent) * (F.col("low") + F.col("host_low")) / (100 + percent))
-    sides = sides.where(F.least("far", "host_far") + 1 + F.least("left", "host_left") >= need)
+    sides = sides.where(1 + F.least("left", "host_left") >= need)
     sides = sides.select("token", "component", "host", "host_members")
     # A large component is visited: its members are not paired one by one, each chunk looks through those it has.
     large = part.where(F.col("members") >= BIG).select("chunk", "component", "id").distinct()
@@ -329,7 +347,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     visits = staged(visits.join(large.select("chunk", "component").distinct(), "component"), "visits")
     beyond = part.select("token", F.col("component").alias("host"), *as_other(*told))
     met = part.join(sides.where(F.col("host_members") < BIG), ["token", "component"]).join(beyond, ["token", "host"])
-    pairs = bounded(met)
+    pairs = first_bounded(met)
     known = tested.select("id", "other").unionByName(tested.select(F.col("other").alias("id"), F.col("id").alias("other")))
     pairs = staged(pairs.join(known, ["id", "other"], "left_anti"), "pairs")
     links = links.unionByName(compared(pairs, visits, large))
