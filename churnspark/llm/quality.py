@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnspark.llm.labelled import draw_labelled
 from churnspark.llm.rows import blocks_of, with_text_columns
 from churnspark.llm.words import LOWER, split_words, word_hashes
 
-SAMPLE_DOCS = 4_000  # labelled documents that vote, at most about so many
+EACH = 2_000  # distinct labelled texts of each label that vote, at most
 WORDS, ENDS, SHAPES = 4096, 2048, 2048  # hashed words; hashed last three bytes; shapes and repeats
 REPEATS = (0.05, 0.1, 0.2, 0.3, 0.5)  # shares of immediately repeated words, each a feature once it is reached
 FEATURES = WORDS + ENDS + SHAPES
@@ -66,6 +67,7 @@ class QualityModel(NamedTuple):
     space: np.ndarray  # features x dimensions
     vectors: np.ndarray  # labelled documents in that space, unit length
     labels: np.ndarray
+    weights: np.ndarray  # how many distinct labelled texts each stands for
     base: float  # share of label 1
 
 
@@ -79,16 +81,18 @@ def latent_space(rows: np.ndarray, dimensions: int, seed: int = 7) -> np.ndarray
     return (basis @ turn.T)[:, :dimensions].astype(np.float32)
 
 
-def fit_quality_model(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE_DOCS) -> QualityModel:
-    """Fit on a hash sample of about ``sample`` rows with a non-null text and label; fewer rows are all used.
+def fit_quality_model(
+    docs: DataFrame, text_col: str = "text", label_col: str = "quality", each: int = EACH, labels: DataFrame | None = None, id_col: str = "doc_id"
+) -> QualityModel:
+    """Fit on at most ``each`` distinct texts of label 0 and of label 1, drawn by hash rank.
 
-    The sample's term vectors (sparse, computed by the executors) come to the driver, which finds the latent
-    space; the bound is the parameter. Without labelled rows every text scores one half.
+    The label is a column of ``docs`` or, joined by ``id_col``, of ``labels``; texts themselves do not take part in
+    that join. The term vectors of the drawn texts (sparse, computed by the executors) come to the driver, which
+    finds the latent space; the bound is the parameter. Copies of a text vote once, and a vote weighs as many
+    distinct texts of its label as it was drawn from. Without labelled rows every text scores one half.
     """
-    known = labelled.select(labelled[text_col].alias("text"), labelled[label_col].cast("int").alias("label")).dropna()
-    n = known.count()
-    if n > sample:
-        known = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(sample / n * (1 << 20)))
+    known = draw_labelled(docs, label_col, each, text_col, labels, id_col).where("CAST(label AS INT) IN (0, 1)")
+    known = known.select("text", F.col("label").cast("int").alias("label"), "of")
 
     def sparse(batches):
         for batch in batches:
@@ -100,23 +104,27 @@ def fit_quality_model(labelled: DataFrame, text_col: str = "text", label_col: st
                     "at": pa.array(at, pa.list_(pa.int32())),
                     "value": pa.array([r[i] for r, i in zip(rows, at, strict=True)], pa.list_(pa.float32())),
                     "label": batch.column(1).slice(start, len(texts)),
+                    "of": batch.column(2).slice(start, len(texts)),
                 })
                 start += len(texts)
 
-    got = known.mapInArrow(sparse, "at array<int>, value array<float>, label int").collect()
+    got = known.mapInArrow(sparse, "at array<int>, value array<float>, label int, of long").collect()
     if not got:
         none = np.zeros((0, 1), np.float32)
-        return QualityModel(np.ones(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32), none, np.zeros(0), 0.5)
+        return QualityModel(np.ones(FEATURES, np.float32), np.zeros((FEATURES, 1), np.float32), none, np.zeros(0), np.zeros(0), 0.5)
     got.sort(key=lambda r: (r.label, r.at, r.value))  # the fit does not depend on the order of partitions
     rows = np.zeros((len(got), FEATURES), np.float32)
     for i, r in enumerate(got):
         rows[i, r.at] = r.value
     labels = np.array([r.label for r in got], np.float64)
+    weights = np.array([r.of for r in got], np.float64)
+    for label in (0, 1):
+        weights[labels == label] /= max(1, (labels == label).sum())
     del got
     rarity = (np.log((1 + len(rows)) / (1 + (rows > 0).sum(axis=0))) + 0.1).astype(np.float32)
     rows = unit(rows * rarity)
     space = latent_space(rows, DIMENSIONS)
-    return QualityModel(rarity, space, unit(rows @ space), labels, float(labels.mean()))
+    return QualityModel(rarity, space, unit(rows @ space), labels, weights, float(np.average(labels, weights=weights)))
 
 
 def vote(model: QualityModel, texts: list[bytes | None]) -> np.ndarray:
@@ -128,7 +136,7 @@ def vote(model: QualityModel, texts: list[bytes | None]) -> np.ndarray:
     likeness = latent @ model.vectors.T  # exact cosines with every labelled document
     k = min(NEIGHBOURS, likeness.shape[1])
     near = np.argpartition(-likeness, k - 1, axis=1)[:, :k]
-    weight = np.maximum(np.take_along_axis(likeness, near, axis=1), 0).astype(np.float64) ** SHARPNESS
+    weight = np.maximum(np.take_along_axis(likeness, near, axis=1), 0).astype(np.float64) ** SHARPNESS * model.weights[near]
     total = weight.sum(axis=1)
     some = total > 0
     found[some] = (weight * model.labels[near]).sum(axis=1)[some] / total[some]
@@ -139,7 +147,7 @@ def score_quality(docs: DataFrame, model: QualityModel, text_col: str = "text")
     """All columns of ``docs`` with score (0 to 1, higher: label 1 likelier) and predicted (score >= 0.5).
 
     Every text is compared with all labelled vectors; the nearest 15 vote, weighted by the fourth power of
-    their cosine. A null, empty or wordless text has no direction and gets the labels' base rate. Columns named
+    their cosine and the number of texts they stand for. A null, empty or wordless text has no direction and gets the labels' base rate. Columns named
     score or predicted are replaced, repeated rows score alike, an empty table gives no rows.
     """
     schema = T.StructType([T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])

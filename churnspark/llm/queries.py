@@ -128,7 +128,7 @@ def op9_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = _table(spark, sf_dir, "labels").select("doc_id", "quality").where(~_held_out(3, 1)).dropna()
-    model = fit_quality_model(docs.join(labels, "doc_id"))
+    model = fit_quality_model(docs, labels=labels)
     found = score_quality(docs, model)
     return found.select("doc_id", _held_out(3, 1).alias("held_out"), "score", "predicted")
 
