@@ -14,14 +14,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from churnspark.llm.labelled import draw_labelled
 from churnspark.llm.rows import with_text_columns
 
-SAMPLE_DOCS = 10_000  # labelled documents the model is fitted on, at most about so many
-WORDS_PER_LANGUAGE = 20_000
-GRAMS_PER_LANGUAGE = 5_000  # of each length
+EACH = 2_500  # distinct labelled texts of each language that the model is fitted on, at most
 LONGEST = 5
 SMOOTHING = 0.5
-EVIDENCE = 40  # words of evidence that a long text counts for
+EVIDENCE = 40  # words of evidence that a long text counts for, unless told otherwise
 CACHED = 500_000  # scored pieces of text a task remembers
 UNKNOWN = "und"
 
@@ -50,16 +49,18 @@ class LanguageModel(NamedTuple):
     rows: np.ndarray  # log frequency in each language
 
 
-def fit_language_model(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE_DOCS) -> LanguageModel:
-    """Count words and character n-grams per language over a hash sample of about ``sample`` labelled texts.
+def fit_language_model(
+    labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", each: int = EACH, most_words: int | None = None, most_grams: int | None = None
+) -> LanguageModel:
+    """Count words and character n-grams per language over at most ``each`` distinct texts of every language.
 
-    Rows with a null text or language are left out; with fewer labelled rows than the bound all are used.
-    Per language the most frequent words and n-grams are kept, so the model has a size bound of its own.
+    The texts are drawn by hash rank within their language, so a rare language is fitted on all its texts and
+    copies count once. All words and n-grams of the drawn texts are kept, or per language the most frequent
+    ``most_words`` and, of each length, ``most_grams``. The model grows with the number of languages and with
+    ``each``, not with the table. Rows with a null text or language are left out.
     """
-    known = labelled.select(labelled[text_col].alias("text"), labelled[lang_col].cast("string").alias("lang")).dropna()
-    n = known.count()
-    if n > sample:
-        known = known.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < int(sample / n * (1 << 20)))
+    drawn = draw_labelled(labelled, lang_col, each, text_col)
+    known = drawn.select("text", F.col("label").cast("string").alias("lang"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -82,11 +83,12 @@ def fit_language_model(labelled: DataFrame, text_col: str = "text", lang_col: st
 
     counts = known.mapInArrow(count, "lang string, size int, gram string, n long").groupBy("lang", "size", "gram")
     counts = counts.agg(F.sum("n").alias("n"))
-    ranked = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram")
-    most = F.when(F.col("size") == 0, WORDS_PER_LANGUAGE).otherwise(GRAMS_PER_LANGUAGE)
-    total = F.sum("n").over(Window.partitionBy("lang", "size"))
-    best = counts.select("*", F.row_number().over(ranked).alias("rank"), total.alias("total")).where(F.col("rank") <= most)
-    rows = best.select("lang", "size", "gram", "n", "total").collect()  # bounded by the limits above
+    counts = counts.withColumn("total", F.sum("n").over(Window.partitionBy("lang", "size")))
+    for most, size in ((most_words, F.col("size") == 0), (most_grams, F.col("size") > 0)):
+        if most is not None:
+            ranked = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram")
+            counts = counts.withColumn("rank", F.row_number().over(ranked)).where(~size | (F.col("rank") <= most)).drop("rank")
+    rows = counts.select("lang", "size", "gram", "n", "total").collect()  # of the drawn texts, a bounded number per language
 
     languages = sorted({r.lang for r in rows})
     place = {lang: i for i, lang in enumerate(languages)}
@@ -144,14 +146,14 @@ def piece_scores(model: LanguageModel, pieces: list[str]) -> np.ndarray:
     return out
 
 
-def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", share_col: str | None = None) -> DataFrame:
+def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "text", share_col: str | None = None, evidence: int = EVIDENCE) -> DataFrame:
     """All columns of ``docs`` with lang_pred and score (columns of these names are replaced).
 
     The score is that of the words with evidence alone. ``share_col`` names a further column for their share of
     the words with letters; the even chance that a score has to be held against is 1 / number of languages.
 
-    The score is the model's probability of the predicted language, with a text's evidence limited to 40 words
-    so that long texts do not all score 1. A text that is null or has no letter, or any text under a model
+    The score is the model's probability of the predicted language, whose evidence counts for no more than
+    ``evidence`` words (the mean over all its words is used), so that long texts do not all score 1. A text that is null or has no letter, or any text under a model
     without languages, is `und` with score 0. Letters of which no n-gram is known leave all languages equal;
     ties go to the first language by name. Whole texts are read, repeated rows are scored alike, an empty
     table gives no rows.
@@ -183,8 +185,8 @@ def predict_language(docs: DataFrame, model: LanguageModel, text_col: str = "tex
                 scores.append(0.0)
                 continue
             words = found[-2]
-            evidence = found[:-2] / max(words, 1) * min(words, EVIDENCE)
-            chance = np.exp((evidence - evidence.max()).astype(np.float64))
+            logs = found[:-2] / max(words, 1) * min(words, evidence)
+            chance = np.exp((logs - logs.max()).astype(np.float64))
             best = int(chance.argmax())
             langs.append(model.languages[best])
             scores.append(float(chance[best] / chance.sum()))
