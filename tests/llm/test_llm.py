@@ -62,7 +62,7 @@ def test_query_equals_sql(spark, sf, name):
 
 
 def test_registered():
-    assert len([q for q in LLM_QUERIES if q.startswith("op")]) == 10
+    assert len([q for q in LLM_QUERIES if q.startswith("op")]) == 13
 
 
 # Words and hashes
