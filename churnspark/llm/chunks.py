@@ -20,11 +20,16 @@ NULL_ID = -(1 << 63)  # stands for a null id and so sorts first
 def chunked(docs: DataFrame, id_col: str, text_col: str, null_id: int = NULL_ID) -> tuple[DataFrame, int]:
     """Rows (chunk, id, text), all other columns left out, and the number of chunks."""
     rows = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(null_id)).alias("id"), docs[text_col].alias("text"))
-    total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
-    n = max(1, -(-int(total) // CHUNK_BYTES))
+    n = chunk_count(rows)
     return rows.select(chunk_of("id", n).alias("chunk"), "id", "text"), n
 
 
+def chunk_count(rows: DataFrame) -> int:
+    """How many chunks the column ``text`` fills."""
+    total = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 64)).first()[0] or 0
+    return max(1, -(-int(total) // CHUNK_BYTES))
+
+
 def chunk_of(id_col: str, n: int) -> Column:
     return F.pmod(F.xxhash64(id_col), F.lit(n).cast("long"))
 

@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from churnspark.llm.chunks import chunk_of, chunked, ordered_texts, shown_id, signed
+from churnspark.llm.chunks import chunk_count, chunk_of, ordered_texts, signed
 from churnspark.llm.components import components
 from churnspark.llm.rows import blocks_of
 from churnspark.llm.words import mixed, split_words, whole_windows, window_hashes, word_hashes
@@ -21,7 +21,6 @@ SLICE, SALTS = 1 << 12, 64  # buckets in a row of counts; groups of tasks whose
 BLOCK = 64  # n-grams compared at a time on a path of the tree
 LEADS, ROUNDS = 4, 2  # members that a group's others are compared with first, and how often that is done
 BIG = 64  # members from which a component is visited as a whole, chunk by chunk
-NULL_LAST = (1 << 63) - 1
 
 
 def tokens(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -161,23 +160,29 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
       Pairs within a component need no further link and pairs across components are all covered.
     * Comparisons are exact, over prefix trees (see ``linked``); sets travel between chunks once per chunk.
 
-    Documents without words (null, empty) have 0 n-grams and are alone. Rows that share an id, null included,
-    are one document for linking. A null id never is a component's smallest id unless it is alone. Extra columns
-    are ignored; an empty table gives no rows.
+    Every row is a document of its own, known by a 64-bit hash of id and text; rows equal in both are one. So rows that
+    share an id, null included, link by their texts only. Documents without words (null, empty) have 0 n-grams and
+    are alone. A component's smallest id is never null unless all its ids are. Extra columns are ignored; an empty
+    table gives no rows.
     """
     ranks = frequency_ranks(docs, text_col, width)
-    texts, n_chunks = chunked(docs, id_col, text_col, NULL_LAST)
+    # From here on ``id`` is a row's hash, which also deals the rows to chunks, and ``doc`` the id of the document.
+    texts = docs.select(docs[id_col].cast("long").alias("doc"), docs[text_col].alias("text"))
+    texts = texts.select(F.xxhash64("doc", "text").alias("id"), "doc", "text")
+    n_chunks = chunk_count(texts)
+    texts = texts.withColumn("chunk", chunk_of("id", n_chunks))
 
     def prints(batches):
         for batch in batches:
             start = 0
-            for raw in blocks_of(batch.column(1).cast(pa.large_binary())):
+            for raw in blocks_of(batch.column(2).cast(pa.large_binary())):
                 sets = ordered_sets(raw, width, ranks)
                 sums = [(s.sum(dtype=np.uint64), mixed(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64)) for s in map(mixed, sets)]
                 one, two = (np.array([s[k] for s in sums], np.uint64) for k in (0, 1))
                 prefix = [s[: len(s) - (-(-percent * len(s) // 100)) + 1].view(np.int64) for s in sets]
                 yield pa.RecordBatch.from_pydict({
                     "id": batch.column(0).slice(start, len(raw)),
+                    "doc": batch.column(1).slice(start, len(raw)),
                     "size": pa.array([len(s) for s in sets], pa.int64()),
                     "one": signed(one),
                     "two": signed(two),
@@ -185,7 +190,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 })
                 start += len(raw)
 
-    printed = staged(texts.select("id", "text").mapInArrow(prints, "id long, size long, one long, two long, prefix array<long>"), "prints")
+    printed = staged(texts.select("id", "doc", "text").mapInArrow(prints, "id long, doc long, size long, one long, two long, prefix array<long>"), "prints")
     classes = staged(printed.where("size > 0").groupBy("one", "two", "size").agg(F.min("id").alias("rep")), "classes")
 
     def sets_of(left: pa.Table, wanted) -> dict[int, list[np.ndarray]]:
@@ -199,8 +204,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 mine.append(s)
         return found
 
-    # Repeated rows may be counted twice here; that only lets a few more pairs through to the exact comparison.
-    reps = printed.join(classes.select("one", "two", F.col("rep").alias("id")), ["one", "two", "id"])
+    reps = printed.drop("doc").join(classes.select("one", "two", F.col("rep").alias("id")), ["one", "two", "id"]).dropDuplicates(["id", "one", "two"])
     index = reps.select(F.posexplode("prefix").alias("pos", "token"), "id", "size")
     same = Window.partitionBy("token")
     index = index.withColumn("n", F.count("*").over(same)).where("n > 1").select("token", "id", "pos", "size")
@@ -351,13 +355,15 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = tested.select("id", "other").unionByName(tested.select(F.col("other").alias("id"), F.col("id").alias("other")))
     pairs = staged(pairs.join(known, ["id", "other"], "left_anti"), "pairs")
     links = links.unionByName(compared(pairs, visits, large))
-    # Rows that share an id are one document.
-    same_id = classes.join(printed, ["one", "two", "size"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    joined = components(links.unionByName(same_id))
-
-    result = printed.join(joined, "id", "left").select("id", "size", F.coalesce("component", "id").alias("component"))
-    return result.select(
-        shown_id("id", NULL_LAST).alias(id_col),
+    # Rows with equal sets.
+    same_set = classes.join(printed, ["one", "two", "size"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    joined = components(links.unionByName(same_set))
+
+    found = printed.select("id", "doc", "size").join(joined, "id", "left")
+    found = staged(found.withColumn("component", F.when(F.col("size") > 0, F.coalesce("component", "id"))), "found")
+    smallest = found.groupBy("component").agg(F.min("doc").alias("smallest"))
+    return found.join(smallest, "component", "left").select(
+        F.col("doc").alias(id_col),
         F.col("size").alias("n_shingles"),
-        shown_id("component", NULL_LAST).alias("component_id"),
+        F.when(F.col("size") > 0, F.col("smallest")).otherwise(F.col("doc")).alias("component_id"),
     )

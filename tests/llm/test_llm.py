@@ -189,6 +189,18 @@ def test_ngram_join_repeats_and_null_ids(spark):
     assert got == [(7, 2, 7), (7, 2, 7), (9, 2, 7), (None, 2, 7)]
 
 
+def test_ngram_join_texts_that_share_an_id(spark):
+    """Unrelated texts under one id do not join the documents near them."""
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(7, a, "", ""), (7, b, "", ""), (8, a + " end", "", ""), (9, b + " end", "", "")]
+    rows += [(None, a + " null", "", ""), (None, "alone by itself here", "", ""), (None, None, "", ""), (10, None, "", "")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join(docs_frame(spark, rows)).collect()), key=str)
+    assert got == sorted([(7, 57, 7), (7, 57, 7), (8, 58, 7), (9, 58, 7), (None, 58, 7), (None, 1, None), (None, 0, None), (10, 0, 10)], key=str)
+    far = [(1, a, "", ""), (5, b, "", ""), (5, a + " end", "", ""), (6, b + " end", "", "")]
+    assert {r.component_id for r in ngram_join(docs_frame(spark, far)).where("doc_id = 6").collect()} == {5}
+    assert sorted(r.component_id for r in ngram_join(docs_frame(spark, far)).where("doc_id = 5").collect()) == [1, 5]
+
+
 # 4 Chat
 
 
@@ -424,6 +436,22 @@ def test_pipeline(spark, sf):
     assert shard(spark, mixed, sf).count() == mixed.count()
 
 
+def test_pipeline_leaves_extra_columns_alone(spark, sf):
+    """Columns that are named like those the stages use inside come back as they were; the last row of a kind is odd."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet").where("doc_id < 60")
+    names = ["score", "lang_pred", "clean_key", "times", "_time", "row", "digest", "number", "known", "text_key", "component_id", "a.b"]
+    extra = docs.select("*", *[F.concat(F.lit(f"{c}:"), "doc_id").alias(c) for c in names])
+    odd = spark.createDataFrame([(None, None, None, None), (900, "", None, "s"), (901, None, "en", None)], "doc_id long, text string, lang string, source string")
+    extra = extra.unionByName(odd, allowMissingColumns=True)
+    want = {r.doc_id: tuple(r) for r in extra.collect()}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, extra, sf)
+        assert out.columns == extra.columns
+        got = out.collect()
+        assert len(got) > 20 and all(want[r.doc_id] == tuple(r) for r in got), name
+    assert corpus_pipeline.sharding_stage(spark, extra, sf).count() == len(want)
+
+
 def test_pipeline_of_nothing(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
