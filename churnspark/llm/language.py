@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from churnspark.llm.labelled import draw_labelled
 from churnspark.llm.rows import with_text_columns
 
-EACH = 2_500  # distinct labelled texts of each language that the model is fitted on, at most
+EACH = 1_500  # distinct labelled texts of each language that the model is fitted on, at most
 LONGEST = 5
 SMOOTHING = 0.5
 EVIDENCE = 40  # words of evidence that a long text counts for, unless told otherwise
@@ -88,26 +88,33 @@ def fit_language_model(
         if most is not None:
             ranked = Window.partitionBy("lang", "size").orderBy(F.desc("n"), "gram")
             counts = counts.withColumn("rank", F.row_number().over(ranked)).where(~size | (F.col("rank") <= most)).drop("rank")
-    rows = counts.select("lang", "size", "gram", "n", "total").collect()  # of the drawn texts, a bounded number per language
+    found = counts.select("lang", "size", "gram", "n", "total").toArrow().combine_chunks()  # of the drawn texts, a bounded number per language
 
-    languages = sorted({r.lang for r in rows})
-    place = {lang: i for i, lang in enumerate(languages)}
-    tables: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+    languages = sorted(found["lang"].unique().to_pylist())
+    lang = np.array([languages.index(x) for x in found["lang"].unique().to_pylist()], np.int64)[_codes(found["lang"])[1]]
+    sizes, n = found["size"].to_numpy(), found["n"].to_numpy()
+    tables: list[dict[str, int]] = []
+    parts = [np.zeros((0, max(1, len(languages))), np.float32)]
     at = 0
-    for r in sorted(rows, key=lambda r: (r.size, r.gram)):
-        if r.gram not in tables[r.size]:
-            tables[r.size][r.gram] = at
-            at += 1
-    counted = np.full((at, max(1, len(languages))), SMOOTHING)
-    totals = np.ones((LONGEST + 1, max(1, len(languages))))
-    for r in rows:
-        counted[tables[r.size][r.gram], place[r.lang]] += r.n
-        totals[r.size, place[r.lang]] = r.total
-    for size, table in enumerate(tables):
-        if table:
-            ids = list(table.values())
-            counted[ids] = np.log(counted[ids] / (totals[size] + SMOOTHING * len(table)))
-    return LanguageModel(languages, tables, counted.astype(np.float32))
+    for size in range(LONGEST + 1):
+        mine = np.flatnonzero(sizes == size)
+        names, code = _codes(found["gram"].take(pa.array(mine)))
+        tables.append(dict(zip(names, range(at, at + len(names)), strict=True)))
+        counted = np.full((len(names), max(1, len(languages))), SMOOTHING)
+        np.add.at(counted, (code, lang[mine]), n[mine])
+        totals = np.ones(max(1, len(languages)))
+        totals[lang[mine]] = found["total"].to_numpy()[mine]
+        if names:
+            parts.append(np.log(counted / (totals + SMOOTHING * len(names))).astype(np.float32))
+        at += len(names)
+    return LanguageModel(languages, tables, np.concatenate(parts))
+
+
+def _codes(texts: pa.ChunkedArray) -> tuple[list[str], np.ndarray]:
+    """The distinct texts of a column and, for each row, which it is."""
+    coded = texts.combine_chunks().dictionary_encode() if len(texts) else pa.array([], pa.string()).dictionary_encode()
+    coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
 
 
 def evidence_rows(model: LanguageModel, word: str) -> list[int]:
