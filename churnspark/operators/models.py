@@ -47,7 +47,8 @@ def with_target(df: DataFrame, label: str, positive: str) -> DataFrame:
     return df.withColumn("target", (F.col(label) == positive).cast("double"))
 
 
-FOREST_PARTITIONS = 8  # of a forest's training rows; part of the model, as each partition draws its own samples
+FOREST_PARTITIONS = 8  # of a forest's training rows, at least; part of the model, as each partition draws its own samples
+FOREST_BYTES = 32 << 20  # of vectors in a partition, at most, unless the number of partitions is given
 
 
 def _encoded(prep: PipelineModel, df: DataFrame, keep=()) -> tuple[DataFrame, int]:
@@ -187,17 +188,20 @@ def param_search(train: DataFrame, test: DataFrame, spec: FeatureSpec, label: st
 
 def fit_forest(
     train: DataFrame, spec: FeatureSpec, label: str, positive: str = "Yes", trees: int = 100, max_depth: int = 30, seed: int = 42,
-    partitions: int = FOREST_PARTITIONS,
+    partitions: int | None = None,
 ) -> PipelineModel:
     """Random forest on scaled codes and numerics; the codes count as numbers, not as categories.
 
     Rows are dealt to ``partitions`` by the hash of all they hold and ordered there. The samples of the trees follow
-    from that, so the model depends on rows, parameters and seed only. A large table wants a larger ``partitions``.
+    from that, so the model depends on rows, parameters and seed only. Without a number there are as
+    many as the bytes of the vectors ask for.
     """
     train = with_target(train, label, positive)
     prep = Pipeline(stages=preparation(spec, onehot=False)).fit(train)
     # The written vector carries no nominal metadata, so every split is a threshold.
-    data = dealt(_encoded(prep, train, keep=["raw"])[0], partitions)
+    encoded, n = _encoded(prep, train, keep=["raw"])
+    partitions = partitions or max(FOREST_PARTITIONS, -(-n * len(spec.features) * 8 // FOREST_BYTES))
+    data = dealt(encoded, partitions)
     # Deep trees: keeping each row's node beside the rows is cheaper than sending the trees to every task.
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="target", numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed,
