@@ -152,3 +152,32 @@ def density_by_class(df: DataFrame, col: str, by: str, grid: int = 200, cut: flo
         .agg(F.sum(bump).alias("s"))
         .select(by, "point", "x", (F.col("s") / (F.col("h") * math.sqrt(2 * math.pi)) / total).alias("density"))
     )
+
+
+def binned_density(df: DataFrame, col: str, by: str, grid: int = 200, cut: float = 3.0, cells: int = 4096) -> DataFrame:
+    """What :func:`density_by_class` returns, from a fixed number of cells instead of all distinct values.
+
+    A value's weight goes to the two cell points next to it, the nearer the more, and the densities are sums over
+    the cell points: ``grid`` x ``cells`` terms a class whatever the table. With d the distance of cell points in
+    bandwidths, a density is off by at most d^2 / 8 of the curve's greatest bend: less than 1e-5 of the greatest
+    possible density for ranges up to 30 bandwidths.
+    """
+    src = df.select(by, F.col(col).cast("double").alias("v")).filter(F.col(by).isNotNull() & F.col("v").isNotNull())
+    shape = src.groupBy(by).agg(F.count("*").alias("n"), F.stddev_samp("v").alias("sd"), F.min("v").alias("least"), F.max("v").alias("most"))
+    total = shape.agg(F.sum("n")).first()[0]
+    shape = shape.filter((F.col("n") > 1) & (F.col("sd") > 0)).withColumn("h", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
+    ends = shape.select(by, "h", (F.col("least") - cut * F.col("h")).alias("lo"), (F.col("most") + cut * F.col("h")).alias("hi"))
+    shape = staged(ends.withColumn("step", (F.col("hi") - F.col("lo")) / (cells - 1)), "density_shape")
+    place = (F.col("v") - F.col("lo")) / F.col("step")
+    near = src.join(broadcast_if_small(shape), by).select(by, "lo", "hi", "h", "step", F.floor(place).alias("i"), (place - F.floor(place)).alias("far"))
+    shares = F.array(F.struct("i", (1 - F.col("far")).alias("w")), F.struct((F.col("i") + 1).alias("i"), F.col("far").alias("w")))
+    held = near.select(by, "lo", "hi", "h", "step", F.explode(shares).alias("s")).groupBy(by, "lo", "hi", "h", "step", "s.i").agg(F.sum("s.w").alias("w"))
+    x = F.col("lo") + F.col("point") * (F.col("hi") - F.col("lo")) / (grid - 1)
+    bump = F.col("w") * F.exp(-0.5 * ((F.col("x") - F.col("lo") - F.col("i") * F.col("step")) / F.col("h")) ** 2)
+    return (
+        held.withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(grid - 1))))
+        .withColumn("x", x)
+        .groupBy(by, "point", "x", "h")
+        .agg(F.sum(bump).alias("s"))
+        .select(by, "point", "x", (F.col("s") / (F.col("h") * math.sqrt(2 * math.pi)) / (total or 1)).alias("density"))
+    )

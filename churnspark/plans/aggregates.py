@@ -146,6 +146,23 @@ def density_by_class(spark, sf):
     return d.select("churn", "point", F.round("x", 6).alias("x"), F.round("density", 9).alias("density"))
 
 
+@query(
+    f"""with {CHURN_CTE}, v as (select churn, monthly_charges as v from churn where churn is not null and monthly_charges is not null),
+    s as (select churn, stddev_samp(v) * pow(count(*), -0.2e0) as h, min(v) as mn, max(v) as mx from v group by churn),
+    g as (select churn, h, mn - 3 * h as lo, mx + 3 * h as hi, ((mx + 3 * h) - (mn - 3 * h)) / 4095 as step from s),
+    c as (select g.churn, floor((v - lo) / step) as i, (v - lo) / step - floor((v - lo) / step) as far from v join g on v.churn = g.churn),
+    w as (select churn, i, sum(w) as w from (select churn, i, 1 - far as w from c union all select churn, i + 1, far from c) group by churn, i),
+    p as (select *, unnest(range(200)) as point from g)
+    select p.churn, cast(point as integer) as point, round(lo + point * (hi - lo) / 199, 4) as x,
+      round(1e6 * sum(w * exp(-0.5e0 * pow((lo + point * (hi - lo) / 199 - lo - i * step) / h, 2))) / (any_value(h) * sqrt(2 * pi())) / (select count(*) from v), 6) as density
+    from p join w on p.churn = w.churn group by p.churn, point, lo, hi"""
+)
+def binned_density(spark, sf):
+    """Densities per million of the mean charge, a column with as many values as rows."""
+    d = P.binned_density(churn_frame(spark, sf), "monthly_charges", "churn")
+    return d.select("churn", "point", F.round("x", 4).alias("x"), F.round(1e6 * F.col("density"), 6).alias("density"))
+
+
 @query(f"with {SCORES_CTE} select y as actual, yhat as predicted, count(*) as n from scores where y is not null group by y, yhat")
 def confusion_matrix(spark, sf):
     return E.confusion(labelled_scores(spark, sf), "y", "yhat")

@@ -98,3 +98,13 @@ def test_density_holds_one(spark):
         pts.sort()
         area += sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(pts, pts[1:]))
     assert area == pytest.approx(1.0, abs=0.01)
+
+
+def test_binned_density_is_near_the_exact_one(spark):
+    rows = spark.range(4000).select(F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("k"), (F.sqrt(F.col("id")) + F.col("id") % 7).alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([("c", 1.0), (None, 2.0), ("a", None)], "k string, v double"))
+    exact = {(r.k, r.point): (r.x, r.density) for r in P.density_by_class(rows, "v", "k").collect()}
+    binned = {(r.k, r.point): (r.x, r.density) for r in P.binned_density(rows, "v", "k").collect()}
+    top = max(d for _, d in exact.values())
+    assert set(exact) == set(binned) and len(exact) == 400
+    assert all(abs(exact[p][0] - binned[p][0]) < 1e-9 and abs(exact[p][1] - binned[p][1]) < 1e-5 * top for p in exact)
