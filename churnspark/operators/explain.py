@@ -344,18 +344,21 @@ def feature_meta(stats: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def feature_card(df: DataFrame, key: str, spec: FeatureSpec, stats: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Per row and feature: its value, its weight (0 when not chosen), and mean/min/max or the category list.
+    """Per row and feature: its value (and, of a numeric feature, the number), its weight (0 when not chosen), and
+    mean/min/max or the category list.
 
-    ``df`` holds the key, the features and ``explanation``. The metadata has one row per feature.
+    ``df`` holds the key, the features and ``explanation``. The metadata has one row per feature; it is broadcast only
+    if it is measured to be small.
     """
     meta = feature_meta(stats, dictionary)
     stat = lambda s: F.max(F.when(F.col("name") == s, F.col("stat"))).alias(s)
     levels = F.transform(F.array_sort(F.collect_list(F.when(F.col("code").isNotNull(), F.struct("code", "category")))), lambda e: e["category"])
     meta = meta.groupBy("feature").agg(stat("mean"), stat("min"), stat("max"), levels.alias("categories"))
     fields = df.select(key, "explanation", F.explode(F.array(*[
-        F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value")) for f in spec.features
+        F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("value"), (F.lit(None) if f in spec.categorical else F.col(f)).cast("double").alias("number"))
+        for f in spec.features
     ])).alias("d")).select(key, "d.*", F.coalesce(F.col("explanation")[F.col("d.feature")], F.lit(0.0)).alias("weight"))
-    return fields.join(F.broadcast(meta), "feature", "left")
+    return fields.join(broadcast_if_small(staged(meta, "meta")), "feature", "left")
 
 
 def what_if(df: DataFrame, key: str, feature: str, values: Column, predict: Predict) -> DataFrame:

@@ -238,14 +238,14 @@ _TERMS = {
     "tenure": "-0.12e0 * (tenure - 52)",
     "monthly_charges": "0.000004e0 * (monthly_charges - 250000)",
 }
-_CARD_VALUES = {c: c if c in CATEGORICAL else "null" for c in FEATURES}
+_CARD_VALUES = {c: f"{c} as value, null" if c in CATEGORICAL else f"null as value, {c}" for c in FEATURES}
 
 
 @query(
     f"""with {DICTIONARY_CTE}, {STATS_CTE},
-    f as ({" union all ".join(f"select customer_id, '{c}' as feature, cast({_CARD_VALUES[c]} as varchar) as value, {_TERMS.get(c, '0e0')} as weight from clean" for c in FEATURES)}),
+    f as ({" union all ".join(f"select customer_id, '{c}' as feature, {_CARD_VALUES[c]} as number, {_TERMS.get(c, '0e0')} as weight from clean" for c in FEATURES)}),
     k as (select feature, string_agg(value, '|' order by code) as categories from dictionary group by feature)
-    select customer_id, f.feature, value, round(weight, 6) + 0e0 as weight, round(mean, 2) as mean, min, max, coalesce(categories, '') as categories
+    select customer_id, f.feature, cast(value as varchar) as value, round(cast(number as double), 6) as number, round(weight, 6) + 0e0 as weight, round(mean, 2) as mean, min, max, coalesce(categories, '') as categories
     from f left join stats on f.feature = stats.feature left join k on f.feature = k.feature"""
 )
 def feature_card(spark, sf):
@@ -260,7 +260,7 @@ def feature_card(spark, sf):
     )
     cards = L.feature_card(clean.withColumn("explanation", weights), "customer_id", SPEC, stats, dictionary)
     return cards.select(
-        "customer_id", "feature", F.when(F.col("feature").isin(*CATEGORICAL), F.col("value")).alias("value"),
+        "customer_id", "feature", F.when(F.col("feature").isin(*CATEGORICAL), F.col("value")).alias("value"), F.round("number", 6).alias("number"),
         (F.round("weight", 6) + 0.0).alias("weight"), F.round("mean", 2).alias("mean"), "min", "max",
         F.array_join("categories", "|").alias("categories"),
     )

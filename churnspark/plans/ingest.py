@@ -108,14 +108,17 @@ def register_view(spark, sf):
     return spark.sql("SELECT segment, region, count(*) AS n FROM churn_view GROUP BY segment, region")
 
 
+_ROUNDED = {"tenure": 6, "monthly_charges": 2, "total_charges": 2}
+_RECORD = ["customer_id", "segment", "region", "senior", "last_priority", "tenure", "monthly_charges", "total_charges", "churn", "churn_planted"]
+
+
 @query(
-    f"""with {CHURN_CTE} select customer_id, segment, region, senior, last_priority, round(tenure, 6) as tenure,
-    churn from churn"""
+    f"""with {CHURN_CTE} select customer_id, cast(to_json({{{", ".join(f"'{c}': {f'round({c}, {_ROUNDED[c]})' if c in _ROUNDED else c}" for c in _RECORD)}}}) as varchar) as record from churn"""
 )
 def rows_to_json(spark, sf):
-    """Rows to JSON records and back: the record text holds every field."""
-    fields = churn_frame(spark, sf).select("customer_id", "segment", "region", "senior", "last_priority", F.round("tenure", 6).alias("tenure"), "churn")
-    return T.to_json_records(fields).select(F.from_json("record", fields.schema).alias("r")).select("r.*")
+    """Rows to JSON records, the text itself: every field, absent ones as null."""
+    fields = churn_frame(spark, sf).select(*[(F.round(c, _ROUNDED[c]) if c in _ROUNDED else F.col(c)).alias(c) for c in _RECORD])
+    return T.to_json_records(fields, keep=["customer_id"])
 
 
 METRICS_SCHEMA = "metrics struct<probability: double, input_data: struct<k: bigint>>, uuid string"

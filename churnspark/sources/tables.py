@@ -113,6 +113,6 @@ def describe(spark: SparkSession, name: str, formatted: bool = True) -> DataFram
     return spark.sql(f"{what} IDENTIFIER(:name)", args={"name": name})
 
 
-def to_json_records(df: DataFrame, name: str = "record") -> DataFrame:
-    """Each row as one JSON object; null fields are kept as null."""
-    return df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))
+def to_json_records(df: DataFrame, name: str = "record", keep=()) -> DataFrame:
+    """Each row as one JSON object, beside the columns ``keep``; null fields are kept as null."""
+    return df.select(*keep, F.to_json(F.struct("*"), {"ignoreNullFields": "false"}).alias(name))
