@@ -7,16 +7,17 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from churnspark.operators import explain as L
+from churnspark.operators import forest
 from churnspark.operators.cleaning import cast_request, fill_defaults
 from churnspark.operators.evaluation import accuracy
 from churnspark.operators.features import QUARTILES, FeatureSpec, categories, fit_dictionary, fit_tables, onehot_rows
@@ -47,10 +48,6 @@ def with_target(df: DataFrame, label: str, positive: str) -> DataFrame:
     return df.withColumn("target", (F.col(label) == positive).cast("double"))
 
 
-FOREST_PARTITIONS = 8  # of a forest's training rows, at least; part of the model, as each partition draws its own samples
-FOREST_BYTES = 32 << 20  # of vectors in a partition, at most, unless the number of partitions is given
-
-
 def _encoded(prep: PipelineModel, df: DataFrame, keep=()) -> tuple[DataFrame, int]:
     """Encode once and write: every fit and every iteration reads only vector and target. Also the row count.
 
@@ -60,21 +57,6 @@ def _encoded(prep: PipelineModel, df: DataFrame, keep=()) -> tuple[DataFrame, in
     return data, data.count()
 
 
-def dealt(data: DataFrame, partitions: int) -> DataFrame:
-    """Encoded rows in ordered partitions that depend on the rows alone; copies of one row are spread evenly.
-
-    Rows are placed by the vector before scaling: the last bits of the scaled one follow the order of additions.
-    """
-    same = data.groupBy(vector_to_array("raw").alias("x"), "target")
-    same = same.agg(F.count("*").alias("n"), F.max(vector_to_array("features")).alias("scaled"))
-    held, p = F.xxhash64("x", "target"), F.lit(partitions)
-    spread = same.withColumn("held", held).withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.least("n", p) - 1)))
-    copies = F.floor(F.col("n") / p) + (F.col("i") < F.col("n") % p).cast("long")
-    spread = spread.select("x", "scaled", "target", "held", F.pmod(F.col("held") + F.col("i"), p).alias("part"), copies.cast("int").alias("copies"))
-    placed = spread.repartition(partitions, "part").sortWithinPartitions("part", "held", "x", "target")
-    return placed.select(array_to_vector("scaled").alias("features"), F.explode(F.array_repeat("target", F.col("copies"))).alias("target"))
-
-
 def reg_param(c: float, rows: int, scaled_rows: int) -> float:
     """Spark's strength for inverse strength ``c``: the mean loss replaces the sum over ``rows``.
 
@@ -190,24 +172,15 @@ def fit_forest(
     train: DataFrame, spec: FeatureSpec, label: str, positive: str = "Yes", trees: int = 100, max_depth: int = 30, seed: int = 42,
     partitions: int | None = None,
 ) -> PipelineModel:
-    """Random forest on scaled codes and numerics; the codes count as numbers, not as categories.
+    """Random forest on codes and numerics; the codes count as numbers, not as categories. Scaling would not change
+    its trees and is left out.
 
-    Rows are dealt to ``partitions`` by the hash of all they hold and ordered there. The samples of the trees follow
-    from that, so the model depends on rows, parameters and seed only. Without a number there are as
-    many as the bytes of the vectors ask for.
+    The model depends on rows, parameters and seed only, not on ``partitions``, into which the rows are dealt.
     """
     train = with_target(train, label, positive)
-    prep = Pipeline(stages=preparation(spec, onehot=False)).fit(train)
-    # The written vector carries no nominal metadata, so every split is a threshold.
-    encoded, n = _encoded(prep, train, keep=["raw"])
-    partitions = partitions or max(FOREST_PARTITIONS, -(-n * len(spec.features) * 8 // FOREST_BYTES))
-    data = dealt(encoded, partitions)
-    # Deep trees: keeping each row's node beside the rows is cheaper than sending the trees to every task.
-    forest = RandomForestClassifier(
-        featuresCol="features", labelCol="target", numTrees=trees, maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed,
-        maxBins=128, cacheNodeIds=True,
-    )
-    return PipelineModel(stages=[*prep.stages, forest.fit(data)])
+    prep = Pipeline(stages=preparation(spec, onehot=False)[:-1]).fit(train)
+    encoded = staged(prep.transform(train).select("raw", "target").hint("rebalance"), "encoded")
+    return PipelineModel(stages=[*prep.stages, forest.fit(encoded, len(spec.features), trees, max_depth, seed, partitions)])
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
