@@ -31,7 +31,6 @@ Predict = Callable[[DataFrame], DataFrame]  # adds a double column ``probability
 SELECT_ALPHA, FIT_ALPHA = 0.01, 1.0  # ridge strength while choosing features and for the final weights
 STD_FLOOR = 1e-11  # keeps the spread of a constant bin above zero
 BLOCKS = 4096  # of the unit interval, under which cells are looked up
-BLOCK_VALUES = 1 << 21  # values of the draws compared at a time
 
 
 def _bin(value: Column, cuts: Column) -> Column:
@@ -151,21 +150,31 @@ def gram_columns(features) -> list[str]:
 def weighted_sums(cells: np.ndarray, draws: np.ndarray, y: np.ndarray, kernel: np.ndarray) -> np.ndarray:
     """Sums over the draws for each row of ``cells`` (its own cells), in :func:`gram_columns` order.
 
-    A block of rows at a time: which draws agree in which feature, their weights, and products of these matrices.
+    Cells are numbered by feature, and one row at a time is worked out in buffers that stay in the processor's cache:
+    which draws agree in which feature, their weights, and one product of these matrices.
     """
-    f = draws.shape[1]
+    n, f = draws.shape
+    codes, own = np.empty((f, n), np.int16 if n < 1 << 15 else np.int32), np.empty(cells.shape, np.int64)
+    for a in range(f):
+        levels, codes[a] = np.unique(draws[:, a], return_inverse=True)
+        at = np.searchsorted(levels, cells[:, a])
+        own[:, a] = np.where(np.append(levels, 0)[at] == cells[:, a], at, -1)
+        own[at == len(levels), a] = -1  # in no draw
+    own = own.astype(codes.dtype)
+    agreed = kernel[::-1].astype(float)  # weight by the number of features that agree
     i, j = np.triu_indices(f, 1)
     out = np.empty((len(cells), 2 + 2 * f + len(i)))
-    step = max(1, BLOCK_VALUES // max(1, draws.size))
-    for at in range(0, len(cells), step):
-        z = (cells[at : at + step, :, None] == draws.T[None]).astype(float)  # rows x features x draws
-        w = kernel[f - z.sum(axis=1).astype(np.int64)]
-        wz = z * w[:, None, :]
-        out[at : at + step, 0] = w.sum(axis=1)
-        out[at : at + step, 1] = w @ y
-        out[at : at + step, 2 : 2 + f] = wz.sum(axis=2)
-        out[at : at + step, 2 + f : 2 + 2 * f] = wz @ y
-        out[at : at + step, 2 + 2 * f :] = (wz @ z.transpose(0, 2, 1))[:, i, j]
+    same, z, wz = np.empty((f, n), bool), np.empty((f + 2, n)), np.empty((f, n))
+    z[f], z[f + 1] = 1.0, y
+    for row, mine in zip(out, own, strict=True):
+        np.equal(codes, mine[:, None], out=same)
+        w = agreed[same.sum(axis=0, dtype=np.uint8 if f < 256 else np.int32)]
+        z[:f] = same
+        np.multiply(z[:f], w, out=wz)
+        sums = wz @ z.T
+        row[0], row[1] = w.sum(), w @ y
+        row[2 : 2 + f], row[2 + f : 2 + 2 * f] = sums[:, f], sums[:, f + 1]
+        row[2 + 2 * f :] = sums[i, j]
     return out
 
 
@@ -192,32 +201,56 @@ class Patterns:
         keys = {k: F.xxhash64(F.lit(i), *cells) for i, k in enumerate(self.KEY)}
         return rows.withColumns(keys).drop(*[f"cell_{f}" for f in self.features])
 
-    def solved(self, df: DataFrame, finish: Callable[[np.ndarray], pd.Series], kind: str) -> DataFrame:
-        """(key, out): what ``finish`` makes of the weighted sums of each distinct combination, spread over the tasks."""
+    def solved(self, df: DataFrame, **wanted: tuple[str, Callable[[np.ndarray], list]]) -> DataFrame:
+        """(key, names of ``wanted``): what each function makes of the weighted sums of each distinct combination, given
+        with its SQL type; the sums are worked out once, spread over the tasks."""
         shared, kernel = self.shared, self.perturbation.kernel()
+        makers = {name: make for name, (_, make) in wanted.items()}
 
-        @F.pandas_udf(kind)
-        def run(own: pd.Series) -> pd.Series:
+        @F.pandas_udf(f"struct<{', '.join(f'{name}: {kind}' for name, (kind, _) in wanted.items())}>")
+        def run(own: pd.Series) -> pd.DataFrame:
             if own.empty:
-                return pd.Series([], dtype=object)
+                return pd.DataFrame({name: pd.Series([], dtype=object) for name in makers})
             draws, y = shared.value
-            return finish(weighted_sums(np.stack(own.to_numpy()), draws, y, kernel))
+            sums = weighted_sums(np.stack(own.to_numpy()), draws, y, kernel)
+            return pd.DataFrame({name: pd.Series(make(sums), dtype=object) for name, make in makers.items()})
 
         patterns = self.keyed(df).groupBy(*self.KEY).agg(F.first("pattern").alias("pattern"))
         spread = patterns.repartition(shuffle_partitions(df.sparkSession), *self.KEY)
-        return spread.select(*self.KEY, run("pattern").alias("out"))
+        return spread.select(*self.KEY, run("pattern").alias("_out")).select(*self.KEY, "_out.*")
+
+
+def _looked_up(df: DataFrame, perturbation: Perturbation, predict: Predict, n_samples: int, seed: int, **wanted) -> DataFrame:
+    """``df`` with its probability and what :meth:`Patterns.solved` makes of each row's combination."""
+    patterns = Patterns(perturbation, predict, n_samples, seed)
+    return patterns.keyed(predict(df)).join(patterns.solved(df, **wanted), [*Patterns.KEY])
+
+
+SUMS = {"_sums": ("array<double>", list)}
+
+
+def _fit(f: int, k: int) -> dict:
+    kind = "array<struct<upto: double, chosen: array<int>, base: array<double>, slope: array<double>>>"
+    return {"_ranges": (kind, lambda sums: weights_by_probability(sums, f, k))}
+
+
+def _own_sums(features) -> list[str]:
+    """The sums by name; the row itself agrees with itself in every feature and has weight 1."""
+    return [f"_sums[{i}] + {'probability' if n.startswith('wy') else 'double(1)'} as {n}" for i, n in enumerate(gram_columns(features))]
+
+
+def _with_explanation(rows: DataFrame, features) -> DataFrame:
+    fit = rows.withColumn("_fit", F.expr("get(filter(_ranges, x -> probability <= x.upto), 0)"))
+    names = F.array(*[F.lit(x) for x in features])
+    entries = F.expr("zip_with(_fit.base, _fit.slope, (a, b) -> a + probability * b)")
+    chosen = F.transform("_fit.chosen", lambda i: F.get(names, i))
+    return fit.withColumn("explanation", F.map_from_arrays(chosen, entries))
 
 
 def with_gram(df: DataFrame, perturbation: Perturbation, predict: Predict, n_samples: int = 5000, seed: int = 1) -> DataFrame:
     """``df`` with its probability and the weighted sums of its samples by name, the row itself included."""
-    patterns = Patterns(perturbation, predict, n_samples, seed)
-    table = patterns.solved(df, lambda sums: pd.Series(list(sums), dtype=object), "array<double>")
-    rows = patterns.keyed(predict(df)).join(table, [*Patterns.KEY])
-    # The row itself agrees with itself in every feature and has weight 1.
-    own = [
-        f"out[{i}] + {'probability' if n.startswith('wy') else 'double(1)'} as {n}" for i, n in enumerate(gram_columns(perturbation.spec.features))
-    ]
-    return rows.selectExpr(*df.columns, "probability", *own)
+    rows = _looked_up(df, perturbation, predict, n_samples, seed, **SUMS)
+    return rows.selectExpr(*df.columns, "probability", *_own_sums(perturbation.spec.features))
 
 
 def solve_sums(sums: np.ndarray, f: int, alpha: float, keep: np.ndarray | None = None) -> np.ndarray:
@@ -289,16 +322,17 @@ def explain(
     in which one choice of features holds. Rows look their combination up by its key.
     """
     feats = perturbation.spec.features
-    f = len(feats)
-    patterns = Patterns(perturbation, predict, n_samples, seed)
-    kind = "array<struct<upto: double, chosen: array<int>, base: array<double>, slope: array<double>>>"
-    table = patterns.solved(df, lambda sums: pd.Series(weights_by_probability(sums, f, k), dtype=object), kind)
-    rows = patterns.keyed(predict(df)).join(table, [*Patterns.KEY])
-    fit = rows.withColumn("fit", F.expr("get(filter(out, x -> probability <= x.upto), 0)"))
-    names = F.array(*[F.lit(x) for x in feats])
-    entries = F.expr("zip_with(fit.base, fit.slope, (a, b) -> a + probability * b)")
-    chosen = F.transform("fit.chosen", lambda i: F.get(names, i))
-    return fit.select(*df.columns, "probability", F.map_from_arrays(chosen, entries).alias("explanation"))
+    rows = _looked_up(df, perturbation, predict, n_samples, seed, **_fit(len(feats), k))
+    return _with_explanation(rows, feats).select(*df.columns, "probability", "explanation")
+
+
+def explain_with_gram(
+    df: DataFrame, perturbation: Perturbation, predict: Predict, n_samples: int = 5000, k: int = 10, seed: int = 1
+) -> DataFrame:
+    """What :func:`explain` and :func:`with_gram` add, from one pass over the combinations."""
+    feats = perturbation.spec.features
+    rows = _looked_up(df, perturbation, predict, n_samples, seed, **SUMS, **_fit(len(feats), k))
+    return _with_explanation(rows, feats).selectExpr(*df.columns, "probability", "explanation", *_own_sums(feats))
 
 
 def normal_residual(df: DataFrame, features, alpha: float = FIT_ALPHA, explanation: str = "explanation") -> DataFrame:

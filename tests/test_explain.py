@@ -139,3 +139,27 @@ def test_choices_change_only_where_strengths_cross():
             for p in rng.random(50):
                 chosen = next(c for u, c in pieces if p <= u)
                 assert chosen.tolist() == sorted(np.argsort(-np.abs(row[:, 0] + p * row[:, 1]), kind="stable")[:k].tolist())
+
+
+def test_sums_of_cells_that_no_draw_has_and_no_draws():
+    draws, y = np.array([[5, 7], [5, 8], [6, 8]]), np.array([0.25, 0.5, 1.0])
+    kernel = np.array([1.0, 0.5, 0.25])  # by the number of features that differ
+    got = L.weighted_sums(np.array([[5, 8], [9, 0], [6, 99]]), draws, y, kernel)
+    assert got.tolist() == [
+        [2.0, 0.5 * 0.25 + 0.5 + 0.5, 1.5, 1.5, 0.5 * 0.25 + 0.5, 0.5 + 0.5, 1.0],
+        [0.75, 0.25 * 1.75, 0.0, 0.0, 0.0, 0.0, 0.0],
+        [1.0, 0.25 * 0.75 + 0.5, 0.5, 0.0, 0.5, 0.0, 0.0],
+    ]
+    assert not L.weighted_sums(np.array([[5, 8]]), draws[:0], y[:0], kernel).any()
+
+
+def test_explanations_and_sums_from_one_pass(spark, data, perturbation, monkeypatch):
+    """Both come from one table of combinations, and are what the two functions give apart."""
+    passes, solved = [], L.Patterns.solved
+    monkeypatch.setattr(L.Patterns, "solved", lambda self, df, **wanted: passes.append(sorted(wanted)) or solved(self, df, **wanted))
+    both = {r.id: r for r in L.explain_with_gram(data, perturbation, model, 400, k=2).collect()}
+    assert passes == [["_ranges", "_sums"]]
+    assert {i: r.explanation for i, r in both.items()} == {r.id: r.explanation for r in L.explain(data, perturbation, model, 400, k=2).collect()}
+    for r in L.with_gram(data, perturbation, model, 400).collect():
+        assert all(r[c] == both[r.id][c] for c in r.asDict())
+    assert len(both) == 300
