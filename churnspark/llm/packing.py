@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from churnspark.llm.rows import blocks_of
-from churnspark.llm.tokenizing import byte_tokenizer
+from churnspark.llm.tokenizing import TOGETHER, byte_tokenizer, with_end
 from churnspark.session import staged
 
 ROUNDS = 150  # price updates of the linear program
@@ -224,17 +224,15 @@ def token_pieces(
     folder. ``rank`` counts the pieces of one length within the part that a task wrote.
     """
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
-    end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = byte_tokenizer(tokenizer).encode
+        encode_all = byte_tokenizer(tokenizer).encode_all
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             at = 0
-            for raw in blocks_of(batch.column(1).cast(pa.large_binary())):
-                data = [encode((t or b"").decode()) + end for t in raw]
-                size = np.array([len(d) // 4 for d in data], np.int64)
+            for raw in blocks_of(batch.column(1).cast(pa.large_binary()), **TOGETHER):
+                ids, size = with_end(*encode_all([t or b"" for t in raw]), end_id)
                 n = -(-size // capacity)
                 own = np.repeat(np.arange(len(n)), n)
                 piece = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n)
@@ -246,7 +244,8 @@ def token_pieces(
                 rank = np.empty(len(length), np.int64)
                 rank[order] = np.arange(len(ranked)) - np.searchsorted(ranked, ranked) + seen[ranked]
                 seen += np.bincount(length, minlength=capacity + 1)
-                views = [memoryview(data[i])[4 * a : 4 * b] for i, a, b in zip(own.tolist(), start.tolist(), stop.tolist(), strict=True)]
+                base = (np.cumsum(size) - size)[own]
+                views = [ids[a:b] for a, b in zip((base + start).tolist(), (base + stop).tolist(), strict=True)]
                 columns = {
                     "part": pa.array(np.full(len(own), part, np.int32)),
                     "rank": pa.array(rank),
@@ -257,7 +256,7 @@ def token_pieces(
                     "ids_crc32": pa.array([zlib.crc32(v) for v in views], pa.int64()),
                 }
                 if with_ids:
-                    columns["ids"] = pa.array([np.frombuffer(v, "<u4").astype(np.int32) for v in views], pa.list_(pa.int32()))
+                    columns["ids"] = pa.array([v.astype(np.int32) for v in views], pa.list_(pa.int32()))
                 yield pa.RecordBatch.from_pydict(columns)
                 at += len(raw)
 

@@ -130,6 +130,30 @@ def test_tokenizers_in_pieces():
         assert np.frombuffer(piece.encode(text), "<u4").tolist() == piece.model.encode(text)
 
 
+def test_texts_encoded_together():
+    from tokenizers import Tokenizer
+
+    whole, rng = Tokenizer.from_file(BYTE), random.Random(5)
+    signs = [chr(c) for c in range(0x260)] + [" ", "\n", "'"] * 20 + ["'s", "'t", "'re", "'ve", "'m", "'ll", "'d", "漢", "\u3000", "<|endoftext|>"]
+    texts = [t or "" for _, t in ODD[:17]] + [t for _, t in mixed_texts()]
+    texts += ["".join(rng.choices(signs if i % 2 else " \n\t'sdtlrevm.,#9aé", k=rng.randrange(14))) for i in range(4000)]
+    for plain in (False, True):
+        whole.encode_special_tokens = plain
+        ids, sizes = tokenizing.byte_tokenizer(BYTE, plain).encode_all([t.encode() for t in texts])
+        ends = np.cumsum(sizes)
+        for text, a, b in zip(texts, ends - sizes, ends, strict=True):
+            assert ids[a:b].tolist() == whole.encode(text, add_special_tokens=False).ids, text
+    assert [x.tolist() for x in tokenizing.byte_tokenizer(BYTE).encode_all([])] == [[], []]
+
+
+def test_stretches_are_encoded_once(monkeypatch):
+    tokenizer = tokenizing.ByteTokenizer(BYTE)
+    calls = []
+    monkeypatch.setattr(tokenizer, "merge", lambda word, right=tokenizer.merge: calls.append(word) or right(word))
+    ids, sizes = tokenizer.encode_all([b"one### two### one\ntwo ### one"] * 500)
+    assert len(sizes) == 500 and sorted(calls) == ["###", "one", "two", "\u010a"]
+
+
 # 12 Best-fit packing
 
 
