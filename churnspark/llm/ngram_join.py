@@ -20,7 +20,8 @@ BUCKETS = 1 << 22  # of the frequency table that orders n-grams; its size does n
 SLICE, SALTS = 1 << 12, 64  # buckets in a row of counts; groups of tasks whose counts are added first
 BLOCK = 64  # n-grams compared at a time on a path of the tree
 LEADS, ROUNDS = 4, 2  # members that a group's others are compared with first, and how often that is done
-BIG = 64  # members from which a component is visited as a whole, chunk by chunk
+BIG = 64  # members from which a component is visited as a whole
+TILE = 256  # about so many members of a visited component and so many visitors meet in one group
 
 
 def tokens(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -52,19 +53,27 @@ def needed(one: int, two: int, percent: int) -> int:
     return -(-percent * (one + two) // (100 + percent))
 
 
-def linked(sets: list[np.ndarray], query: np.ndarray, percent: int) -> list[int]:
-    """Indexes of the ordered sets that link with the ordered query.
+def in_order(sets: list[np.ndarray]) -> list[int]:
+    """Indexes of the sets in lexicographic order."""
+    return sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+
+
+def linked(sets: list[np.ndarray], query: np.ndarray, percent: int, order: list[int] | None = None, most: int | None = None) -> list[int]:
+    """Indexes of the ordered sets that link with the ordered query, of ``most`` sets at most; ``order`` is that of
+    :func:`in_order` where it is known.
 
     The sets in lexicographic order are the leaves of a prefix tree in depth-first order. Partial overlaps are
     kept along the path and reused by all leaves below it; a leaf is left as soon as the overlap so far and what
     remains of either set cannot reach the number needed.
     """
-    order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+    order = in_order(sets) if order is None else order
     longest = max((len(s) for s in sets), default=0)
     overlap = np.zeros(longest + 1, np.int64)  # shared n-grams up to each depth of the current path
     passed = np.zeros(longest + 1, np.int64)  # n-grams of the query up to each depth
     n, depth, shared, last, found = len(query), 0, 0, None, []
     for i in order:
+        if len(found) == most:
+            break
         one = sets[i]
         if last is not None:
             m = min(len(last), len(one))
@@ -156,7 +165,8 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     * Of the representatives that share a prefix n-gram each is first compared with a few of them, the same for
       most of its n-grams, and the links found are closed to components. Then all pairs that share a prefix
       n-gram, lie in different components and pass the bounds on sizes and shared prefixes are compared; a component
-      of 64 or more is not paired member by member but visited as a whole in each chunk that holds some of it.
+      of 64 or more is not paired member by member: its members and the documents that may link with one of them
+      meet in groups of some hundreds of each, and a document is done with the first link found in a group.
       Pairs within a component need no further link and pairs across components are all covered.
     * Comparisons are exact, over prefix trees (see ``linked``); sets travel between chunks once per chunk.
 
@@ -190,8 +200,10 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 })
                 start += len(raw)
 
-    printed = staged(texts.select("id", "doc", "text").mapInArrow(prints, "id long, doc long, size long, one long, two long, prefix array<long>"), "prints")
-    classes = staged(printed.where("size > 0").groupBy("one", "two", "size").agg(F.min("id").alias("rep")), "classes")
+    printed = texts.select("id", "doc", "text").mapInArrow(prints, "id long, doc long, size long, one long, two long, prefix array<long>")
+    printed = staged(printed.withColumn("row", F.monotonically_increasing_id()), "prints")
+    firsts = printed.where("size > 0").groupBy("one", "two", "size").agg(F.min(F.struct("id", "row")).alias("first"))
+    classes = staged(firsts.select("one", "two", "size", F.col("first.id").alias("rep"), "first.row"), "classes")
 
     def sets_of(left: pa.Table, wanted) -> dict[int, list[np.ndarray]]:
         """Distinct ordered sets of the wanted ids of a chunk."""
@@ -204,12 +216,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 mine.append(s)
         return found
 
-    reps = printed.drop("doc").join(classes.select("one", "two", F.col("rep").alias("id")), ["one", "two", "id"]).dropDuplicates(["id", "one", "two"])
+    reps = printed.join(classes.select("row"), "row", "left_semi").select("id", "size", "prefix")
     index = reps.select(F.posexplode("prefix").alias("pos", "token"), "id", "size")
     same = Window.partitionBy("token")
     index = index.withColumn("n", F.count("*").over(same)).where("n > 1").select("token", "id", "pos", "size")
     last = F.element_at("prefix", -1)  # where the prefix ends; unknown for an id with several texts
-    ends = reps.groupBy("id").agg(F.when(F.min(last) == F.max(last), F.min(last)).alias("end"))
+    ends = printed.where("size > 0").groupBy("id").agg(F.when(F.min(last) == F.max(last), F.min(last)).alias("end"))
     index = index.join(staged(ends, "ends"), "id").withColumn("chunk", chunk_of("id", n_chunks))
     index = staged(index, "index")
 
@@ -226,20 +238,11 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     def compare(left: pa.Table, right: pa.Table) -> pa.Table:
         wanted: dict[int, set[int]] = {}
         visitors: list[tuple[int, np.ndarray]] = []
-        members: dict[int, set[int]] = {}
-        visits: list[tuple[int, int]] = []
-        rows = (right[c].to_pylist() for c in ("id", "other", "component", "set"))
-        for i, other, component, s in zip(*rows, strict=True):
+        for i, other, s in zip(*(right[c].to_pylist() for c in ("id", "other", "set")), strict=True):
             if s is not None:
                 visitors.append((other, np.frombuffer(s, np.uint64)))
-            elif component is None:
-                wanted.setdefault(other, set()).add(i)
-            elif other is None:
-                members.setdefault(component, set()).add(i)
             else:
-                visits.append((other, component))
-        for other, component in visits:
-            wanted.setdefault(other, set()).update(members.get(component, ()))
+                wanted.setdefault(other, set()).add(i)
         here = sets_of(left, set().union(*wanted.values()))
         a, b = [], []
         for other, query in visitors:
@@ -249,28 +252,67 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 b.append(other)
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    def compared(pairs: DataFrame, visits: DataFrame | None = None, members: DataFrame | None = None) -> DataFrame:
-        """The linked ones among pairs (id, chunk, other, other_chunk), and among the visits (chunk, component,
-        other, other_chunk) of a document to the members (chunk, component, id) of a component in a chunk."""
-        none = lambda kind: F.lit(None).cast(kind)
-        wanted = pairs.select("chunk", "id", "other", none("long").alias("component"))
-        asked = pairs.select("other_chunk", "other", "chunk")
-        if visits is not None:
-            asked = asked.unionByName(visits.select("other_chunk", "other", "chunk"))
-            wanted = wanted.unionByName(visits.select("chunk", none("long").alias("id"), "other", "component"))
-            wanted = wanted.unionByName(members.select("chunk", "id", none("long").alias("other"), "component"))
-        # Texts of other documents stay where they are, as long as the list of ids is small enough to broadcast.
-        ids = wanted.select("id").unionByName(pairs.select(F.col("other").alias("id")))
-        ids = ids if visits is None else ids.unionByName(visits.select(F.col("other").alias("id")))
-        ids = staged(ids.dropna().distinct(), "ids")
+    def texts_of(ids: DataFrame):
+        """The texts of the ids, by chunk; other documents stay where they are, if the list is small enough to broadcast."""
+        ids = staged(ids.distinct(), "ids")
         few = ids.count() <= broadcast_rows(ids)
-        by_chunk = (texts.join(F.broadcast(ids), "id", "left_semi") if few else texts).select("chunk", "id", "text").groupBy("chunk")
-        asked = asked.distinct().select(F.col("other_chunk").alias("chunk"), F.col("other").alias("id"), F.col("chunk").alias("to"))
+        return (texts.join(F.broadcast(ids), "id", "left_semi") if few else texts).select("chunk", "id", "text").groupBy("chunk")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """The linked ones among pairs (id, chunk, other, other_chunk)."""
+        wanted = pairs.select("chunk", "id", "other")
+        by_chunk = texts_of(pairs.select("id").unionByName(pairs.select(F.col("other").alias("id"))))
+        asked = pairs.select(F.col("other_chunk").alias("chunk"), F.col("other").alias("id"), F.col("chunk").alias("to")).distinct()
         sent = by_chunk.cogroup(asked.groupBy("chunk")).applyInArrow(fetch, "chunk long, other long, set binary")
-        sent = sent.select("chunk", none("long").alias("id"), "other", none("long").alias("component"), "set")
-        both = wanted.withColumn("set", none("binary")).unionByName(sent)
+        sent = sent.select("chunk", F.lit(None).cast("long").alias("id"), "other", "set")
+        both = wanted.withColumn("set", F.lit(None).cast("binary")).unionByName(sent)
         return by_chunk.cogroup(both.groupBy("chunk")).applyInArrow(compare, "a long, b long")
 
+    def bring(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = sets_of(left, set(right["id"].to_pylist()))
+        rows = [(k, s.tobytes()) for k, i in enumerate(right["id"].to_pylist()) for s in found.get(i, ())]
+        told = right.select(["component", "row", "col", "member", "id"]).take(pa.array([k for k, _ in rows], pa.int64()))
+        return told.append_column("set", pa.array([s for _, s in rows], pa.binary()))
+
+    def meet(table: pa.Table) -> pa.Table:
+        ids, member = table["id"].to_pylist(), table["member"].to_pylist()
+        sets = [np.frombuffer(s, np.uint64) for s in table["set"].to_pylist()]
+        leaves = [k for k, m in enumerate(member) if m]
+        held = [sets[k] for k in leaves]
+        order = in_order(held)
+        pairs = [(ids[leaves[i]], ids[k]) for k, m in enumerate(member) if not m for i in linked(held, sets[k], percent, order, 1)]
+        return pa.table({"a": pa.array([a for a, _ in pairs], pa.int64()), "b": pa.array([b for _, b in pairs], pa.int64())})
+
+    def visited(visits: DataFrame, members: DataFrame) -> DataFrame:
+        """A link of each visit (id, chunk, component) to some member (id, chunk, component), if there is one."""
+        numbers = visits.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("cols"))
+        tiles = members.groupBy("component").agg(F.ceil(F.count("*") / TILE).cast("int").alias("rows")).join(numbers, "component")
+        upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        dealt = lambda n: F.pmod(F.xxhash64(F.lit(n), "id"), F.col(n)).cast("int")
+        asked = members.join(tiles, "component").withColumn("member", F.lit(True)).withColumn("row", dealt("rows")).withColumn("col", upto("cols"))
+        come = visits.join(tiles, "component").withColumn("member", F.lit(False)).withColumn("col", dealt("cols")).withColumn("row", upto("rows"))
+        asked = asked.unionByName(come).select("chunk", "component", "row", "col", "member", "id")
+        sent = texts_of(asked.select("id")).cogroup(asked.groupBy("chunk"))
+        sent = sent.applyInArrow(bring, "component long, row int, col int, member boolean, id long, set binary")
+        return sent.groupBy("component", "row", "col").applyInArrow(meet, "a long, b long")
+
+    def prefix_bounded(pairs: DataFrame) -> DataFrame:
+        """The pairs that can link by all n-grams that their prefixes share.
+
+        Up to where the first of the two prefixes ends just these are shared; no more can be than follow that end in
+        either set.
+        """
+        ids = staged(pairs.select("id").unionByName(pairs.select(F.col("other").alias("id"))).distinct(), "ids")
+        held = printed.join(F.broadcast(ids) if ids.count() <= broadcast_rows(ids) else ids, "id", "left_semi")
+        held = held.select("id", "one", "two", "size", "prefix").repartition("id").dropDuplicates(["id", "one", "two"]).select("id", "size", "prefix")
+        there = held.select(F.col("id").alias("other"), F.col("size").alias("other_size"), F.col("prefix").alias("other_prefix"))
+        both = pairs.join(held.hint("merge"), "id").join(there.hint("merge"), "other")
+        x, y = F.col("size"), F.col("other_size")
+        end = F.least(F.element_at("prefix", -1), F.element_at("other_prefix", -1))
+        after = lambda n, c: n - F.size(F.filter(c, lambda t: t <= end))
+        most = F.size(F.array_intersect("prefix", "other_prefix")) + F.least(after(x, "prefix"), after(y, "other_prefix"))
+        return both.where(most >= F.ceil(F.lit(percent) * (x + y) / (100 + percent))).select(*pairs.columns).distinct()
+
     told = ["id", "chunk", "size", "pos", "end"]  # of a member of a prefix n-gram's group
 
     def as_other(*cols):
@@ -314,12 +356,12 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return met.where(F.col("shared") + after >= need).select("id", "chunk", "other", "other_chunk")
 
     tested = links = None
-    part = index.withColumn("component", F.col("id"))
+    part = index.withColumn("component", F.col("id")).repartition("token")
     for turn in range(ROUNDS):
         # Each member of a group against a few others of it, drawn by hash and so the same for most n-grams.
-        draws = [F.min(F.struct(F.xxhash64(F.lit(turn * LEADS + k), "id").alias("draw"), *told, "component")) for k in range(LEADS)]
-        leads = part.groupBy("token").agg(F.array(*draws).alias("leads"))
-        met = part.join(leads, "token").withColumn("lead", F.explode(F.array_distinct(F.transform("leads", lambda x: x.dropFields("draw")))))
+        draws = [F.min(F.struct(F.xxhash64(F.lit(turn * LEADS + k), "id").alias("draw"), *told, "component")).over(same) for k in range(LEADS)]
+        met = part.withColumn("leads", F.array(*draws))
+        met = met.withColumn("lead", F.explode(F.array_distinct(F.transform("leads", lambda x: x.dropFields("draw")))))
         met = met.where(F.col("component") != F.col("lead.component"))
         met = met.select(*told, *[F.col(f"lead.{c}").alias("other" if c == "id" else f"other_{c}") for c in told])
         pairs = staged(bounded(met, 0.5), "pairs")
@@ -330,7 +372,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         # What is open: members of different components that share an n-gram.
         part = index.join(joined, "id", "left").withColumn("component", F.coalesce("component", "id"))
         apart = F.min("component").over(same) != F.max("component").over(same)
-        part = staged(part.withColumn("apart", apart).where("apart").drop("apart"), "open")
+        part = part.withColumn("apart", apart).where("apart").drop("apart")
     sizes = joined.groupBy("component").agg((F.count("*") + 1).alias("members"))
     part = staged(part.join(sizes, "component", "left").fillna(1, ["members"]), "open")
     # The first n-gram that two linked sets share has no shared one before it: all others come after it in both. So
@@ -339,24 +381,24 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     sides = part.groupBy("token", "component", "members").agg(*places)
     sides = staged(sides, "sides")
     hosts = sides.select("token", F.col("component").alias("host"), *[F.col(c).alias(f"host_{c}") for c in ("members", "low", "high", "left")])
-    sides = sides.join(hosts, "token").where(F.struct("members", "component") < F.struct("host_members", "host"))
+    sides = sides.hint("merge").join(hosts, "token").where(F.struct("members", "component") < F.struct("host_members", "host"))
     sides = sides.where(100 * F.least("high", "host_high") >= percent * F.greatest("low", "host_low"))
     need = F.ceil(F.lit(percent) * (F.col("low") + F.col("host_low")) / (100 + percent))
     sides = sides.where(1 + F.least("left", "host_left") >= need)
     sides = sides.select("token", "component", "host", "host_members")
-    # A large component is visited: its members are not paired one by one, each chunk looks through those it has.
+    # A large component is visited: its members are not paired one by one.
     large = part.where(F.col("members") >= BIG).select("chunk", "component", "id").distinct()
-    visits = part.join(sides.where(F.col("host_members") >= BIG), ["token", "component"])
-    visits = visits.select(F.col("id").alias("other"), F.col("chunk").alias("other_chunk"), F.col("host").alias("component")).distinct()
-    visits = staged(visits.join(large.select("chunk", "component").distinct(), "component"), "visits")
+    visits = part.hint("merge").join(sides.where(F.col("host_members") >= BIG), ["token", "component"])
+    visits = staged(visits.select("id", "chunk", F.col("host").alias("component")).distinct(), "visits")
     beyond = part.select("token", F.col("component").alias("host"), *as_other(*told))
-    met = part.join(sides.where(F.col("host_members") < BIG), ["token", "component"]).join(beyond, ["token", "host"])
+    met = part.hint("merge").join(sides.where(F.col("host_members") < BIG), ["token", "component"]).join(beyond.hint("merge"), ["token", "host"])
     pairs = first_bounded(met)
     known = tested.select("id", "other").unionByName(tested.select(F.col("other").alias("id"), F.col("id").alias("other")))
     pairs = staged(pairs.join(known, ["id", "other"], "left_anti"), "pairs")
-    links = links.unionByName(compared(pairs, visits, large))
+    pairs = staged(prefix_bounded(pairs), "pairs")
+    links = links.unionByName(compared(pairs)).unionByName(visited(visits, large))
     # Rows with equal sets.
-    same_set = classes.join(printed, ["one", "two", "size"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    same_set = classes.drop("row").join(printed, ["one", "two", "size"]).where("id <> rep").select(F.col("id").alias("a"), F.col("rep").alias("b"))
     joined = components(links.unionByName(same_set))
 
     found = printed.select("id", "doc", "size").join(joined, "id", "left")

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 import zlib
 
 import duckdb
@@ -10,11 +11,11 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from churnspark.llm import language, mixing, quality, range_coder, sharding, words
+from churnspark.llm import chunks, language, mixing, quality, range_coder, sharding, words
 from churnspark.llm.chat import escape, escape_role, read_conversations, render_conversations, unescape, unescape_role
 from churnspark.llm.decontaminate import decontaminate
 from churnspark.llm.embedding_links import embedding_links
-from churnspark.llm.ngram_join import linked, needed, ngram_join, pack, unpack
+from churnspark.llm.ngram_join import in_order, linked, needed, ngram_join, pack, unpack
 from churnspark.llm.queries import LLM_ORACLE, LLM_QUERIES
 from churnspark.llm.substring_dedup import COVERS, substring_dedup
 from churnspark.llm.token_files import PieceTokenizer, read_token_frames, write_token_frames
@@ -137,6 +138,8 @@ def test_language_backs_off_by_length():
 
 # 3 N-gram join
 
+ngram_join_module = sys.modules["churnspark.llm.ngram_join"]
+
 
 def brute_components(rows, width, percent):
     sets = {}
@@ -169,11 +172,36 @@ def test_ngram_join(spark, width, percent):
     assert {r[0]: tuple(r)[1:] for r in got} == brute_components(rows, width, percent) and len(got) == len(rows)
 
 
+def test_ngram_join_visits_by_groups(spark, monkeypatch):
+    """A document visits a large component once, in groups of its members, not once for each chunk that holds some."""
+    monkeypatch.setattr(ngram_join_module, "BIG", 8)
+    monkeypatch.setattr(ngram_join_module, "TILE", 4)
+    monkeypatch.setattr(ngram_join_module, "ROUNDS", 1)
+    monkeypatch.setattr(chunks, "CHUNK_BYTES", 600)
+    written, right = {}, ngram_join_module.staged
+    monkeypatch.setattr(ngram_join_module, "staged", lambda df, name="stage": written.setdefault(name, []).append(right(df, name)) or written[name][-1])
+    rng = random.Random(4)
+    rows, heart = [], [f"h{i}" for i in range(30)]
+    for k in range(40):  # a large component
+        rows.append((k, " ".join([*heart, *(f"t{rng.randrange(3)}" for _ in range(6))]), "", ""))
+    for k in range(30):  # documents with half of its text
+        rows.append((100 + k, " ".join([*heart[: rng.randrange(16, 28)], *(f"u{rng.randrange(400)}" for _ in range(rng.randrange(3, 14)))]), "", ""))
+    got = ngram_join(docs_frame(spark, rows), width=2, percent=60).collect()
+    assert {r[0]: tuple(r)[1:] for r in got} == brute_components(rows, 2, 60)
+    visits = written["visits"][0]
+    assert 0 < visits.count() == visits.select("id", "component").distinct().count()
+
+
 def test_packed_counts():
     counts = np.array([0, 1, 255, 256, 1 << 40, 0], np.int64)
     assert unpack(pack(counts)).tolist() == counts.tolist()
 
 
+def test_prefix_tree_stops():
+    sets = [np.arange(k, k + 20, dtype=np.uint64) for k in (0, 40, 1, 2)]
+    assert linked(sets, sets[0], 60, in_order(sets), 1) == [0] and linked(sets, sets[0], 60) == [0, 2, 3]
+
+
 def test_prefix_tree():
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 90, rng.integers(1, 80)).astype(np.uint64)) for _ in range(200)]
