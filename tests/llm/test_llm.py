@@ -330,6 +330,36 @@ def test_range_coder_learns_and_checks():
             range_coder.decode_frame(frame[:at] + bytes([frame[at] ^ 1]) + frame[at + 1 :])
 
 
+def test_range_coder_halves(monkeypatch):
+    monkeypatch.setattr(range_coder, "HALVES", 100)
+    rng = np.random.default_rng(5)
+    for ids in (rng.integers(0, 1 << 31, 3000), rng.integers(0, 99, 3000), np.arange(101) + 100):
+        frame = range_coder.encode_frame(np.array([3]), np.array([len(ids)]), ids)
+        assert range_coder.decode_frame(frame)[2].tolist() == ids.tolist()
+
+
+@pytest.mark.parametrize("distinct", [2, 700, 50_000])
+def test_range_coder_order_zero(distinct):
+    """Without any order in them, ids take little more than their entropy (the low bytes were coded uniformly before)."""
+    rng = np.random.default_rng(distinct)
+    chance = 1 / np.arange(1, distinct + 1)
+    chance /= chance.sum()
+    ids = rng.choice(distinct, 400_000, p=chance)
+    frame = range_coder.encode_frame(np.array([3]), np.array([len(ids)]), ids)
+    assert range_coder.decode_frame(frame)[2].tolist() == ids.tolist()
+    assert len(frame) < len(ids) * (-(chance * np.log2(chance)).sum() / 8 + 0.05) + 4 * distinct
+
+
+def test_range_coder_blocks_alone():
+    """With the model of the frame any block can be decoded by itself."""
+    ids = np.random.default_rng(6).zipf(1.4, 5 * range_coder.BLOCK_IDS) % 5000
+    model, symbols = range_coder.Model.learn(np.ascontiguousarray(ids.reshape(5, -1).T))
+    model, blocks = range_coder.Model.unpacked(model.packed()), range_coder.write(model, symbols)
+    for k, block in enumerate(blocks):
+        alone = range_coder.run(model, [block], range_coder.BLOCK_IDS)
+        assert alone[:, 0].tolist() == ids.reshape(5, -1)[k].tolist()
+
+
 def test_token_files(spark):
     tokenizers = pytest.importorskip("tokenizers")
     path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
