@@ -215,8 +215,10 @@ class Patterns:
             sums = weighted_sums(np.stack(own.to_numpy()), draws, y, kernel)
             return pd.DataFrame({name: pd.Series(make(sums), dtype=object) for name, make in makers.items()})
 
-        patterns = self.keyed(df).groupBy(*self.KEY).agg(F.first("pattern").alias("pattern"))
-        spread = patterns.repartition(shuffle_partitions(df.sparkSession), *self.KEY)
+        # The key follows from the cells, so equal rows are one combination; without an aggregate they are hashed, not
+        # sorted. Dealt by other columns than they are grouped by, they are neither left in place nor put together.
+        patterns = self.keyed(df).select(*self.KEY, "pattern").distinct()
+        spread = patterns.repartition(shuffle_partitions(df.sparkSession), "pattern")
         return spread.select(*self.KEY, run("pattern").alias("_out")).select(*self.KEY, "_out.*")
 
 

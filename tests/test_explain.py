@@ -173,3 +173,11 @@ def test_residuals_of_rows_that_share_an_id(data, perturbation):
     rows = some.unionByName(some.where("customer_id = 2")).unionByName(some.where("customer_id = 2"))
     got = [(r.customer_id, r.n_features, r.residual) for r in _residuals(rows, perturbation, model, SPEC, 2).collect()]
     assert sorted(got) == [(i, 2, 0.0) for i in (0, 1, *[2] * 9, 3, 4, 5)]
+
+
+def test_combinations_are_spread_over_tasks(spark, data, perturbation):
+    """However few bytes the combinations have, their sums are not left to one task."""
+    sums = L.Patterns(perturbation, model, 50, 1).solved(data, **L.SUMS)
+    assert sums.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = perturbation.cell_columns(data).select("cell_a", "cell_b", "cell_x").distinct()
+    assert sums.count() == cells.count()
