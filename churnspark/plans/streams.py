@@ -81,7 +81,8 @@ def stream_delayed_labels(spark, sf):
         stream = J.delayed_labels_stream(
             J.table_stream(spark, f"{src['preds']}/*", preds.schema), J.table_stream(spark, f"{src['labels']}/*", labels.schema), "14 days", "1 hour"
         )
-        out = J.run_available(stream, dst, ckpt)
+        with J.state_on_disk(spark):
+            out = J.run_available(stream, dst, ckpt)
     return out.select("uuid", "deployment", "start_ms", "probability", "label", F.col("label_ts").cast("timestamp_ntz").alias("label_ts"))
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -66,6 +67,31 @@ def test_the_last_of_many_labels_wins_across_restarts(spark, tmp_path):
     assert got == [("a", "Yes", at(3), 1 << 60), ("b", "Yes", at(9), 2), ("c", "Yes", at(2), None), ("d", None, None, 3)]
 
 
+def test_delayed_labels_keep_their_state_on_disk(spark, sf, monkeypatch):
+    """The query's state must not lie in the executors' heaps; the session's settings are as before afterwards."""
+    from churnspark.plans import streams
+
+    taken, run = [], J.run_available
+    monkeypatch.setattr(J, "run_available", lambda df, path, checkpoint: taken.append(checkpoint) or run(df, path, checkpoint))
+    before = set(spark.sql("SET").collect())
+    streams.stream_delayed_labels(spark, sf)
+    assert set(spark.sql("SET").collect()) == before
+    said = [json.loads(line) for line in Path(taken[0], "offsets", "0").read_text().splitlines() if line.startswith("{")]
+    conf = next(line["conf"] for line in said if "conf" in line)
+    assert len(taken) == 4 and conf["spark.sql.streaming.stateStore.providerClass"].endswith("RocksDBStateStoreProvider")
+
+
+def test_a_named_state_store_is_kept(spark):
+    key, own = "spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, own)
+    try:
+        with J.state_on_disk(spark):
+            assert spark.conf.get(key) == own and spark.conf.get("spark.sql.streaming.join.stateFormatVersion") == "2"
+        assert spark.conf.get(key) == own
+    finally:
+        spark.conf.unset(key)
+
+
 def test_accuracy_drops_rows_behind_the_watermark(spark, tmp_path):
     schema = "ts timestamp, y boolean, yhat boolean"
     batches = [[(at(0.2), True, True), (at(0.4), True, False)], [(at(5), True, True)], [(at(5.5), True, True)], [(at(0.5), True, True)], [(at(9), True, True)]]
