@@ -14,7 +14,7 @@ from churnspark.llm.chunks import chunk_count, chunk_of, ordered_texts, signed
 from churnspark.llm.components import components
 from churnspark.llm.rows import blocks_of
 from churnspark.llm.words import mixed, split_words, whole_windows, window_hashes, word_hashes
-from churnspark.session import broadcast_rows, staged
+from churnspark.session import broadcast_if_small, broadcast_rows, staged
 
 BUCKETS = 1 << 22  # of the frequency table that orders n-grams; its size does not depend on the corpus
 SLICE, SALTS = 1 << 12, 64  # buckets in a row of counts; groups of tasks whose counts are added first
@@ -303,7 +303,7 @@ def ngram_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         either set.
         """
         ids = staged(pairs.select("id").unionByName(pairs.select(F.col("other").alias("id"))).distinct(), "ids")
-        held = printed.join(F.broadcast(ids) if ids.count() <= broadcast_rows(ids) else ids, "id", "left_semi")
+        held = printed.join(broadcast_if_small(ids), "id", "left_semi")
         held = held.select("id", "one", "two", "size", "prefix").repartition("id").dropDuplicates(["id", "one", "two"]).select("id", "size", "prefix")
         there = held.select(F.col("id").alias("other"), F.col("size").alias("other_size"), F.col("prefix").alias("other_prefix"))
         both = pairs.join(held.hint("merge"), "id").join(there.hint("merge"), "other")

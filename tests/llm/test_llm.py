@@ -360,6 +360,37 @@ def test_range_coder_blocks_alone():
         assert alone[:, 0].tolist() == ids.reshape(5, -1)[k].tolist()
 
 
+@pytest.mark.parametrize("order", [1, 2])
+def test_range_coder_mixes_all_followers(order):
+    """Several equally frequent ids follow each context; one guess a context took more than the entropy by 2 bits an id."""
+    rng, ids = np.random.default_rng(order), [0, 1]
+    for draw in rng.integers(0, 4, 200_000).tolist():
+        ids.append((ids[-1] * 5 + draw * 16) % 64 if order == 1 else (ids[-2] * 5 + ids[-1] * 3 + draw * 4) % 16)
+    ids = np.array(ids, np.int32)
+    frame = range_coder.encode_frame(np.array([3]), np.array([len(ids)]), ids)
+    assert range_coder.decode_frame(frame)[2].tolist() == ids.tolist()
+    assert len(frame) * 8 / len(ids) < 2.35
+
+
+def test_range_coder_adds_up_the_orders():
+    """Every id's span is the sum of its shares under orders 2, 1 and 0, and the spans of a context fill it."""
+    rng, ids = np.random.default_rng(9), [0, 1]
+    for draw in rng.integers(0, 8, 512 * 200).tolist():
+        ids.append((ids[-1] * 7 + draw + (ids[-2] * 3 if draw < 4 else 0)) % 40)
+    model, _ = range_coder.Model.learn(np.array(ids[2:]).reshape(-1, 512).T.copy())
+    one, two, n = model.one, model.two, len(model.ids)
+    assert np.bincount(one.context).max() > 2 and np.bincount(two.context).max() > 2
+    for pair in np.unique(two.context):
+        last, x = one.symbol[pair - 1], np.arange(n)
+        start, size = model.span(np.full(n, pair), np.full(n, last), x, *one.places(range_coder.keyed(np.full(n, last), x, n, n)))
+        assert start[0] == 0 and start[-1] + size[-1] == range_coder.ONE and (start[1:] == (start + size)[:-1]).all() and size.min() >= 1
+        part = [np.bincount(o.symbol[rows], o.count[rows], n) / o.count[rows].sum() if rows.any() else np.zeros(n)
+                for o, rows in ((one, one.context == last), (two, two.context == pair))]
+        share1, share2 = one.share[last] / 256, two.share[pair] / 256
+        want = share2 * part[1] + (1 - share2) * (share1 * part[0] + (1 - share1) * model.frequency / model.frequency.sum())
+        assert np.abs(size / range_coder.ONE - want).max() < 1e-6
+
+
 def test_token_files(spark):
     tokenizers = pytest.importorskip("tokenizers")
     path = pytest.importorskip("public_tokenizers").path("byte_bpe_50k.json")
